@@ -74,13 +74,10 @@ def is_wkt(wkt: Column) -> Column:
     as there are collections in the text, so nesting may be of any depth.
     """
     folded = F.regexp_replace(F.trim(wkt), _GEOMETRY, "#")
-    collections = F.regexp_count(wkt, F.lit("(?i)GEOMETRYCOLLECTION"))
-    nested = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(collections, F.lit(1))),
-        folded,
-        lambda text, _: F.regexp_replace(text, _COLLECTION, "#"),
-    )
-    readable = F.when(collections == 0, folded == "#").otherwise(nested == "#")
+    names = F.regexp_extract_all(wkt, F.lit("(?i)GEOMETRYCOLLECTION"), F.lit(0))
+    nested = F.aggregate(names, folded, lambda text, _: F.regexp_replace(text, _COLLECTION, "#"))
+    many = wkt.rlike("(?i)GEOMETRYCOLLECTION")
+    readable = F.when(many, nested == "#").otherwise(F.trim(wkt).rlike(f"^(?:{_GEOMETRY})$"))
     rings = F.regexp_extract_all(
         F.regexp_replace(wkt, _UNRINGED, " "), F.lit(r"\((\s*+[-+.\d][^()]*+)\)"), F.lit(1)
     )

@@ -3,14 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinflow.schemas import UNRESOLVED_ID
-from twinflow.sources.requests import parse_document
+from twinflow.sources.requests import parse_requests
 
 
 def is_object(value: Column) -> Column:
-    """The text is one JSON object."""
-    keyed = F.json_object_keys(F.concat(F.lit('{"d":'), value, F.lit("}")))
-    return keyed.isNotNull() & F.trim(value).startswith("{")
+    """The text is one JSON object, with nothing after it."""
+    framed = F.concat(F.lit('{"document":'), value, F.lit(',"end":1}'))
+    whole = F.array_contains(F.json_object_keys(framed), "end")
+    return F.coalesce(whole & F.ltrim(value).startswith("{"), F.lit(False))
 
 
 def extract_urn(df: DataFrame, value: str = "value") -> DataFrame:
@@ -18,7 +18,7 @@ def extract_urn(df: DataFrame, value: str = "value") -> DataFrame:
     urn = F.get_json_object(F.col(value), "$.urn")
     return df.withColumn("urn", F.when(is_object(F.col(value)), urn)).withColumn(
         "error_code",
-        F.when(~F.coalesce(is_object(F.col(value)), F.lit(False)), F.lit("malformed_json")).when(
+        F.when(~is_object(F.col(value)), F.lit("malformed_json")).when(
             F.col("urn").isNull(), F.lit("missing_urn")
         ),
     )
@@ -41,19 +41,11 @@ def add_observable(value: Column, observable: Column) -> Column:
 
 def split_observation(df: DataFrame, value: str = "value") -> DataFrame:
     """Take ``observation`` (JSON text) off a document; the rest is a request."""
-    text = F.col(value)
-    doc = df.withColumn("_doc", parse_document(text))
-    bad = F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull() | F.col("_doc.request").isNull()
-    request = F.col("_doc.request")
-    return doc.select(
-        *df.columns,
-        F.when(~bad, F.get_json_object(text, "$.observation")).alias("observation"),
-        request["geometry"].alias("geometry"),
-        request["name"].alias("name"),
-        request["semantics"].alias("semantics"),
-        request["digitalTwin"].alias("digital_twin"),
-        F.coalesce(request["observationId"], request["id"], F.lit(UNRESOLVED_ID)).alias(
-            "observation_id"
-        ),
-        F.when(bad, F.lit("malformed_json")).alias("error_code"),
+    rest = parse_requests(df, value)
+    bad = F.col("malformed")
+    observation = F.get_json_object(F.col(value), "$.observation")
+    return (
+        rest.withColumn("observation", F.when(~bad, observation))
+        .withColumn("error_code", F.when(bad, F.lit("malformed_json")))
+        .drop("malformed")
     )

@@ -19,12 +19,7 @@ def resolve_observables(requests: DataFrame, concepts: DataFrame) -> DataFrame:
         F.col("urn").alias("semantics"), "concept_id", "observable_urn", "observation_type"
     )
     joined = requests.join(found, "semantics", "left")
-    if "error_code" not in requests.columns:
-        joined = joined.withColumn("error_code", F.lit(None).cast("string"))
-        joined = joined.withColumn("error_detail", F.lit(None).cast("string"))
-    return fail_where(
-        joined, F.col("observable_urn").isNull(), "unknown_semantics", "semantics"
-    )
+    return fail_where(joined, F.col("observable_urn").isNull(), "unknown_semantics")
 
 
 def resolve_urns(documents: DataFrame, concepts: DataFrame, value: str = "value") -> DataFrame:

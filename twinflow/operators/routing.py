@@ -1,10 +1,11 @@
 """Success, failure and event routes."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinflow.functions import attributes as A
 from twinflow.operators.messages import filter_payload, to_events
+from twinflow.operators.validate import fail_where
 from twinflow.schemas import ROUTE_EVENTS, ROUTE_FAILURE, ROUTE_SUCCESS, UNRESOLVED_ID
 
 OBSERVATION_FIELDS = (
@@ -17,7 +18,7 @@ OBSERVATION_FIELDS = (
 )
 
 
-def serialize_observation(df: DataFrame):
+def serialize_observation(df: DataFrame) -> Column:
     """The whole observation as JSON; unset fields are left out."""
     fields = [F.col(c) for c in OBSERVATION_FIELDS if c in df.columns]
     return F.to_json(F.struct(*fields))
@@ -31,10 +32,8 @@ def route(df: DataFrame, with_content: bool = False, value: str = "value") -> Da
     An observation that still has no id is a failure.
     """
     if "observation_id" in df.columns:
-        from twinflow.operators.validate import fail_where
-
         unresolved = F.col("observation_id") == UNRESOLVED_ID
-        df = fail_where(df, unresolved, "unresolved", "observation_id")
+        df = fail_where(df, unresolved, "unresolved")
     good = F.col("error_code").isNull()
     content = serialize_observation(df) if with_content else F.lit(None).cast("string")
     return (

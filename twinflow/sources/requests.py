@@ -7,20 +7,35 @@ from pyspark.sql import types as T
 from twinflow.schemas import REQUEST, UNRESOLVED_ID
 
 _DOCUMENT = T.StructType(
-    [T.StructField("request", REQUEST), T.StructField("_corrupt", T.StringType())]
+    [
+        T.StructField("request", REQUEST),
+        T.StructField("end", T.IntegerType()),
+        T.StructField("_corrupt", T.StringType()),
+    ]
 )
 
 
 def parse_document(value: Column) -> Column:
-    """struct(request, _corrupt). Wrapping the text in an outer object makes
-    anything after the document an error too, not only what is inside it."""
+    """struct(request, end, _corrupt).
+
+    The parser stops at the end of a document and would not see what follows.
+    Here the text is one key of an outer object with a key after it, so
+    anything but a single document is an error or hides that last key.
+    """
     return F.from_json(
-        F.concat(F.lit('{"request":'), value, F.lit("}")),
+        F.concat(F.lit('{"request":'), value, F.lit(',"end":1}')),
         _DOCUMENT,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
 
 
+def unreadable(doc: Column) -> Column:
+    """The parsed text was not one JSON object with values of the right types."""
+    return (
+        doc.isNull() | doc["_corrupt"].isNotNull() | doc["end"].isNull() | doc["request"].isNull()
+    )
+
+
 def parse_requests(df: DataFrame, value: str = "value") -> DataFrame:
     """Documents to typed columns; unreadable ones are kept with ``malformed``.
 
@@ -28,20 +43,22 @@ def parse_requests(df: DataFrame, value: str = "value") -> DataFrame:
     routed with its input.
     """
     doc = df.withColumn("_doc", parse_document(F.col(value)))
-    bad = F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull() | F.col("_doc.request").isNull()
-    request = F.col("_doc.request")
-    return doc.select(
-        *df.columns,
-        bad.alias("malformed"),
+    doc = doc.withColumn("malformed", unreadable(F.col("_doc")))
+    doc = doc.withColumn("_request", F.when(~F.col("malformed"), F.col("_doc.request")))
+    return doc.select(*df.columns, "malformed", *request_columns(F.col("_request")))
+
+
+def request_columns(request: Column) -> list[Column]:
+    """The fields of a parsed request under the names the operators use."""
+    # clients write the id under either key
+    given_id = F.coalesce(request["observationId"], request["id"], F.lit(UNRESOLVED_ID))
+    return [
         request["geometry"].alias("geometry"),
         request["name"].alias("name"),
         request["semantics"].alias("semantics"),
         request["digitalTwin"].alias("digital_twin"),
-        # clients write the id under either key
-        F.coalesce(request["observationId"], request["id"], F.lit(UNRESOLVED_ID)).alias(
-            "observation_id"
-        ),
-    )
+        given_id.alias("observation_id"),
+    ]
 
 
 def read_requests(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
