@@ -12,9 +12,12 @@ from pyspark.sql import types as T
 # Executors get the helper below with the plan; they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Rings up to this length are checked pair by pair in native expressions; for
-# longer ones the same test runs as a sorted sweep, so every length is exact.
-NATIVE_POINTS = 64
+# Rings up to this length are checked pair by pair in native expressions. Those
+# over it go to a vectorised helper in Arrow batches; there, rings over _LONG
+# are swept in x order instead of paired. Every length is tested exactly.
+NATIVE_POINTS = 12
+_LONG = 256
+_PAIRS_AT_ONCE = 1_000_000
 
 
 def _let(value: Column, body) -> Column:
@@ -97,62 +100,109 @@ def _simple_ring(ring: Column) -> Column:
     return (n >= 3) & ~spike & ~crossing
 
 
+def _crosses(ax, ay, bx, by, cx, cy, dx, dy) -> np.ndarray:
+    """Segments ab and cd share a point, element by element."""
+    ux, uy, vx, vy = bx - ax, by - ay, dx - cx, dy - cy
+    side = np.sign(ux * (cy - ay) - uy * (cx - ax)) * np.sign(ux * (dy - ay) - uy * (dx - ax))
+    other = np.sign(vx * (ay - cy) - vy * (ax - cx)) * np.sign(vx * (by - cy) - vy * (bx - cx))
+    return (
+        (side <= 0)
+        & (other <= 0)
+        & (np.maximum(ax, bx) >= np.minimum(cx, dx))
+        & (np.maximum(cx, dx) >= np.minimum(ax, bx))
+        & (np.maximum(ay, by) >= np.minimum(cy, dy))
+        & (np.maximum(cy, dy) >= np.minimum(ay, by))
+    )
+
+
+def _spikes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Per ring (last axis): some corner folds back over itself."""
+    ux, uy = np.roll(x, -1, -1) - x, np.roll(y, -1, -1) - y
+    vx, vy = np.roll(ux, -1, -1), np.roll(uy, -1, -1)
+    return ((ux * vy - uy * vx == 0) & (ux * vx + uy * vy < 0)).any(axis=-1)
+
+
+def _all_pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of many rings of one length are simple: rows are rings."""
+    rings, n = x.shape
+    i, j = np.triu_indices(n, 2)
+    apart = ~((i == 0) & (j == n - 1))
+    i, j = i[apart], j[apart]
+    x2, y2 = np.roll(x, -1, 1), np.roll(y, -1, 1)
+    good = ~_spikes(x, y)
+    step = max(1, _PAIRS_AT_ONCE // max(1, len(i)))
+    for s in range(0, rings, step):
+        r = slice(s, s + step)
+        first = (x[r][:, i], y[r][:, i], x2[r][:, i], y2[r][:, i])
+        second = (x[r][:, j], y[r][:, j], x2[r][:, j], y2[r][:, j])
+        good[r] &= ~_crosses(*first, *second).any(axis=1)
+    return good
+
+
 def _sweep(x: np.ndarray, y: np.ndarray) -> bool:
-    """The same test for a long ring: only segments whose x spans meet are paired."""
+    """The same for one long ring: only segments whose x spans meet are paired."""
     n = len(x)
-    if n < 3:
+    if _spikes(x, y):
         return False
     x2, y2 = np.roll(x, -1), np.roll(y, -1)
-    x3, y3 = np.roll(x, -2), np.roll(y, -2)
-    turn = (x2 - x) * (y3 - y) - (y2 - y) * (x3 - x)
-    ahead = (x2 - x) * (x3 - x2) + (y2 - y) * (y3 - y2)
-    if np.any((turn == 0) & (ahead < 0)):
-        return False
     order = np.argsort(np.minimum(x, x2), kind="stable")
     ax, ay, bx, by = x[order], y[order], x2[order], y2[order]
-    left = np.minimum(ax, bx)
     low, high = np.minimum(ay, by), np.maximum(ay, by)
-    stop = np.searchsorted(left, np.maximum(ax, bx), side="right")
+    stop = np.searchsorted(np.minimum(ax, bx), np.maximum(ax, bx), side="right")
     for i in range(n):
-        j = slice(i + 1, stop[i])
-        near = np.flatnonzero((low[j] <= high[i]) & (high[j] >= low[i])) + i + 1
+        later = slice(i + 1, stop[i])
+        near = np.flatnonzero((low[later] <= high[i]) & (high[later] >= low[i])) + i + 1
         gap = np.abs(order[near] - order[i])
         near = near[(gap > 1) & (gap < n - 1)]
-        if not near.size:
-            continue
-        cx, cy, dx, dy = ax[near], ay[near], bx[near], by[near]
-        ux, uy = bx[i] - ax[i], by[i] - ay[i]
-        vx, vy = dx - cx, dy - cy
-        side = np.sign(ux * (cy - ay[i]) - uy * (cx - ax[i])) * np.sign(
-            ux * (dy - ay[i]) - uy * (dx - ax[i])
-        )
-        other = np.sign(vx * (ay[i] - cy) - vy * (ax[i] - cx)) * np.sign(
-            vx * (by[i] - cy) - vy * (bx[i] - cx)
-        )
-        if np.any((side <= 0) & (other <= 0)):
+        if near.size and _crosses(
+            ax[i], ay[i], bx[i], by[i], ax[near], ay[near], bx[near], by[near]
+        ).any():
             return False
     return True
 
 
-@F.pandas_udf(T.BooleanType())
-def _long_ring_ok(xs: pd.Series, ys: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if x is None else _sweep(np.asarray(x), np.asarray(y)) for x, y in zip(xs, ys)],
-        dtype=object,
-    )
+def _opened(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without repeated neighbours and without the closing point."""
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    x, y = x[new], y[new]
+    if len(x) > 1 and x[0] == x[-1] and y[0] == y[-1]:
+        x, y = x[:-1], y[:-1]
+    return x, y
+
+
+def rings_ok(xs: pd.Series, ys: pd.Series) -> pd.Series:
+    """Simple or not, ring by ring; those of one length are tested together."""
+    result = np.full(len(xs), None, dtype=object)
+    by_length: dict[int, list] = {}
+    for k, (x, y) in enumerate(zip(xs, ys)):
+        if x is None:
+            continue
+        x, y = _opened(np.asarray(x, dtype=float), np.asarray(y, dtype=float))
+        if len(x) < 3:
+            result[k] = False
+        elif len(x) > _LONG:
+            result[k] = _sweep(x, y)
+        else:
+            by_length.setdefault(len(x), []).append((k, x, y))
+    for rings in by_length.values():
+        where, x, y = zip(*rings)
+        result[list(where)] = _all_pairs(np.stack(x), np.stack(y))
+    return pd.Series(result)
+
+
+_rings_ok = F.pandas_udf(rings_ok, T.BooleanType())
 
 
 def coords_valid(coords: Column) -> Column:
     """A point, a line of two different points, or a simple ring."""
-
     size = F.size(coords)
     usable = coords.isNotNull() & (size >= 1) & F.coalesce(_finite(coords), F.lit(False))
-    ring = F.when(usable & (size > NATIVE_POINTS), open_ring(coords))
-    swept = _long_ring_ok(F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"]))
+    many = F.when(usable & (size > NATIVE_POINTS), coords)
     shape_ok = (
         F.when(size == 1, F.lit(True))
         .when(size == 2, F.element_at(coords, 1) != F.element_at(coords, 2))
         .when(size <= NATIVE_POINTS, _let(open_ring(coords), _simple_ring))
-        .otherwise(swept)
+        .otherwise(_rings_ok(many["x"], many["y"]))
     )
     return F.when(usable, shape_ok).otherwise(F.lit(False))

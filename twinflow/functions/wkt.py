@@ -49,7 +49,6 @@ _GEOMETRY = _grammar()
 _COLLECTION = (
     r"(?i)GEOMETRYCOLLECTION\s*+(?:ZM|Z|M)?+\s*+(?:EMPTY|\(\s*+#(?:\s*+,\s*+#)*+\s*+\))"
 )
-_CHARSET = r"^[A-Za-z0-9\s(),.+\-]*+$"
 _UNRINGED = (
     r"(?i)(?<![A-Z])(?:MULTI)?+(?:POINT|LINESTRING)\s*+(?:ZM|Z|M)?+\s*+"
     r"\((?:[^()]++|\([^()]*+\))*+\)"
@@ -57,32 +56,41 @@ _UNRINGED = (
 
 
 def _closed(ring: Column) -> Column:
-    """First and last coordinate agree in x and y, compared as numbers."""
-    first = F.split(F.trim(F.substring_index(ring, ",", 1)), r"\s+")
-    last = F.split(F.trim(F.substring_index(ring, ",", -1)), r"\s+")
+    """First and last coordinate are the same text, or else agree as numbers in x and y."""
+    first = F.trim(F.substring_index(ring, ",", 1))
+    last = F.trim(F.substring_index(ring, ",", -1))
 
     def ordinate(point: Column, i: int) -> Column:
-        return F.try_element_at(point, F.lit(i)).try_cast("double")
+        return F.try_element_at(F.split(point, r"\s+"), F.lit(i)).try_cast("double")
 
-    return (ordinate(first, 1) == ordinate(last, 1)) & (ordinate(first, 2) == ordinate(last, 2))
+    agree = (ordinate(first, 1) == ordinate(last, 1)) & (ordinate(first, 2) == ordinate(last, 2))
+    return F.when(first == last, F.lit(True)).otherwise(agree)
 
 
 def is_wkt(wkt: Column) -> Column:
     """True when the text is a readable geometry with closed rings.
 
-    Each geometry is folded to ``#``; collections of ``#`` fold again, as often
-    as there are collections in the text, so nesting may be of any depth.
+    Collections are read inside out: each plain geometry is folded to ``#``,
+    then each collection of ``#`` as often as there are collections in the
+    text, so nesting may be of any depth.
     """
-    folded = F.regexp_replace(F.trim(wkt), _GEOMETRY, "#")
+    collection = wkt.rlike("(?i)GEOMETRYCOLLECTION")
     names = F.regexp_extract_all(wkt, F.lit("(?i)GEOMETRYCOLLECTION"), F.lit(0))
-    nested = F.aggregate(names, folded, lambda text, _: F.regexp_replace(text, _COLLECTION, "#"))
-    many = wkt.rlike("(?i)GEOMETRYCOLLECTION")
-    readable = F.when(many, nested == "#").otherwise(F.trim(wkt).rlike(f"^(?:{_GEOMETRY})$"))
-    rings = F.regexp_extract_all(
-        F.regexp_replace(wkt, _UNRINGED, " "), F.lit(r"\((\s*+[-+.\d][^()]*+)\)"), F.lit(1)
+    nested = F.aggregate(
+        names,
+        F.regexp_replace(F.trim(wkt), _GEOMETRY, "#"),
+        lambda text, _: F.regexp_replace(text, _COLLECTION, "#"),
     )
+    readable = F.when(collection, ~wkt.contains("#") & (nested == "#")).otherwise(
+        F.trim(wkt).rlike(f"^(?:{_GEOMETRY})$")
+    )
+    # what has no ring is taken out, so that all lists left are rings
+    unringed = F.when(
+        wkt.rlike("(?i)POINT|LINESTRING"), F.regexp_replace(wkt, _UNRINGED, " ")
+    ).otherwise(wkt)
+    rings = F.regexp_extract_all(unringed, F.lit(r"\((\s*+[-+.\d][^()]*+)\)"), F.lit(1))
     # forall over no ring at all is true, so the grammar has the first word
-    good = F.when(wkt.rlike(_CHARSET), readable) & F.forall(rings, _closed)
+    good = F.when(readable, F.forall(rings, _closed))
     return F.coalesce(good, F.lit(False))
 
 
