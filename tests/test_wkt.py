@@ -17,6 +17,7 @@ GOOD = [
     "POINT EMPTY",
     "POLYGON EMPTY",
     "  POINT ( 1 2 ) ",
+    "\n POLYGON ((0 0, 1 0,\n 1 1,\n\t0 0))\n",
     "LINESTRING(0 0, 1 1)",
     "LINEARRING(0 0, 1 0, 1 1, 0 0)",
     "MULTIPOINT((1 2), (3 4))",
@@ -67,7 +68,7 @@ def test_is_wkt(spark):
 
 
 def test_prefix_is_split_off_again(spark):
-    rows = [("EPSG:4326", t) for t in GOOD if not t.startswith(" ")]
+    rows = [("EPSG:4326", t) for t in GOOD if t == t.strip()]
     df = spark.createDataFrame(rows, "proj string, t string")
     shape = wkt.prefixed(F.col("proj"), F.col("t"))
     back = df.where((wkt.proj_of(shape) != F.col("proj")) | (wkt.wkt_of(shape) != F.col("t")))

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from twinflow.functions.text import strip
+
 # The schemes an address may have.
 SCHEMES = ("http", "https", "ftp")
 
@@ -18,7 +20,7 @@ def is_url(url: Column) -> Column:
 
 def normalize_url(url: Column) -> Column:
     """Trimmed, scheme in lower case; null when it is no URL."""
-    text = F.trim(url)
+    text = strip(url)
     scheme = F.substring_index(text, "://", 1)
     rest = F.substr(text, F.length(scheme) + 1)
     return F.when(is_url(text), F.concat(F.lower(scheme), rest))

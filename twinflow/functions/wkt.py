@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from twinflow.functions.text import strip
+
 _NUMBER = r"[-+]?+(?:\d++(?:\.\d*+)?+|\.\d++)(?:[eE][-+]?+\d++)?+"
 
 
@@ -57,8 +59,8 @@ _UNRINGED = (
 
 def _closed(ring: Column) -> Column:
     """First and last coordinate are the same text, or else agree as numbers in x and y."""
-    first = F.trim(F.substring_index(ring, ",", 1))
-    last = F.trim(F.substring_index(ring, ",", -1))
+    first = strip(F.substring_index(ring, ",", 1))
+    last = strip(F.substring_index(ring, ",", -1))
 
     def ordinate(point: Column, i: int) -> Column:
         return F.try_element_at(F.split(point, r"\s+"), F.lit(i)).try_cast("double")
@@ -78,11 +80,11 @@ def is_wkt(wkt: Column) -> Column:
     names = F.regexp_extract_all(wkt, F.lit("(?i)GEOMETRYCOLLECTION"), F.lit(0))
     nested = F.aggregate(
         names,
-        F.regexp_replace(F.trim(wkt), _GEOMETRY, "#"),
+        F.regexp_replace(strip(wkt), _GEOMETRY, "#"),
         lambda text, _: F.regexp_replace(text, _COLLECTION, "#"),
     )
     readable = F.when(collection, ~wkt.contains("#") & (nested == "#")).otherwise(
-        F.trim(wkt).rlike(f"^(?:{_GEOMETRY})$")
+        strip(wkt).rlike(f"^(?:{_GEOMETRY})$")
     )
     # what has no ring is taken out, so that all lists left are rings
     unringed = F.when(
@@ -100,18 +102,18 @@ def prefixed(proj: Column, wkt: Column) -> Column:
 
 
 def has_prefix(shape: Column) -> Column:
-    return F.trim(shape).rlike(r"^[A-Za-z][A-Za-z0-9_-]*+:\S++\s")
+    return strip(shape).rlike(r"^[A-Za-z][A-Za-z0-9_-]*+:\S++\s")
 
 
 def proj_of(shape: Column) -> Column:
-    return F.when(has_prefix(shape), F.substring_index(F.trim(shape), " ", 1))
+    return F.when(has_prefix(shape), F.regexp_extract(strip(shape), r"^(\S++)", 1))
 
 
 def wkt_of(shape: Column) -> Column:
     """The text without its projection prefix."""
     return F.when(
-        has_prefix(shape), F.trim(F.regexp_replace(F.trim(shape), r"^\S++\s++", ""))
-    ).otherwise(F.trim(shape))
+        has_prefix(shape), strip(F.regexp_replace(strip(shape), r"^\S++\s++", ""))
+    ).otherwise(strip(shape))
 
 
 _PAIR = rf"({_NUMBER})\s++({_NUMBER})(?:\s++{_NUMBER})*+"

@@ -10,7 +10,7 @@ def is_object(value: Column) -> Column:
     """The text is one JSON object, with nothing after it."""
     framed = F.concat(F.lit('{"document":'), value, F.lit(',"end":1}'))
     whole = F.array_contains(F.json_object_keys(framed), "end")
-    return F.coalesce(whole & F.ltrim(value).startswith("{"), F.lit(False))
+    return F.coalesce(whole & value.rlike(r"^\s*+\{"), F.lit(False))
 
 
 def extract_urn(df: DataFrame, value: str = "value") -> DataFrame:
@@ -30,13 +30,9 @@ def add_observable(value: Column, observable: Column) -> Column:
     The key is put in front of the closing brace, so nested values need not
     be taken apart. ``value`` has to be one JSON object.
     """
-    body = F.rtrim(value)
-    head = F.substr(body, F.lit(1), F.length(body) - 1)
-    empty = F.regexp_replace(value, r"\s+", "") == "{}"
-    entry = F.concat(F.lit('"observable":'), F.to_json(observable), F.lit("}"))
-    return F.when(empty, F.concat(F.lit("{"), entry)).otherwise(
-        F.concat(head, F.lit(","), entry)
-    )
+    head = F.regexp_replace(value, r"\}\s*$", "")
+    comma = F.when(value.rlike(r"^\s*+\{\s*+\}\s*+$"), F.lit("")).otherwise(F.lit(","))
+    return F.concat(head, comma, F.lit('"observable":'), F.to_json(observable), F.lit("}"))
 
 
 def split_observation(df: DataFrame, value: str = "value") -> DataFrame:

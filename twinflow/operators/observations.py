@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from twinflow import schemas as S
 from twinflow.functions import wkt
+from twinflow.functions.text import is_blank, strip
 
 
 def default_name(name: Column, now_ms: Column | None = None) -> Column:
     """The name, or ``testing-<now>`` for a null or blank one."""
     now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
     made = F.concat(F.lit(S.DEFAULT_NAME_PREFIX), now.cast("string"))
-    return F.when(F.coalesce(F.trim(name), F.lit("")) == "", made).otherwise(name)
+    return F.when(is_blank(name), made).otherwise(name)
 
 
 def id_policy(observation_id: Column, federated: bool = False, profile: str = "strict") -> Column:
@@ -78,7 +79,7 @@ def build_geometry(geometry: Column) -> Column:
     temporal resolution (unit and how many of it)."""
     g = apply_defaults(geometry)
     space, time = g["space"], g["time"]
-    shape = F.when(wkt.has_prefix(space["shape"]), F.trim(space["shape"])).otherwise(
+    shape = F.when(wkt.has_prefix(space["shape"]), strip(space["shape"])).otherwise(
         wkt.prefixed(space["proj"], space["shape"])
     )
     built = geometry_struct(

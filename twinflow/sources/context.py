@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from twinflow import schemas as S
 from twinflow.functions import attributes as A
 from twinflow.functions import urls, wkt
+from twinflow.functions.text import is_blank
 from twinflow.operators.observations import default_name, geometry_struct
 
 
@@ -56,7 +57,7 @@ def build_context_requests(
         ).alias("geometry"),
         default_name(_param(params, "name", F.lit(None).cast("string")), now_ms).alias("name"),
         semantics.alias("semantics"),
-        F.when(F.trim(twin) != "", urls.normalize_url(twin)).alias("digital_twin"),
+        F.when(~is_blank(twin), urls.normalize_url(twin)).alias("digital_twin"),
         F.lit(S.UNRESOLVED_ID).cast("bigint").alias("observation_id"),
         A.urn_attribute(semantics, prefix).alias("attributes"),
     )
