@@ -85,6 +85,13 @@ def test_submitting_again_changes_nothing(spark):
     assert {k: v[1:] for k, v in result(again).items()} == {k: v[1:] for k, v in result(first).items()}
 
 
+def test_rows_without_twin_or_id_are_kept(spark):
+    rows = [(1, None, 4, "n", "u", "S"), (2, None, None, "n", "u", "S"), (3, "t", None, "n", "u", "S")]
+    obs = with_geometry(spark.createDataFrame(rows, OBS))
+    got = result(U.submit_observations(obs, store_of(spark, [])))
+    assert {k: v[:2] for k, v in got.items()} == {1: ("accepted", 4), 2: ("resolved", 5), 3: ("resolved", 1)}
+
+
 def test_ranks_have_no_gaps_over_many_blocks(spark):
     rng = random.Random(5)
     orders = [rng.randrange(-(2**62), 2**62) for _ in range(300)] + list(range(2**21 - 50, 2**21 + 50))

@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 _BITS = 21
 
 
-def rank_in_group(df: DataFrame, group: str, order: str, name: str = "rank") -> DataFrame:
+def rank_in_group(
+    df: DataFrame, group: str, order: str, name: str = "rank", after: DataFrame | None = None
+) -> DataFrame:
     """1, 2, 3, ... by ``order`` within each ``group``.
 
     ``order`` is a unique bigint, ``group`` is not null. A plain
     ``row_number`` would sort a whole group in one task; here each block is
     numbered alone and moved up by the rows in the blocks before it.
+
+    ``after`` (``group``, ``start``; one row per group) makes a group begin
+    behind ``start``. It is joined to the few counts, not to the rows.
     """
     block, run = "_block", "_run"
     rows = df.withColumn(block, F.shiftright(order, _BITS))
@@ -31,6 +36,9 @@ def rank_in_group(df: DataFrame, group: str, order: str, name: str = "rank") ->
     in_run = counts.withColumn("_in_run", before(group, run, by=block))
     runs = counts.groupBy(group, run).agg(F.sum("_n").alias("_n"))
     runs = runs.withColumn("_runs", before(group, by=run)).drop("_n")
+    if after is not None:
+        started = F.col("_runs") + F.coalesce("start", F.lit(0))
+        runs = runs.join(after, group, "left").select(group, run, started.alias("_runs"))
     offsets = in_run.join(runs, [group, run]).select(
         group, block, (F.col("_in_run") + F.col("_runs")).alias("_before")
     )

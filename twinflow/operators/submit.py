@@ -17,7 +17,10 @@ _SALTS = 1024
 
 
 def submit_observations(
-    observations: DataFrame, store: DataFrame, row_id: str = "request_id"
+    observations: DataFrame,
+    store: DataFrame,
+    row_id: str = "request_id",
+    highest: DataFrame | None = None,
 ) -> DataFrame:
     """Submit so that doing it again changes nothing.
 
@@ -27,23 +30,33 @@ def submit_observations(
     * id not stored: ``accepted``. Of several in one input the first by
       ``row_id`` is accepted and the others get that one as ``existing``.
 
-    ``observations`` needs ``digital_twin`` (not null), ``observation_id`` and
-    a unique bigint ``row_id``; ``store`` is unique by twin and id. The
-    observation columns both sides have (name, urn, type, geometry) are the
-    ones a stored row overrides; other columns pass through.
+    ``observations`` needs ``digital_twin``, ``observation_id`` and a unique
+    bigint ``row_id``; ``store`` is unique by twin and id. A missing twin is
+    the one named ''. The observation columns both sides have (name, urn,
+    type, geometry) are the ones a stored row overrides; others pass through.
+    ``highest`` (``highest_ids``) spares a scan of the store for its ids.
 
     The input is read several times: hand in a written table
     (``session.staged``) when it is expensive to make.
     """
     payload = [c for c in store.columns if c in observations.columns and c not in _KEY]
-    unresolved = F.col("observation_id") == UNRESOLVED_ID
-    given = observations.where(~unresolved)
-    fresh = observations.where(unresolved)
+    unresolved = F.coalesce("observation_id", F.lit(UNRESOLVED_ID)) == UNRESOLVED_ID
+    named = observations.withColumn("digital_twin", F.coalesce("digital_twin", F.lit("")))
+    given = named.where(~unresolved)
+    fresh = named.where(unresolved)
+    if highest is None:
+        highest = highest_ids(store)
+    taken = highest_ids(given).unionByName(highest)
     return _submit_given(given, store, payload, row_id).unionByName(
-        _submit_fresh(fresh, given, store, row_id)
+        _submit_fresh(fresh, taken, row_id)
     )
 
 
+def highest_ids(rows: DataFrame) -> DataFrame:
+    """Per twin the largest id, as ``start``."""
+    return rows.groupBy("digital_twin").agg(F.max("observation_id").alias("start"))
+
+
 def _submit_given(
     given: DataFrame, store: DataFrame, payload: list[str], row_id: str
 ) -> DataFrame:
@@ -87,19 +100,14 @@ def _submit_given(
     )
 
 
-def _submit_fresh(
-    fresh: DataFrame, given: DataFrame, store: DataFrame, row_id: str
-) -> DataFrame:
+def _submit_fresh(fresh: DataFrame, taken: DataFrame, row_id: str) -> DataFrame:
     """New ids follow the largest id the twin has, stored or given in this input."""
-    ids = store.select(*_KEY).unionByName(given.select(*_KEY))
-    highest = ids.groupBy("digital_twin").agg(
-        F.greatest(F.max("observation_id"), F.lit(0)).alias("_highest")
+    start = taken.groupBy("digital_twin").agg(
+        F.greatest(F.max("start"), F.lit(0)).alias("start")
     )
-    ranked = rank_in_group(fresh, "digital_twin", row_id, "_rank")
-    joined = ranked.join(highest, "digital_twin", "left")
-    new_id = F.coalesce("_highest", F.lit(0)) + F.col("_rank")
-    return joined.select(
-        *[new_id.alias(c) if c == "observation_id" else F.col(c) for c in fresh.columns],
+    ranked = rank_in_group(fresh, "digital_twin", row_id, "_new_id", after=start)
+    return ranked.select(
+        *[F.col("_new_id").alias(c) if c == "observation_id" else F.col(c) for c in fresh.columns],
         F.lit(OUTCOME_RESOLVED).alias("outcome"),
     )
 

@@ -573,9 +573,9 @@ def stream_fanout(spark, sf_dir):
 def stream_register(spark, sf_dir):
     run = fresh_dir(spark, "stream")
     fields = I.view(I.events_stream(spark, sf_dir), I.REQUESTS, "events")
-    known = I.registry(spark, sf_dir)
-    _finish(jobs.register(fields, known, f"{run}/out", f"{run}/checkpoint", once=True))
-    return spark.read.schema(S.SCOPE).parquet(f"{run}/out").select("dt_url", "scope_kind")
+    jobs.seed_registry(I.registry(spark, sf_dir), f"{run}/registry")
+    _finish(jobs.register(fields, f"{run}/registry", f"{run}/checkpoint", once=True))
+    return jobs.read_registry(spark, f"{run}/registry").select("dt_url", "scope_kind")
 
 
 @query

@@ -519,12 +519,6 @@ from m where queue in ('Events', 'Errors', 'Status')""",
         "m",
         """
 select listener, message_id, payload from m, (values ('first'), ('second')) as l(listener)""",
-    ),
-    "stream_register": _sql(
-        "r0 reg",
-        """
-select distinct digital_twin as dt_url, 'user' as scope_kind from r0
-where digital_twin <> '' and digital_twin not in (select dt_url from reg)""",
     ),
     # windows the watermark (last message less ten minutes) has passed
     "stream_rates": _sql(
@@ -538,3 +532,4 @@ where window_end <= (select max(timestamp) - 600000 from m)""",
     ),
 }
 ORACLES["stream_submit"] = ORACLES["route_requests"]
+ORACLES["stream_register"] = ORACLES["register_twins"]

@@ -37,12 +37,16 @@ def check_requests(
 
 
 def submit_checked(
-    checked: DataFrame, store: DataFrame, with_content: bool = False, row_id: str = "request_id"
+    checked: DataFrame,
+    store: DataFrame,
+    with_content: bool = False,
+    row_id: str = "request_id",
+    highest: DataFrame | None = None,
 ) -> DataFrame:
     """Submit the good rows of ``check_requests`` and route all rows."""
     good = checked.where(F.col("error_code").isNull())
     failed = checked.where(F.col("error_code").isNotNull())
-    submitted = submit_observations(good, store, row_id)
+    submitted = submit_observations(good, store, row_id, highest)
     return route(submitted, with_content).unionByName(
         route(failed.withColumn("outcome", F.lit(None).cast("string")))
     )

@@ -16,7 +16,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from twinflow import schemas as S
 from twinflow.operators.messages import relay_messages
 from twinflow.operators.monitor import message_rates
-from twinflow.operators.submit import stored_rows
+from twinflow.operators.submit import highest_ids, new_twins, stored_rows
 from twinflow.plans.pipeline import check_requests, submit_checked
 from twinflow.sinks.writers import request_payloads
 from twinflow.sources.requests import with_request_ids
@@ -92,63 +92,95 @@ def wait_all(queries: dict[str, StreamingQuery]) -> dict[str, str]:
     return failed
 
 
+def rates(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    width: str = "1 hour",
+    late: str = "10 minutes",
+    **kw,
+) -> StreamingQuery:
+    """Message rates; a window is written once the watermark has passed it."""
+    return write_stream(message_rates(messages, width, late), path, checkpoint, **kw)
+
+
+def _put(df: DataFrame, schema: T.StructType, path: str, batch_id: int) -> None:
+    """Write a batch's rows under its own folder, instead of any it left before."""
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def _get(
+    spark: SparkSession, schema: T.StructType, path: str, before: int | None = None
+) -> DataFrame:
+    """What all batches wrote, or those ahead of ``before`` (a partition filter)."""
+    batched = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    rows = spark.read.schema(batched).parquet(path)
+    if before is not None:
+        rows = rows.where(F.col("batch_id") < before)
+    return rows.drop("batch_id")
+
+
+def _stepped(
+    source: DataFrame, step: Listener, checkpoint: str, once: bool, every: str
+) -> StreamingQuery:
+    writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+    return _triggered(writer, once, every).start()
+
+
+def seed_registry(registry: DataFrame, path: str) -> None:
+    """Lay down the twins known before the first batch (there may be none)."""
+    if "first_seen" not in registry.columns:
+        registry = registry.withColumn("first_seen", F.lit(None).cast("timestamp"))
+    _put(registry, S.SCOPE, path, -1)
+
+
+def read_registry(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    return _get(spark, S.SCOPE, path, before)
+
+
 def register(
     requests: DataFrame,
-    registry: DataFrame,
     path: str,
     checkpoint: str,
     scope_kind: str = "user",
-    **kw,
+    once: bool = False,
+    every: str = "10 seconds",
 ) -> StreamingQuery:
-    """Append each twin the first time it is seen, unless it is registered.
+    """Add each twin to the registry at ``path`` the first time it is seen.
 
-    The state holds one entry per twin and is kept for good, as a registry
-    has to be.
+    A batch is reduced to its distinct twins before anything is shuffled, so
+    it does not matter how many requests name the same one; a streaming
+    ``dropDuplicates`` would send them all to one task.
     """
-    twin = F.col("digital_twin")
-    added = (
-        requests.where(twin != "")
-        .select(twin.alias("dt_url"))
-        .dropDuplicates(["dt_url"])
-        .join(registry.select("dt_url"), "dt_url", "left_anti")
-        .select(
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        known = read_registry(batch.sparkSession, path, before=batch_id)
+        added = new_twins(batch, known).select(
             "dt_url",
             F.lit(scope_kind).alias("scope_kind"),
             F.current_timestamp().alias("first_seen"),
         )
-    )
-    return write_stream(added, path, checkpoint, **kw)
-
+        _put(added, S.SCOPE, path, batch_id)
 
-def rates(
-    messages: DataFrame,
-    path: str,
-    checkpoint: str,
-    width: str = "1 hour",
-    late: str = "10 minutes",
-    **kw,
-) -> StreamingQuery:
-    """Message rates; a window is written once the watermark has passed it."""
-    return write_stream(message_rates(messages, width, late), path, checkpoint, **kw)
+    return _stepped(requests, step, checkpoint, once, every)
 
 
-_BATCHED_STORE = T.StructType(
-    [*S.OBSERVATION.fields, T.StructField("batch_id", T.LongType())]
+# Largest id per twin, kept beside the store so that no batch has to scan it for that.
+_HEADS = T.StructType(
+    [T.StructField("digital_twin", T.StringType()), T.StructField("start", T.LongType())]
 )
 
 
 def seed_store(store: DataFrame, path: str) -> None:
-    """Lay down an existing store as what was there before the first batch."""
-    rows = store.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.OBSERVATION])
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+    """Lay down an existing store (or an empty one) ahead of the first batch."""
+    _put(store, S.OBSERVATION, f"{path}/rows", -1)
+    _put(highest_ids(store), _HEADS, f"{path}/heads", -1)
 
 
 def read_store(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """The store, or what it was ahead of batch ``before`` (a partition filter)."""
-    rows = spark.read.schema(_BATCHED_STORE).parquet(path)
-    if before is not None:
-        rows = rows.where(F.col("batch_id") < before)
-    return rows.drop("batch_id")
+    """The store, or what it was ahead of batch ``before``."""
+    return _get(spark, S.OBSERVATION, f"{path}/rows", before)
 
 
 def submit_batch(
@@ -156,10 +188,14 @@ def submit_batch(
 ) -> Listener:
     """The batch step of ``submit``.
 
-    Rows are numbered, parsed and checked once into ``work_path``. The store
-    rows and the outcomes go under the batch's own folder, overwriting it: a
-    batch that comes again sees the store of before and writes the same. One
-    writer per store is assumed.
+    Rows are numbered, parsed and checked once into ``work_path``. New store
+    rows and the outcomes go under the batch's own folders, overwriting them:
+    a batch that comes again sees the store of before and writes the same.
+    One writer per store is assumed.
+
+    A batch is matched with the store by a semi join. While its keys are few
+    enough to be broadcast, the store is read (key columns, then matches) and
+    never shuffled; make batches larger where that read is what costs.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -170,14 +206,14 @@ def submit_batch(
         checked.write.mode("overwrite").parquet(work)
         checked = spark.read.schema(schema).parquet(work)
         store = read_store(spark, store_path, before=batch_id)
+        heads = _get(spark, _HEADS, f"{store_path}/heads", before=batch_id)
         out = f"{out_path}/batch_id={batch_id}"
-        outcomes = submit_checked(checked, store)
+        outcomes = submit_checked(checked, store, highest=heads)
         outcomes.write.mode("overwrite").partitionBy("route").parquet(out)
         written = spark.read.schema(outcomes.schema).parquet(out)
-        good = written.where(F.col("route") == S.ROUTE_SUCCESS)
-        stored_rows(good, store).write.mode("overwrite").parquet(
-            f"{store_path}/batch_id={batch_id}"
-        )
+        added = stored_rows(written.where(F.col("route") == S.ROUTE_SUCCESS), store)
+        _put(added, S.OBSERVATION, f"{store_path}/rows", batch_id)
+        _put(highest_ids(added), _HEADS, f"{store_path}/heads", batch_id)
 
     return step
 
@@ -195,5 +231,4 @@ def submit(
 ) -> StreamingQuery:
     """Check, resolve, submit and route requests as they come."""
     step = submit_batch(concepts, store_path, out_path, work_path, **check)
-    writer = requests.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
-    return _triggered(writer, once, every).start()
+    return _stepped(requests, step, checkpoint, once, every)
