@@ -23,7 +23,7 @@ def test_no_cross_join_and_no_row_python(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text
-    assert ("ArrowEvalPython" in text) == (name == "validate_coords")
+    assert ("ArrowEvalPython" in text) == (name in ("validate_coords", "build_requests"))
     assert "SinglePartition" not in text
 
 
@@ -85,3 +85,37 @@ def test_submission_carries_no_unused_payload(spark):
     store = obs.select("digital_twin", "observation_id", "name").limit(0)
     text = submit_observations(obs, store).groupBy("outcome").count()
     assert "min_by" not in text._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_key_of_many_requests_is_split_at_run_time(spark):
+    """Over the broadcast threshold a third of all rows asks for one concept, a
+    third for none."""
+    semantics = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 900))
+    requests = spark.range(0, 300_000, 1, 8).select(
+        F.col("id").alias("request_id"), semantics.alias("semantics"), F.sha2(F.col("id").cast("string"), 512).alias("value")
+    )
+    keys = spark.range(0, 900).select(F.concat(F.lit("k"), "id").alias("urn")).unionByName(spark.sql("select 'hot' as urn"))
+    concepts = keys.select(
+        "urn", F.lit(1).alias("concept_id"), F.concat(F.lit("o:"), "urn").alias("observable_urn"),
+        F.lit("SUBJECT").alias("observation_type"), F.lit(None).cast("string").alias("resource"),
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        df = resolve_observables(requests, concepts)
+        rows = df._jdf.queryExecution()
+        assert df.groupBy().agg(F.count("observable_urn"), F.count("value")).first() is not None
+        assert len(df.toArrow()) == 300_000
+        assert "skew=true" in rows.executedPlan().toString()
+        assert df.where("observable_urn is not null").count() == 200_000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

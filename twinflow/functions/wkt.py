@@ -101,19 +101,20 @@ def prefixed(proj: Column, wkt: Column) -> Column:
     return F.concat_ws(" ", proj, wkt)
 
 
+_PREFIX = r"[A-Za-z][A-Za-z0-9_-]*+:\S++"
+
+
 def has_prefix(shape: Column) -> Column:
-    return strip(shape).rlike(r"^[A-Za-z][A-Za-z0-9_-]*+:\S++\s")
+    return shape.rlike(rf"^\s*+{_PREFIX}\s")
 
 
 def proj_of(shape: Column) -> Column:
-    return F.when(has_prefix(shape), F.regexp_extract(strip(shape), r"^(\S++)", 1))
+    return F.nullif(F.regexp_extract(shape, rf"^\s*+({_PREFIX})\s", 1), F.lit(""))
 
 
 def wkt_of(shape: Column) -> Column:
     """The text without its projection prefix."""
-    return F.when(
-        has_prefix(shape), strip(F.regexp_replace(strip(shape), r"^\S++\s++", ""))
-    ).otherwise(strip(shape))
+    return strip(F.regexp_replace(shape, rf"^\s*+{_PREFIX}\s++", ""))
 
 
 _PAIR = rf"({_NUMBER})\s++({_NUMBER})(?:\s++{_NUMBER})*+"

@@ -50,54 +50,45 @@ def geometry_struct(
     ).cast(S.GEOMETRY)
 
 
-def apply_defaults(geometry: Column) -> Column:
-    """Fill grid, projection, unit and scope; a missing part stays missing."""
+def _parts(geometry: Column, submitted: bool) -> Column:
+    """Geometry with defaults filled in; a missing part stays missing.
+
+    Written out from the fields given, not from a filled struct: Spark would
+    work out that struct again for every field taken from it.
+    """
     space, time = geometry["space"], geometry["time"]
-    proj = F.coalesce(space["proj"], wkt.proj_of(space["shape"]), F.lit(S.DEFAULT_PROJ))
+    shape, tunit = space["shape"], F.coalesce(time["tunit"], F.lit(S.DEFAULT_TUNIT))
+    proj = F.coalesce(space["proj"], wkt.proj_of(shape), F.lit(S.DEFAULT_PROJ))
+    if submitted:
+        text = F.when(wkt.has_prefix(shape), strip(shape)).otherwise(wkt.prefixed(proj, shape))
+        shape, tunit = F.when(shape.isNotNull(), text), F.lower(tunit)
     filled_space = F.struct(
-        space["shape"].alias("shape"),
+        shape.alias("shape"),
         F.coalesce(space["sgrid"], F.lit(S.DEFAULT_GRID)).alias("sgrid"),
         proj.alias("proj"),
     )
     filled_time = F.struct(
         time["tstart"].alias("tstart"),
         time["tend"].alias("tend"),
-        F.coalesce(time["tunit"], F.lit(S.DEFAULT_TUNIT)).alias("tunit"),
+        tunit.alias("tunit"),
         F.coalesce(time["tscope"], F.lit(S.DEFAULT_TSCOPE)).alias("tscope"),
     )
-    return F.when(
-        geometry.isNotNull(),
-        F.struct(
-            F.when(space.isNotNull(), filled_space).alias("space"),
-            F.when(time.isNotNull(), filled_time).alias("time"),
-        ),
+    both = F.struct(
+        F.when(space.isNotNull(), filled_space).alias("space"),
+        F.when(time.isNotNull(), filled_time).alias("time"),
     )
+    return F.when(geometry.isNotNull(), both)
+
+
+def apply_defaults(geometry: Column) -> Column:
+    """Fill grid, projection, unit and scope."""
+    return _parts(geometry, submitted=False)
 
 
 def build_geometry(geometry: Column) -> Column:
     """What is submitted: prefixed shape, grid, projection, interval and the
     temporal resolution (unit and how many of it)."""
-    g = apply_defaults(geometry)
-    space, time = g["space"], g["time"]
-    shape = F.when(wkt.has_prefix(space["shape"]), strip(space["shape"])).otherwise(
-        wkt.prefixed(space["proj"], space["shape"])
-    )
-    built = geometry_struct(
-        F.when(space["shape"].isNotNull(), shape),
-        space["sgrid"],
-        space["proj"],
-        time["tstart"],
-        time["tend"],
-        F.lower(time["tunit"]),
-        time["tscope"],
-    )
-    return F.when(
-        geometry.isNotNull(),
-        F.struct(
-            F.when(space.isNotNull(), built["space"]).alias("space"),
-            F.when(time.isNotNull(), built["time"]).alias("time"),
-        ),
-    )
+    return _parts(geometry, submitted=True)
 
 
 def build_observations(

@@ -150,6 +150,21 @@ def lookup_scope(
     )
 
 
+def create_scopes(
+    df: DataFrame,
+    registry: DataFrame,
+    default_scope: str | None = None,
+    scope_kind: str = "user",
+    twin: str = "digital_twin",
+) -> DataFrame:
+    """Get or create: as ``lookup_scope``, but a twin not registered yet has
+    the scope that ``register_twins`` would give it."""
+    found = lookup_scope(df, registry, default_scope, twin)
+    named = F.coalesce(F.col(twin), F.lit("")) != ""
+    made = F.when(named, F.coalesce("scope_kind", F.lit(scope_kind)))
+    return found.withColumn("scope_kind", made.otherwise(F.col("scope_kind")))
+
+
 def register_twins(
     df: DataFrame, registry: DataFrame, scope_kind: str = "user", twin: str = "digital_twin"
 ) -> DataFrame:

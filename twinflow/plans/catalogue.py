@@ -20,7 +20,7 @@ from twinflow.plans import inputs as I
 from twinflow.plans import pipeline
 from twinflow.session import fresh_dir, staged
 from twinflow.sinks.writers import request_payloads
-from twinflow.sources import context
+from twinflow.sources import builder, context
 from twinflow.sources.requests import parse_requests
 from twinflow.streaming import jobs
 
@@ -251,6 +251,26 @@ def request_payloads_q(spark, sf_dir):
     )
 
 
+@query
+def build_requests(spark, sf_dir):
+    sid = F.col("shape_id")
+    parts = I.shapes(spark, sf_dir, "ts", "user_id").select(
+        "shape_id",
+        F.when(sid % 9 != 0, F.concat(F.lit("shape-"), sid)).otherwise("").alias("name"),
+        F.concat(F.lit("nation:NATION_"), F.col("user_id") % 25).alias("semantics"),
+        F.when(sid % 10 != 0, F.col("coords")).alias("coords"),
+        F.col("ts").alias("tstart"),
+        F.when(sid % 13 != 0, F.col("ts") + F.expr("interval 1 day"))
+        .otherwise(F.col("ts") - F.expr("interval 1 second"))
+        .alias("tend"),
+        F.when(sid % 4 == 0, 2).alias("tscope"),
+        (sid % 6).alias("id"),
+    )
+    return builder.build_requests(parts, "python").select(
+        "shape_id", "name", "semantics", "observation_id", "error_code", *_flat(F.col("geometry"))
+    )
+
+
 @query
 def context_requests(spark, sf_dir):
     rows = context.build_context_requests(I.context_params(spark, sf_dir), F.lit(NOW_MS))
@@ -349,6 +369,12 @@ def lookup_scope(spark, sf_dir):
     return U.lookup_scope(requests, I.registry(spark, sf_dir), default_scope="user")
 
 
+@query
+def create_scopes(spark, sf_dir):
+    requests = I.request_fields(spark, sf_dir).select("request_id", "digital_twin")
+    return U.create_scopes(requests, I.registry(spark, sf_dir), default_scope="user")
+
+
 @query
 def register_twins(spark, sf_dir):
     return U.register_twins(I.request_fields(spark, sf_dir), I.registry(spark, sf_dir))

@@ -223,9 +223,10 @@ def relay_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.select("request_id", value.otherwise(whole).alias("value"))
 
 
-def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """shape_id, kind and the coordinate list ``coords``."""
-    rows = view(table(spark, sf_dir, "events"), SHAPES, "events")
+def shapes(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """shape_id, kind, the coordinate list ``coords`` and columns of events."""
+    text = SHAPES.replace("from {events}", "".join(f", {c}" for c in extra) + " from {events}")
+    rows = view(table(spark, sf_dir, "events"), text, "events")
 
     def at(dx: Column, dy: Column) -> Column:
         return F.struct(
@@ -251,4 +252,4 @@ def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coords = F.when(F.col("kind") == "bow", along(1)).when(F.col("kind") == "star", along(2))
     for kind, points in fixed.items():
         coords = coords.when(F.col("kind") == kind, F.array(*[at(F.lit(x), F.lit(y)) for x, y in points]))
-    return rows.select("shape_id", "kind", coords.alias("coords"))
+    return rows.select("shape_id", "kind", coords.alias("coords"), *extra)

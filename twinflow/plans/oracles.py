@@ -302,6 +302,22 @@ select request_id, name, semantics, digital_twin, observation_id,
        geometry_kind <> 'none' as has_geometry
 from r""",
     ),
+    "build_requests": f"""
+with {"sh as (" + _CTES["sh"].replace("from events", ", ts, user_id from events") + ")"},
+t as (select *, case when shape_id % 9 = 0 then '' else 'shape-' || shape_id end as new_name,
+             {_MS} as t0, {_MS} + case when shape_id % 13 = 0 then -1000 else 86400000 end as t1 from sh)
+select shape_id, new_name as name, 'nation:NATION_' || (user_id % 25) as semantics,
+       case when shape_id % 6 = 0 then -1 else shape_id % 6 end as observation_id,
+       case when new_name = '' then 'missing_name'
+            when shape_id % 10 <> 0 and kind in ('same', 'bowtie', 'flat', 'star') then 'bad_coords'
+            when shape_id % 10 <> 0 and t0 > t1 then 'time_reversed' end as error_code,
+       case when shape_id % 10 <> 0 then 'EPSG:4326 ' || {_shape_text()} end as shape,
+       case when shape_id % 10 <> 0 then '1.km' end as sgrid,
+       case when shape_id % 10 <> 0 then 'EPSG:4326' end as proj,
+       case when shape_id % 10 <> 0 then t0 end as tstart, case when shape_id % 10 <> 0 then t1 end as tend,
+       case when shape_id % 10 <> 0 then 'year' end as tunit,
+       case when shape_id % 10 <> 0 then cast(case when shape_id % 4 = 0 then 2 else 1 end as integer) end as tscope
+from t""",
     "context_requests": _sql(
         "cp",
         """
@@ -381,6 +397,12 @@ where digital_twin <> '' and digital_twin not in (select dt_url from reg)""",
         "r0 reg",
         """
 select request_id, digital_twin, case when digital_twin = '' then 'user' else scope_kind end as scope_kind
+from r0 left join reg on dt_url = digital_twin""",
+    ),
+    "create_scopes": _sql(
+        "r0 reg",
+        """
+select request_id, digital_twin, coalesce(scope_kind, 'user') as scope_kind
 from r0 left join reg on dt_url = digital_twin""",
     ),
     "register_twins": _sql(

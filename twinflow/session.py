@@ -15,6 +15,9 @@ def local_session(cores: str = "*", name: str = "twinflow", **conf) -> SparkSess
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        # the JVM does not compile methods over 8000 bytes of byte code; the
+        # checks make such methods, so let Spark cut them into operators
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
