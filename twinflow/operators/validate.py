@@ -20,6 +20,7 @@ PLACES = {
     "missing_semantics": "semantics",
     "missing_shape": "geometry.space.shape",
     "bad_wkt": "geometry.space.shape",
+    "bad_coords": "geometry.space.shape",
     "bad_time": "geometry.time",
     "time_reversed": "geometry.time",
     "bad_time_unit": "geometry.time.tunit",
@@ -71,7 +72,8 @@ def request_rules(profile: str = "strict", require_twin: bool = True) -> list[tu
     return rules
 
 
-def _with_place(df: DataFrame) -> DataFrame:
+def with_place(df: DataFrame) -> DataFrame:
+    """Set ``error_detail`` by ``error_code``."""
     places = F.create_map(*[F.lit(x) for pair in PLACES.items() for x in pair])
     return df.withColumn("error_detail", F.try_element_at(places, F.col("error_code")))
 
@@ -93,14 +95,14 @@ def validate_requests(
         failed = ~F.coalesce(rule, F.lit(False))
         first = (F if first is None else first).when(failed, F.lit(code))
     text = wkt.wkt_of(F.col("geometry.space.shape"))
-    return _with_place(df.withColumn("_wkt", text).withColumn("error_code", first).drop("_wkt"))
+    return with_place(df.withColumn("_wkt", text).withColumn("error_code", first).drop("_wkt"))
 
 
 def fail_where(df: DataFrame, condition: Column, code: str) -> DataFrame:
     """Add a later rule: an earlier error keeps its place."""
     later = F.when(condition, F.lit(code))
     earlier = [F.col("error_code")] if "error_code" in df.columns else []
-    return _with_place(df.withColumn("error_code", F.coalesce(*earlier, later)))
+    return with_place(df.withColumn("error_code", F.coalesce(*earlier, later)))
 
 
 def error_counts(df: DataFrame) -> DataFrame:

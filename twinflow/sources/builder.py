@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from twinflow import schemas as S
 from twinflow.functions import shapes, times, wkt
 from twinflow.operators.observations import geometry_struct, id_policy
-from twinflow.operators.validate import validate_requests
+from twinflow.operators.validate import validate_requests, with_place
 
 _CORNERS = ("min_x", "min_y", "max_x", "max_y")
 
@@ -42,6 +42,8 @@ def build_requests(
         text = F.coalesce(text, wkt.coords_to_wkt(F.col("coords")))
     if set(_CORNERS) <= have:
         text = F.coalesce(text, wkt.bbox_to_wkt(*[F.col(c) for c in _CORNERS]))
+    parts = parts.withColumn("_text", text)
+    text = F.col("_text")
     proj = part("proj", S.DEFAULT_PROJ, "string")
     tstart, tend = (
         _millis(parts, c) if c in have else F.lit(None).cast("bigint") for c in ("tstart", "tend")
@@ -70,7 +72,7 @@ def build_requests(
         ),
     )
     own = {*_CORNERS, "wkt", "coords", "proj", "grid", "tstart", "tend", "tunit", "tscope", "id"}
-    own |= {"name", "semantics", "digital_twin"}
+    own |= {"name", "semantics", "digital_twin", "_text"}
     built = parts.select(
         *[c for c in parts.columns if c not in own],
         *(["coords"] if "coords" in have else []),
@@ -85,14 +87,14 @@ def build_requests(
     if "coords" in have:
         points = F.col("coords")
         bad = points.isNotNull() & (F.size(points) > 0) & ~shapes.coords_valid(points)
-        checked = _points_rule(checked, bad)
-    return checked.drop("coords", "malformed")
+        checked = _points_rule(checked.withColumn("_bad", bad))
+    return checked.drop("coords", "malformed", "_bad")
 
 
-def _points_rule(checked: DataFrame, bad: Column) -> DataFrame:
+def _points_rule(checked: DataFrame) -> DataFrame:
     """Points that make no valid shape are found before the rules on time."""
     earlier = F.col("error_code").isin("missing_name", "missing_semantics", "missing_shape")
-    hit = F.coalesce(~earlier, F.lit(True)) & bad
-    return checked.withColumn(
-        "error_detail", F.when(hit, F.lit("geometry.space.shape")).otherwise(F.col("error_detail"))
-    ).withColumn("error_code", F.when(hit, F.lit("bad_coords")).otherwise(F.col("error_code")))
+    hit = F.col("_bad") & F.coalesce(~earlier, F.lit(True))
+    return with_place(
+        checked.withColumn("error_code", F.when(hit, "bad_coords").otherwise(F.col("error_code")))
+    )
