@@ -76,24 +76,30 @@ def is_wkt(wkt: Column) -> Column:
     then each collection of ``#`` as often as there are collections in the
     text, so nesting may be of any depth.
     """
-    collection = wkt.rlike("(?i)GEOMETRYCOLLECTION")
-    names = F.regexp_extract_all(wkt, F.lit("(?i)GEOMETRYCOLLECTION"), F.lit(0))
+    text = strip(wkt)
+    kind = F.upper(F.substring(text, 1, 18))
+    collection = kind == "GEOMETRYCOLLECTION"
+    names = F.regexp_extract_all(text, F.lit("(?i)GEOMETRYCOLLECTION"), F.lit(0))
     nested = F.aggregate(
         names,
-        F.regexp_replace(strip(wkt), _GEOMETRY, "#"),
-        lambda text, _: F.regexp_replace(text, _COLLECTION, "#"),
+        F.regexp_replace(text, _GEOMETRY, "#"),
+        lambda part, _: F.regexp_replace(part, _COLLECTION, "#"),
     )
-    readable = F.when(collection, ~wkt.contains("#") & (nested == "#")).otherwise(
-        strip(wkt).rlike(f"^(?:{_GEOMETRY})$")
+    readable = F.when(collection, ~text.contains("#") & (nested == "#")).otherwise(
+        text.rlike(f"^(?:{_GEOMETRY})$")
     )
-    # what has no ring is taken out, so that all lists left are rings
-    unringed = F.when(
-        wkt.rlike("(?i)POINT|LINESTRING"), F.regexp_replace(wkt, _UNRINGED, " ")
-    ).otherwise(wkt)
-    rings = F.regexp_extract_all(unringed, F.lit(r"\((\s*+[-+.\d][^()]*+)\)"), F.lit(1))
     # forall over no ring at all is true, so the grammar has the first word
-    good = F.when(readable, F.forall(rings, _closed))
-    return F.coalesce(good, F.lit(False))
+    closed = (
+        F.when(kind.rlike("^(?:MULTI)?(?:POINT|LINESTRING)"), F.lit(True))
+        .when(collection, F.forall(_lists(F.regexp_replace(text, _UNRINGED, " ")), _closed))
+        .otherwise(F.forall(_lists(text), _closed))
+    )
+    return F.coalesce(F.when(readable, closed), F.lit(False))
+
+
+def _lists(text: Column) -> Column:
+    """The innermost coordinate lists; in a text without points and lines, the rings."""
+    return F.regexp_extract_all(text, F.lit(r"\((\s*+[-+.\d][^()]*+)\)"), F.lit(1))
 
 
 def prefixed(proj: Column, wkt: Column) -> Column:
