@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from twinflow.operators import messages as M
 from twinflow.operators import monitor
 from twinflow.plans import inputs as I
-from twinflow.plans.pipeline import run_requests
+from twinflow.plans.pipeline import check_relayed, run_relayed, run_requests
 from twinflow.sources import messages as message_source
 from twinflow.sources import requests as R
 from twinflow.streaming import jobs
@@ -147,3 +147,18 @@ def test_requests_can_be_sent_as_a_stream(spark, sf_dir, tmp_path):
     here = R.read_requests(spark, landing).where("not malformed")
     assert table(there, "name", "geometry", "observation_id") == table(here, "name", "geometry", "observation_id")
     assert json.loads(there.first().value)["observationId"] is not None
+
+
+def test_observation_relay_as_a_stream(spark, sf_dir, tmp_path):
+    landing, paths = str(tmp_path / "in"), submit_paths(tmp_path)
+    I.relay_documents(spark, sf_dir).coalesce(1).write.parquet(landing)
+    concepts, store = I.concepts(spark, sf_dir), I.store(spark, sf_dir)
+    jobs.seed_store(store, paths[0])
+    documents = spark.readStream.schema("request_id bigint, value string").parquet(landing)
+    jobs.submit(
+        documents, concepts, *paths, str(tmp_path / "check"), once=True,
+        checker=check_relayed, with_content=True,
+    ).awaitTermination()
+    batch = run_relayed(I.relay_documents(spark, sf_dir), concepts, store)
+    columns = ("request_id", "route", "error_code", "outcome", "observation_id", "content")
+    assert table(spark.read.parquet(paths[1]), *columns) == table(batch, *columns)

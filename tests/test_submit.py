@@ -94,7 +94,7 @@ def test_rows_without_twin_or_id_are_kept(spark):
 
 def test_ranks_have_no_gaps_over_many_blocks(spark):
     rng = random.Random(5)
-    orders = [rng.randrange(-(2**62), 2**62) for _ in range(300)] + list(range(2**21 - 50, 2**21 + 50))
+    orders = [rng.randrange(-(2**62), 2**62) for _ in range(300)] + list(range(2**18 - 50, 2**18 + 50)) + list(range(2**40 - 50, 2**40 + 50))
     rows = [(o, "hot" if i % 3 else "cold") for i, o in enumerate(orders)]
     df = spark.createDataFrame(rows, "o bigint, g string")
     got = {(r.g, r.o): r["rank"] for r in rank_in_group(df, "g", "o").collect()}

@@ -43,5 +43,4 @@ def split_observation(df: DataFrame, value: str = "value") -> DataFrame:
     return (
         rest.withColumn("observation", F.when(~bad, observation))
         .withColumn("error_code", F.when(bad, F.lit("malformed_json")))
-        .drop("malformed")
     )

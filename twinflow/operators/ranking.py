@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows are counted in blocks of 2**21 order values, blocks in runs of 2**21.
-# With unique bigint order values no window below holds more than 2**22 rows,
-# whatever the size of a group.
-_BITS = 21
+# Rows are counted in blocks of 2**18 order values, blocks in runs of 2**22.
+# With unique bigint order values a window below holds at most 2**18 rows, 2**22
+# blocks or 2**24 runs, whatever the size of a group.
+_BLOCK_BITS = 18
+_RUN_BITS = 22
 
 
 def rank_in_group(
@@ -22,10 +23,10 @@ def rank_in_group(
     behind ``start``. It is joined to the few counts, not to the rows.
     """
     block, run = "_block", "_run"
-    rows = df.withColumn(block, F.shiftright(order, _BITS))
+    rows = df.withColumn(block, F.shiftright(order, _BLOCK_BITS))
 
     counts = rows.groupBy(group, block).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn(run, F.shiftright(block, _BITS))
+    counts = counts.withColumn(run, F.shiftright(block, _RUN_BITS))
 
     def before(*partition: str, by: str):
         window = Window.partitionBy(*partition).orderBy(by)

@@ -13,12 +13,22 @@ from twinflow.operators.documents import add_observable, extract_urn
 from twinflow.operators.validate import fail_where
 
 
-def resolve_observables(requests: DataFrame, concepts: DataFrame) -> DataFrame:
-    """Add the observable of each request's semantics; unknown ones fail."""
+def resolve_observables(
+    requests: DataFrame, concepts: DataFrame, brought: str | None = None
+) -> DataFrame:
+    """Add the observable of each request's semantics; unknown ones fail.
+
+    ``brought`` names a column with an observable as JSON that comes with the
+    record; where there is one it is used instead of the looked-up one.
+    """
     found = concepts.select(
         F.col("urn").alias("semantics"), "concept_id", "observable_urn", "observation_type"
     )
     joined = requests.join(found, "semantics", "left")
+    if brought is not None:
+        for column, path in (("observable_urn", "$.urn"), ("observation_type", "$.type")):
+            own = F.get_json_object(brought, path)
+            joined = joined.withColumn(column, F.coalesce(own, F.col(column)))
     return fail_where(joined, F.col("observable_urn").isNull(), "unknown_semantics")
 
 

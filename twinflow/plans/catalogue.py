@@ -472,6 +472,24 @@ def resolved_payloads(spark, sf_dir):
     )
 
 
+@query
+def relay_observations(spark, sf_dir):
+    rows = pipeline.run_relayed(
+        I.relay_documents(spark, sf_dir), I.concepts(spark, sf_dir), I.store(spark, sf_dir)
+    )
+    good = F.col("route") == S.ROUTE_SUCCESS
+    return rows.select(
+        "request_id",
+        "route",
+        "error_code",
+        "outcome",
+        F.when(good, _json("content", "$.observation_id").cast("bigint")).alias("observation_id"),
+        F.when(good, _json("content", "$.name")).alias("name"),
+        F.when(good, _json("content", "$.observation_type")).alias("observation_type"),
+        F.element_at("attributes", "observation.id").alias("id_attribute"),
+    )
+
+
 # --- messages
 
 

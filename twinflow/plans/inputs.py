@@ -208,7 +208,9 @@ def relay_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request documents with an ``observation`` inside, as the relay gets them."""
     fields = request_fields(spark, sf_dir, "props")
     observation = F.struct(
-        F.col("semantics").alias("urn"), F.from_json("props", "k bigint").alias("metadata")
+        F.col("semantics").alias("urn"),
+        F.when(F.col("request_id") % 2 == 0, "PROCESS").alias("type"),
+        F.from_json("props", "k bigint").alias("metadata"),
     )
     whole = F.to_json(
         F.struct(

@@ -55,18 +55,48 @@ select v.*, c.concept_id, c.observable_urn, c.observation_type,
        coalesce(first_error, case when c.urn is null then 'unknown_semantics' end) as error_code
 from v left join c on c.urn = v.semantics and not v.cut""",
     "good": "select * from k where error_code is null",
+    "routed": """
+select request_id, digital_twin, outcome, observation_id, 'success' as route, null as error_code, observation_type
+from done
+union all
+select request_id, case when cut then null else digital_twin end, null,
+       case when cut then -1 else observation_id end, 'failure', error_code,
+       observation_type
+from k where error_code is not null""",
+    "d": """
+select r0.request_id, semantics, name, digital_twin, observation_id, wkt_kind, cut,
+       cast(json_extract(props, '$.k') as bigint) as k,
+       case when cut or wkt_kind = 'garbage' then 'malformed_json' when semantics is null then 'missing_urn' end as error
+from r0 join events on event_id = request_id""",
+}
+
+# documents that bring their observable, checked and submitted the same way
+_CTES["rk"] = """
+select r.*, r.wkt_kind <> 'missing' as brings,
+       coalesce(case when r.wkt_kind <> 'missing' and r.request_id % 2 = 0 then 'PROCESS' end,
+                c.observation_type) as observation_type,
+       case when cut then 'malformed_json' when coalesce(name, '') = '' then 'missing_name'
+            when semantics is null then 'missing_semantics' when digital_twin = '' then 'missing_digital_twin'
+            when digital_twin = 'not a url' then 'bad_digital_twin'
+            when r.wkt_kind = 'missing' and c.urn is null then 'unknown_semantics' end as error_code
+from (select * replace (false as has_space, false as has_time) from r) as r
+left join c on c.urn = r.semantics and not r.cut"""
+_CTES["rgood"] = "select * from rk where error_code is null"
+
+# one submission over the rows of {p}good
+_SUBMISSION = {
     "given": """
-select good.*, row_number() over w as nth, first_value(good.name) over w as first_name,
-       first_value(good.semantics) over w as first_urn, first_value(good.observation_type) over w as first_type,
+select {p}good.*, row_number() over w as nth, first_value({p}good.name) over w as first_name,
+       first_value({p}good.semantics) over w as first_urn, first_value({p}good.observation_type) over w as first_type,
        first_value(case when has_space then full_shape end) over w as first_shape,
        first_value(case when has_time then tstart end) over w as first_tstart,
        first_value(case when has_time then tend end) over w as first_tend,
        first_value(has_space) over w as first_space, first_value(has_time) over w as first_time
-from good where observation_id <> -1
+from {p}good where observation_id <> -1
 window w as (partition by digital_twin, observation_id order by request_id)""",
     "top": """
 select digital_twin, greatest(max(observation_id), 0) as highest
-from (select digital_twin, observation_id from st union all select digital_twin, observation_id from given)
+from (select digital_twin, observation_id from st union all select digital_twin, observation_id from {p}given)
 group by 1""",
     "done": """
 select g.request_id, g.digital_twin,
@@ -80,27 +110,16 @@ select g.request_id, g.digital_twin,
        st.observation_id is null and g.first_time as has_time,
        case when st.observation_id is null then g.first_tstart end as tstart,
        case when st.observation_id is null then g.first_tend end as tend
-from given g left join st on st.digital_twin = g.digital_twin and st.observation_id = g.observation_id
+from {p}given g left join st on st.digital_twin = g.digital_twin and st.observation_id = g.observation_id
 union all
 select f.request_id, f.digital_twin, 'resolved',
-       coalesce(top.highest, 0) + row_number() over (partition by f.digital_twin order by f.request_id),
+       coalesce({p}top.highest, 0) + row_number() over (partition by f.digital_twin order by f.request_id),
        f.name, f.semantics, f.observation_type, case when has_space then full_shape end,
        has_space, has_time, case when has_time then tstart end, case when has_time then tend end
-from good f left join top on top.digital_twin = f.digital_twin where f.observation_id = -1""",
-    "routed": """
-select request_id, digital_twin, outcome, observation_id, 'success' as route, null as error_code, observation_type
-from done
-union all
-select request_id, case when cut then null else digital_twin end, null,
-       case when cut then -1 else observation_id end, 'failure', error_code,
-       observation_type
-from k where error_code is not null""",
-    "d": """
-select r0.request_id, semantics, name, digital_twin, observation_id, wkt_kind, cut,
-       cast(json_extract(props, '$.k') as bigint) as k,
-       case when cut or wkt_kind = 'garbage' then 'malformed_json' when semantics is null then 'missing_urn' end as error
-from r0 join events on event_id = request_id""",
+from {p}good f left join {p}top on {p}top.digital_twin = f.digital_twin where f.observation_id = -1""",
 }
+for _p in ("", "r"):
+    _CTES.update({_p + n: text.replace("{p}", _p) for n, text in _SUBMISSION.items()})
 
 # which views each view needs
 _NEEDS = {
@@ -113,6 +132,11 @@ _NEEDS = {
     "done": ["given", "top", "good", "st"],
     "routed": ["done", "k"],
     "d": ["r0"],
+    "rk": ["r", "c"],
+    "rgood": ["rk"],
+    "rgiven": ["rgood"],
+    "rtop": ["rgiven", "st"],
+    "rdone": ["rgiven", "rtop", "rgood", "st"],
 }
 
 
@@ -471,6 +495,15 @@ select request_id, digital_twin, observation_id, name, urn, observation_type, sh
        tstart, tend, case when has_time then 'year' end as tunit,
        case when has_time then cast(1 as integer) end as tscope
 from done""",
+    ),
+    "relay_observations": _sql(
+        "rdone",
+        """
+select request_id, 'success' as route, null as error_code, outcome, observation_id, name, observation_type,
+       cast(observation_id as varchar) as id_attribute
+from rdone
+union all
+select request_id, 'failure', error_code, null, null, null, null, null from rk where error_code is not null""",
     ),
     "filter_queues": _sql(
         "m", "select message_id, queue from m where queue in ('Events', 'Errors', 'Status')"

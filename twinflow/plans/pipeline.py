@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinflow.operators.documents import split_observation
 from twinflow.operators.observations import build_observations
 from twinflow.operators.resolve import resolve_observables
 from twinflow.operators.routing import route
@@ -18,6 +19,7 @@ def check_requests(
     require_twin: bool = True,
     federated: bool = False,
     default_twin: str | None = None,
+    brought: str | None = None,
 ) -> DataFrame:
     """Parsed requests, validated, resolved and turned into observations.
 
@@ -26,7 +28,8 @@ def check_requests(
     """
     if not require_twin and not default_twin:
         raise ValueError("requests without a twin need a default_twin")
-    checked = resolve_observables(validate_requests(requests, profile, require_twin), concepts)
+    valid = validate_requests(requests, profile, require_twin)
+    checked = resolve_observables(valid, concepts, brought)
     observations = build_observations(checked, federated, profile)
     if not require_twin:
         twin = F.col("digital_twin")
@@ -36,6 +39,12 @@ def check_requests(
     return observations
 
 
+def check_relayed(documents: DataFrame, concepts: DataFrame, **check) -> DataFrame:
+    """Documents that may bring their observable under ``observation``, checked."""
+    parts = split_observation(documents).drop("error_code")
+    return check_requests(parts, concepts, brought="observation", **check)
+
+
 def submit_checked(
     checked: DataFrame,
     store: DataFrame,
@@ -52,6 +61,14 @@ def submit_checked(
     )
 
 
+def run_relayed(
+    documents: DataFrame, concepts: DataFrame, store: DataFrame, **check
+) -> DataFrame:
+    """The observation relay in batch: a success carries the observation as content."""
+    checked = staged(check_relayed(documents, concepts, **check), "checked")
+    return submit_checked(checked, store, with_content=True)
+
+
 def run_requests(
     requests: DataFrame,
     concepts: DataFrame,

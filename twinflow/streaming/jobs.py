@@ -184,14 +184,21 @@ def read_store(spark: SparkSession, path: str, before: int | None = None) -> Dat
 
 
 def submit_batch(
-    concepts: DataFrame, store_path: str, out_path: str, work_path: str, **check
+    concepts: DataFrame,
+    store_path: str,
+    out_path: str,
+    work_path: str,
+    checker: Callable[..., DataFrame] = check_requests,
+    with_content: bool = False,
+    **check,
 ) -> Listener:
     """The batch step of ``submit``.
 
     Rows are numbered, parsed and checked once into ``work_path``. New store
     rows and the outcomes go under the batch's own folders, overwriting them:
     a batch that comes again sees the store of before and writes the same.
-    One writer per store is assumed.
+    One writer per store is assumed. ``checker=check_relayed`` with
+    ``with_content=True`` makes it the observation relay.
 
     A batch is matched with the store by a semi join. While its keys are few
     enough to be broadcast, the store is read (key columns, then matches) and
@@ -201,14 +208,14 @@ def submit_batch(
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch if "request_id" in batch.columns else with_request_ids(batch)
-        checked = check_requests(rows, concepts, **check)
+        checked = checker(rows, concepts, **check)
         work, schema = f"{work_path}/checked", checked.schema
         checked.write.mode("overwrite").parquet(work)
         checked = spark.read.schema(schema).parquet(work)
         store = read_store(spark, store_path, before=batch_id)
         heads = _get(spark, _HEADS, f"{store_path}/heads", before=batch_id)
         out = f"{out_path}/batch_id={batch_id}"
-        outcomes = submit_checked(checked, store, highest=heads)
+        outcomes = submit_checked(checked, store, with_content, highest=heads)
         outcomes.write.mode("overwrite").partitionBy("route").parquet(out)
         written = spark.read.schema(outcomes.schema).parquet(out)
         added = stored_rows(written.where(F.col("route") == S.ROUTE_SUCCESS), store)
