@@ -1,0 +1,186 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
+
+import random
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from twinflow.llm import decontaminate, jaccard, language_id, lm_scoring, mixing, pii, quality_rules, repeats, toxicity, url_filters
+from twinflow.llm.graph import components
+
+SHAPE = "doc_id long, text string, lang string, source string, score double, v long, n int, a long"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Rows of all kinds, with extra columns named like the operators' own."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    body = [word() for _ in range(300)]
+    near = [*body]
+    near[150] = "other"
+    long_ = " ".join(word() for _ in range(30_000))
+    texts = [None, "", " \n\t ", "one", "a b c d", "a b c d", " ".join(body), " ".join(near), " ".join(body), long_, "x " * 400, "é" * 260]
+    rows = [(i, t, [None, "en", "fr"][i % 3], [None, "s1", "s2"][i % 3], 0.5, 1, 2, 3) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SHAPE)
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.collect()]
+
+
+def rows_of(df, *columns):
+    return {r[0]: tuple(r[1:]) for r in df.select("doc_id", *columns).collect()}
+
+
+def test_quality(odd):
+    got = rows_of(quality_rules.judge(odd), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert got == {i: brute.base(t) for i, t in pairs(odd)}
+    assert quality_rules.judge(odd.limit(0)).count() == 0
+
+
+def test_quality_rejects_what_is_mostly_boilerplate(spark):
+    good = " ".join(f"word{i}" for i in range(80)) + "."
+    bad = "\n".join(f"Accept cookie number{i} here" for i in range(40)) + "\n" + "short tail."
+    docs = spark.createDataFrame([(1, good), (2, bad)], "doc_id long, text string")
+    assert rows_of(quality_rules.judge(docs), "kept") == {1: (True,), 2: (False,)}
+
+
+def test_jaccard(odd):
+    got = rows_of(jaccard.jaccard_components(odd), "n_shingles", "component_id")
+    assert got == brute.jaccard_components(pairs(odd))
+    assert jaccard.jaccard_components(odd.limit(0)).count() == 0
+
+
+def test_jaccard_on_chains_of_copies(spark):
+    rng = random.Random(11)
+    rows = []
+    for _ in range(12):
+        text = [f"w{rng.randint(0, 40)}" for _ in range(rng.randint(5, 60))]
+        for _ in range(12):
+            rows.append((len(rows), " ".join(text)))
+            text = [*text]
+            text[rng.randrange(len(text))] = f"w{rng.randint(0, 40)}"
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = rows_of(jaccard.jaccard_components(docs), "n_shingles", "component_id")
+    assert got == brute.jaccard_components(rows)
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90)], "a long, b long")
+    got = {r["v"]: r["component"] for r in components(edges).collect()}
+    assert got == {i: 1 for i in range(1, 41)} | {90: 90, 100: 90}
+
+
+def test_model_scores(odd):
+    got = rows_of(lm_scoring.score(odd, lm_scoring.train(odd, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0)), "n_tokens", "n_known", "train_tokens", "base_score")
+    for i, (n, known, total, score) in brute.base_scores(pairs(odd)).items():
+        assert got[i][:3] == (n, known, total) and got[i][3] == pytest.approx(score)
+    none = lm_scoring.score(odd, lm_scoring.train(odd, F.lit(False)))
+    assert {r["base_score"] for r in none.collect()} == {None}
+
+
+def test_repeats_of_all_kinds(odd, spark):
+    got = rows_of(repeats.without_repeats(odd).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
+    assert got == brute.without_repeats(pairs(odd))
+    rng = random.Random(3)
+    parts = ["".join(rng.choice("ab ") for _ in range(rng.randint(40, 260))) for _ in range(12)]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 6))) + "q" * rng.randint(0, 220)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = rows_of(repeats.without_repeats(docs).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
+    assert got == brute.without_repeats(rows)
+
+
+def test_mix_of_odd_rows(odd):
+    rows = mixing.mix(odd).collect()
+    assert len(rows) == 12 and all(0 <= r["taken"] <= 2 * r["size"] for r in rows)
+    assert mixing.mix(odd.limit(0)).count() == 0
+    many = mixing.mix(odd, shard_words=500).collect()
+    assert abs(sum(r["taken"] for r in many) - 1.5 * sum(r["size"] for r in many)) < 800
+
+
+def test_seats_by_highest_quotients(spark):
+    votes = [("a", 53_000.0), ("b", 24_000.0), ("c", 23_000.0), ("d", 10.0)]
+    df = spark.createDataFrame(votes, "party string, votes double")
+    got = {r["party"]: r["seats"] for r in mixing.apportion(df, "votes", F.lit(17), [], "seats").collect()}
+    want = dict.fromkeys("abcd", 0)
+    for _ in range(17):
+        best = max(votes, key=lambda v: v[1] / (2 * want[v[0]] + 1))[0]
+        want[best] += 1
+    assert got == want
+
+
+def test_pseudonyms(spark):
+    text = "card 4111 1111 1111 1111, again 4111111111111111; not 4111111111111112. Call +1 (212) 555-0199 or ann.lee7@mail.example.com, 10.0.0.255, 2020-02-29, 123-45-6789."
+    docs = spark.createDataFrame([(1, text), (2, "4111-1111-1111-1111"), (3, None), (4, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.pseudonyms(docs).collect()}
+    new = got[1]["text"]
+    digits = lambda s: "".join(c for c in s if c.isdigit())
+    assert digits(new[5:24]) == digits(new[32:48]) == digits(got[2]["text"]) != "4" + "1" * 15
+    assert pii.luhn(digits(new[5:24])[:-1]) == digits(new[5:24])[-1] and "not 4111111111111112." in new
+    assert [got[1][f"n_{k}"] for k in pii.KINDS] == [1, 1, 1, 1, 1, 2]
+    assert not any(x in new for x in ("ann.lee7", "555-0199", "10.0.0.255", "2020-02-29", "123-45-6789"))
+    assert len(new.split()) == len(text.split()) and got[3]["text"] is None and got[4]["text"] == ""
+
+
+def test_permutation_is_one_to_one():
+    for n in (1, 2, 10, 97, 1000):
+        assert sorted(pii.permuted(x, n, b"k", "t") for x in range(n)) == list(range(n))
+
+
+def test_language_and_toxicity_of_odd_rows(odd, spark):
+    model = language_id.train(odd, F.lit(True))
+    got = rows_of(language_id.predict(odd, model), "lang_pred", "score")
+    assert len(got) == 12 and got[0] == got[1] == got[2] == ("und", 0.0)
+    assert {r["lang_pred"] for r in language_id.predict(odd, language_id.train(odd, F.lit(False))).collect()} == {"und"}
+    labels = spark.createDataFrame([(6, 1, 1), (7, 1, 0), (None, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(odd, labels, F.lit(True))
+    assert all(0 <= r["score"] <= 1 for r in toxicity.score(odd, model).collect())
+    assert {r["score"] for r in toxicity.score(odd, toxicity.train(odd, labels.limit(0), F.lit(True))).collect()} == {0.0}
+
+
+def test_nearest_examples_are_exact():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = rng.random((1000, 20), dtype=np.float32) * (rng.random((1000, 20)) < 0.2)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    q, x = x[:40], x[40:]
+    top = np.stack([x[i : i + toxicity.BLOCK].max(axis=0) for i in range(0, len(x), toxicity.BLOCK)])
+    cos, _ = toxicity.nearest(q, {"x": x, "top": top}, 7)
+    assert np.allclose(cos, -np.sort(-(q @ x.T), axis=1)[:, :7], atol=1e-5)
+
+
+def test_language_codes_differ():
+    for n in (2, 4, 6, 30):
+        code = language_id.codewords(n)
+        assert len({tuple(r) for r in code}) == n
+
+
+def test_decontamination_tolerates_substitutions(spark):
+    rng = random.Random(2)
+    item = [f"t{rng.randint(0, 10_000)}" for _ in range(40)]
+    changed = [*item]
+    for k in (5, 17, 30):
+        changed[k] = "changed"
+    docs = [(1, "before it " + " ".join(changed) + " after"), (2, " ".join(f"n{i}" for i in range(200))), (3, None), (4, ""), (1, "twice " + " ".join(item))]
+    docs = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, hits string")
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, None), (9, ""), (10, " ".join(item)), (None, "a b")], "item_id long, text string")
+    for size in (20_000, 1):
+        got = sorted((r["doc_id"], r["item_id"], r["n_equal"]) for r in decontaminate.contaminated(docs, bench, items_a_block=size).collect())
+        assert got == [(1, 7, 37), (1, 7, 40), (1, 10, 37), (1, 10, 40)]
+    assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_url_rules_are_mined(spark):
+    pages = [(i, f"http://{'free-bets' if i % 4 == 0 else 'news'}{i % 7}.example.net/en/{i}") for i in range(200)]
+    pages += [(900, None), (901, "no scheme"), (902, "HTTP://A.B.ORG"), (903, "x://h.com/de/1?q#f"), (903, "x://h.com/de/1?q#f")]
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    labels = pages.where("page_id < 160").select("page_id", (F.col("page_id") % 4 == 0).alias("bad"))
+    got = {r["page_id"]: r for r in url_filters.judge(pages, labels).collect()}
+    assert all((got[i]["verdict"] == "block") == (i % 4 == 0) for i in range(160, 200))
+    assert (got[900]["host"], got[900]["path"], got[900]["verdict"]) == ("", "", "allow")
+    assert (got[902]["host"], got[902]["path"], got[902]["rule"]) == ("a.b.org", "", None)
+    assert (got[903]["path"], got[903]["rule"], got[903]["verdict"]) == ("/de/1", "com/de/", "block")
+    assert url_filters.judge(pages, labels.limit(0)).where("mined is not null").count() == 0

@@ -59,18 +59,23 @@ def mine_rules(
     support: float = 0.002,
     confidence: float = 0.8,
     most_tokens: int = 4,
+    least_rows: int = 10,
 ) -> DataFrame:
     """Rules ``rule_id, tokens, n_tokens, confidence`` that point at a bad label.
 
     ``labels`` has ``page_id`` and boolean ``bad``. A set of tokens is kept
     when the bad pages that hold it are at least ``support`` of all labelled
-    ones and ``confidence`` of those with the set. Rules that contain
+    ones and ``least_rows``, and ``confidence`` of those with the set. Rules that contain
     another rule add nothing and go; so do sets over ``most_tokens``.
     """
     known = labels.where("bad is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
     rows = pages.select("page_id", tokens_of(F.col("url")).alias("tokens")).where("size(tokens) > 0")
     rows = rows.join(known, "page_id")
     items = F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
+    support = max(support, least_rows / max(1, rows.count()))
+    if support > 1:  # fewer labelled pages than a rule needs
+        support = 1.0
+        items = F.array(F.lit("none"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows.select(items.alias("items")))
     found = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
     found = found.where((F.size("antecedent") <= most_tokens) & (F.size("antecedent") > 0))
