@@ -7,9 +7,9 @@ has to be multiplied: documents of a and b shingles link only if both share
 only, and with none at all unless enough of its shingles occur elsewhere.
 
 Texts with equal sets are one class and enter once. A large group of near copies
-is not expanded into pairs: rows of a block are first multiplied with its
-first member alone; once components are known, only pairs from different
-components are left to multiply. So no link between components is lost.
+is not expanded into pairs: rows of a block are multiplied with one member at
+a time, a few times over; then only pairs from different components are left to
+multiply, and all of them are. So no link between components is lost.
 
 Null, empty and wordless texts have an empty set and link with nothing. Ids are
 unique; repeated rows of one id and text give repeated results. Rows without
@@ -56,7 +56,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("o") >= percent * (F.size("a_toks") + F.size("b_toks") - F.col("o"))).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivots: int = 3) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id``: one row per input row."""
     texts = docs.select("doc_id", shingles(text_of(), n).alias("toks"))
     size = F.size("toks")
@@ -81,27 +81,36 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS) -> Da
     each = sets.select("rep", F.size("toks").alias("n"), F.explode("toks").alias("tok"))
     often = each.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
     met = each.join(often, "tok").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("by"))
-    left = F.col("n") - _least(F.col("n"), percent) + 1 - (F.col("n") - F.size("by"))
-    blocks = met.where(left > 0).select("rep", "n", F.explode(F.slice("by", 1, left)["tok"]).alias("tok"))
-    blocks = staged(blocks, "blocks")
-
-    fits = F.col("b_n") * 100 >= F.col("a_n") * percent
-    fits &= F.col("a_n") * 100 >= F.col("b_n") * percent
-    first = blocks.groupBy("tok").agg(F.min(F.struct("rep", "n")).alias("p"), F.count("*").alias("c")).where("c > 1")
-    first = first.select("tok", F.col("p.rep").alias("a"), F.col("p.n").alias("a_n"))
-    other = blocks.select("tok", F.col("rep").alias("b"), F.col("n").alias("b_n"))
-    stars = first.join(other, "tok").where((F.col("a") < F.col("b")) & fits).groupBy("a", "b").agg(F.count("*").alias("overlap"))
-    edges = staged(_verified(stars, sets, percent), "links")
-    known = components(edges)
-
-    labelled = blocks.join(known, F.col("rep") == F.col("v"), "left").select("tok", "rep", "n", F.coalesce("component", "rep").alias("g"))
-    open_ = labelled.groupBy("tok").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("tok")
-    labelled = staged(labelled.join(open_, "tok", "left_semi"), "open-blocks")
-    a = labelled.select("tok", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("g").alias("a_g"))
-    b = labelled.select("tok", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("g").alias("b_g"))
-    rest = a.join(b, "tok").where((F.col("a_g") < F.col("b_g")) & fits).groupBy("a", "b").agg(F.count("*").alias("overlap"))
-    more = staged(_verified(rest, sets, percent), "links")
-    final = components(edges.union(more))
+    alone = F.col("n") - F.size("by")  # these come first in the order
+    left = F.col("n") - _least(F.col("n"), percent) + 1 - alone
+    blocks = met.where(left > 0).select("rep", "n", alone.alias("alone"), F.posexplode(F.slice("by", 1, left)["tok"]).alias("i", "tok"))
+    # the row's shingle and those behind it: what a pair can share from here on
+    blocks = staged(blocks.select("tok", "rep", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest")), "blocks")
+
+    need = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    fits = (F.col("a_rest") >= need) & (F.col("b_rest") >= need)
+    edges = None
+    known = None
+    for turn in range(pivots + 1):
+        if known is None:
+            rows = blocks.withColumn("g", F.col("rep"))
+        else:
+            rows = blocks.join(known, F.col("rep") == F.col("v"), "left").select("tok", "rep", "n", "rest", F.coalesce("component", "rep").alias("g"))
+            open_ = rows.groupBy("tok").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("tok")
+            rows = staged(rows.join(open_, "tok", "left_semi"), "open-blocks")
+        b = rows.select("tok", *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "rest", "g")])
+        if turn < pivots:  # one member of each block with the others: linear
+            pivot = F.min_by(F.struct("rep", "n", "rest", "g"), F.struct(F.xxhash64(F.lit(turn), "rep"), F.col("rep")))
+            a = rows.groupBy("tok").agg(pivot.alias("p")).select("tok", *[F.col(f"p.{c}").alias(f"a_{c}") for c in ("rep", "n", "rest", "g")])
+            apart = F.col("a_g") != F.col("b_g")
+        else:  # what is left between components, in full
+            a = rows.select("tok", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "rest", "g")])
+            apart = F.col("a_g") < F.col("b_g")
+        pairs = a.join(b, "tok").where(apart & fits).groupBy(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).agg(F.count("*").alias("overlap"))
+        found = staged(_verified(pairs, sets, percent), "links")
+        edges = found if edges is None else edges.union(found)
+        known = components(edges)
+    final = known
 
     named = classes.join(final, F.col("rep") == F.col("v"), "left").select("k1", "k2", "n", "rep", F.coalesce("component", "rep").alias("component"))
     out = own.drop("prefix").join(named, ["k1", "k2", "n"], "left")
