@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# own folders of local applications without a preset one
+_LOCAL: dict[str, str] = {}
+
 
 def local_session(cores: str = "*", name: str = "twinflow", **conf) -> SparkSession:
     """A local session for tests and benchmarks. On a cluster use your own."""
@@ -35,9 +38,11 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # static settings can't be changed, so the folder is kept here
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL[app]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
