@@ -42,7 +42,7 @@ def shingles(text: Column, n: int = WORDS) -> Column:
 
 def _extra(n: Column, percent: int) -> Column:
     """How many shared shingles a lengthened prefix must show; at least one."""
-    return F.greatest(F.lit(1), F.floor(n * (100 - percent) / 200)).cast("int")
+    return F.greatest(F.lit(1), F.floor(n * (100 - percent) / 400)).cast("int")
 
 
 def _least(n: Column, percent: int) -> Column:
@@ -69,10 +69,11 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     classes = own.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
     classes = staged(classes, "classes")
     heads = own.select("doc_id", "n", "k1", "prefix").join(classes.select("rep", F.col("k1").alias("c1")), (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("c1")))
-    rows = heads.select("rep", "n", F.explode("prefix").alias("tok"))
+    # 44 bits are enough to tell that a shingle may occur elsewhere, and move less
+    rows = heads.select("rep", F.explode("prefix").alias("tok")).withColumn("tok", F.col("tok").bitwiseAND(F.lit((1 << 44) - 1)))
     # the first and the last row of a shingle differ where two documents have it
     common = rows.groupBy("tok").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("tok")
-    alive = rows.join(common, "tok", "left_semi").groupBy("rep", "n").agg(F.count("*").alias("m"))
+    alive = rows.join(common, "tok", "left_semi").groupBy("rep").agg(F.count("*").alias("m")).join(classes.select("rep", "n"), "rep")
     alive = alive.where(F.col("m") >= _extra(_least(F.col("n"), percent), percent)).select("rep")
     sets = texts.join(alive, F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
     sets = staged(sets.select(F.col("doc_id").alias("rep"), "toks"), "sets")
