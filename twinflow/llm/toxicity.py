@@ -30,6 +30,21 @@ def terms_of(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)), lambda w: F.xxhash64(w))
 
 
+def _only(terms: np.ndarray):
+    """Rows with those of their terms that are among the sorted ``terms``."""
+    import pyarrow as pa
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, offsets = flat(batch.column("terms"))
+            hit = terms[np.minimum(np.searchsorted(terms, values), len(terms) - 1)] == values
+            before = np.concatenate([[0], np.cumsum(hit)])
+            lists = pa.ListArray.from_arrays(pa.array(before[offsets], type=pa.int32()), pa.array(values[hit]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic"), lists], names=["doc_id", "toxic", "terms"])
+
+    return kept
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 20_000, n_terms: int = 512, chi: float = 25.0) -> dict:
     """The index over labelled rows. ``learn`` selects them by ``doc_id``."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(learn)
@@ -39,7 +54,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 20_00
         return {"terms": np.zeros(0, dtype=np.int64), "prior": 0.0}
     part = int(1_000_000 * min(1.0, sample / many))
     known = known.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < part)
-    rows = docs.select("doc_id", terms_of(text_of()).alias("terms")).join(known, "doc_id")
+    # at most about ``sample`` rows, so the texts need not move
+    rows = docs.select("doc_id", terms_of(text_of()).alias("terms")).join(F.broadcast(known), "doc_id").select("doc_id", F.col("toxic").cast("int").alias("toxic"), "terms")
     totals = rows.groupBy("toxic").count().collect()
     bad = sum(r["count"] for r in totals if r["toxic"] == 1)
     n = sum(r["count"] for r in totals)
@@ -55,9 +71,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 20_00
     idf = np.log((n + 1) / (chosen["df"].to_numpy(dtype=float) + 1)) + 1
     if not len(terms):
         return {"terms": terms, "prior": bad / n}
-    wanted = F.array(*[F.lit(int(t)) for t in terms])
-    found = rows.select("doc_id", "toxic", F.filter("terms", lambda t: F.array_contains(wanted, t)).alias("terms"))
-    found = found.where("size(terms) > 0").orderBy("doc_id", F.col("terms")).toPandas()  # bounded by the sample
+    found = rows.mapInArrow(_only(terms), "doc_id long, toxic int, terms array<long>").where("size(terms) > 0").toPandas()  # bounded by the sample
+    found["terms"] = found["terms"].map(tuple)
+    found = found.sort_values(["doc_id", "terms"], ignore_index=True)
     places, y = found["terms"], found["toxic"].to_numpy(dtype=float)
     x = np.zeros((len(found), len(terms)), dtype=np.float32)
     for i, p in enumerate(places):
