@@ -3,15 +3,15 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from twinflow import schemas as S
 from twinflow.operators import messages as M
 from twinflow.operators.resolve import resolve_observables
 from twinflow.operators.submit import submit_observations
+from twinflow.plans import catalogue
 from twinflow.plans import inputs as I
 from twinflow.sources.requests import parse_requests
 
-QUERIES = entry.queries()
+QUERIES = catalogue.queries()
 
 
 def plan(df):

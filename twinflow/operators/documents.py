@@ -3,14 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinflow.sources.requests import parse_requests
+from twinflow.sources.requests import parse_requests, single_value
 
 
 def is_object(value: Column) -> Column:
     """The text is one JSON object, with nothing after it."""
     framed = F.concat(F.lit('{"document":'), value, F.lit(',"end":1}'))
-    whole = F.array_contains(F.json_object_keys(framed), "end")
-    return F.coalesce(whole & value.rlike(r"^\s*+\{"), F.lit(False))
+    whole = F.json_object_keys(framed) == F.array(F.lit("document"), F.lit("end"))
+    return F.coalesce(whole & single_value(value) & value.rlike(r"^\s*+\{"), F.lit(False))
 
 
 def extract_urn(df: DataFrame, value: str = "value") -> DataFrame:

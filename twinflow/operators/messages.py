@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinflow.functions import attributes as A
+from twinflow.functions.times import in_calendar
 from twinflow.schemas import DEFAULT_QUEUES, QUEUES
 
 
@@ -51,12 +52,17 @@ def payload_json(df: DataFrame, column: str = "payload") -> Column:
 
 
 def to_events(df: DataFrame, now_ms: Column | None = None) -> DataFrame:
-    """Messages as records to relay: payload, attributes and the message time."""
+    """Messages as records to relay: payload, attributes and the message time.
+
+    A time outside of the calendar has no ``event_ts``; the attributes still
+    tell the number that was sent.
+    """
+    sent = F.when(in_calendar(F.col("timestamp")), F.col("timestamp"))
     return df.select(
         "message_id",
         payload_json(df).alias("payload"),
         A.with_event_time(A.message_attributes(), now_ms).alias("attributes"),
-        F.timestamp_millis("timestamp").alias("event_ts"),
+        F.timestamp_millis(sent).alias("event_ts"),
     )
 
 

@@ -3,21 +3,32 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinflow.functions.times import in_calendar
+
 
 def message_rates(df: DataFrame, width: str = "1 hour", late: str | None = None) -> DataFrame:
     """Messages per queue and type in tumbling windows of the message time.
 
-    ``late`` sets the watermark when ``df`` is a stream.
+    Messages without a time in the calendar are counted under a null window.
+    ``late`` sets the watermark when ``df`` is a stream, which has no window
+    for such messages and leaves them out.
     """
-    timed = df.withColumn("message_ts", F.timestamp_millis("timestamp"))
+    known = in_calendar(F.col("timestamp"))
+    ts = F.timestamp_millis(F.when(known, F.col("timestamp")))
+    if df.isStreaming:
+        timed = df.withColumn("message_ts", ts).withColumn("timed", F.lit(True))
+    else:
+        # Spark drops rows without a window, so these stand in any and are marked
+        ts = F.coalesce(ts, F.timestamp_millis(F.lit(0)))
+        timed = df.withColumn("message_ts", ts).withColumn("timed", known)
     if late is not None:
         timed = timed.withWatermark("message_ts", late)
-    counted = timed.groupBy(F.window("message_ts", width), "queue", "type").agg(
+    counted = timed.groupBy(F.window("message_ts", width), "timed", "queue", "type").agg(
         F.count(F.lit(1)).alias("n")
     )
     return counted.select(
-        F.unix_millis("window.start").alias("window_start"),
-        F.unix_millis("window.end").alias("window_end"),
+        F.when(F.col("timed"), F.unix_millis("window.start")).alias("window_start"),
+        F.when(F.col("timed"), F.unix_millis("window.end")).alias("window_end"),
         "queue",
         "type",
         "n",

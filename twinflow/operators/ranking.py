@@ -20,7 +20,8 @@ def rank_in_group(
     numbered alone and moved up by the rows in the blocks before it.
 
     ``after`` (``group``, ``start``; one row per group) makes a group begin
-    behind ``start``. It is joined to the few counts, not to the rows.
+    behind ``start``. It is joined to the few counts, not to the rows. A number
+    beyond the largest bigint is null.
     """
     block, run = "_block", "_run"
     rows = df.withColumn(block, F.shiftright(order, _BLOCK_BITS))
@@ -38,14 +39,14 @@ def rank_in_group(
     runs = counts.groupBy(group, run).agg(F.sum("_n").alias("_n"))
     runs = runs.withColumn("_runs", before(group, by=run)).drop("_n")
     if after is not None:
-        started = F.col("_runs") + F.coalesce("start", F.lit(0))
+        started = F.try_add("_runs", F.coalesce("start", F.lit(0)))
         runs = runs.join(after, group, "left").select(group, run, started.alias("_runs"))
     offsets = in_run.join(runs, [group, run]).select(
-        group, block, (F.col("_in_run") + F.col("_runs")).alias("_before")
+        group, block, F.try_add("_in_run", "_runs").alias("_before")
     )
     inside = Window.partitionBy(group, block).orderBy(order)
     return (
         rows.join(offsets, [group, block])
-        .withColumn(name, F.col("_before") + F.row_number().over(inside))
+        .withColumn(name, F.try_add("_before", F.row_number().over(inside).cast("long")))
         .drop(block, "_before")
     )

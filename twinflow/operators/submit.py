@@ -101,14 +101,19 @@ def _submit_given(
 
 
 def _submit_fresh(fresh: DataFrame, taken: DataFrame, row_id: str) -> DataFrame:
-    """New ids follow the largest id the twin has, stored or given in this input."""
+    """New ids follow the largest id the twin has, stored or given in this input.
+
+    Where a client took the largest bigint for its own, none are left: such
+    rows keep -1 and have no outcome, and the router fails them.
+    """
     start = taken.groupBy("digital_twin").agg(
         F.greatest(F.max("start"), F.lit(0)).alias("start")
     )
     ranked = rank_in_group(fresh, "digital_twin", row_id, "_new_id", after=start)
+    new_id = F.coalesce("_new_id", F.lit(UNRESOLVED_ID).cast("bigint")).alias("observation_id")
     return ranked.select(
-        *[F.col("_new_id").alias(c) if c == "observation_id" else F.col(c) for c in fresh.columns],
-        F.lit(OUTCOME_RESOLVED).alias("outcome"),
+        *[new_id if c == "observation_id" else F.col(c) for c in fresh.columns],
+        F.when(F.col("_new_id").isNotNull(), OUTCOME_RESOLVED).alias("outcome"),
     )
 
 

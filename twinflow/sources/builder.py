@@ -15,7 +15,8 @@ _CORNERS = ("min_x", "min_y", "max_x", "max_y")
 def _millis(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
         return times.epoch_millis(F.col(name))
-    return F.col(name).cast("bigint")
+    # a text that is no number is a part without a value, which the rules on time refuse
+    return F.col(name).try_cast("bigint")
 
 
 def build_requests(
@@ -35,7 +36,7 @@ def build_requests(
 
     def part(name: str, default, kind: str) -> Column:
         default = F.lit(default).cast(kind)
-        return F.coalesce(F.col(name).cast(kind), default) if name in have else default
+        return F.coalesce(F.col(name).try_cast(kind), default) if name in have else default
 
     text = F.col("wkt") if "wkt" in have else F.lit(None).cast("string")
     if "coords" in have:

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinflow.schemas import MESSAGE
+from twinflow.schemas import MESSAGE, ROUTE_FAILURE
+from twinflow.sources.requests import single_value
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -28,5 +29,25 @@ def stream_messages_topic(spark: SparkSession, servers: str, topics: str, **opti
         .option("subscribe", topics)
         .options(**options)
     )
-    parsed = F.from_json(F.col("value").cast("string"), MESSAGE)
-    return reader.load().select(parsed.alias("m")).select("m.*")
+    return parse_messages(reader.load().select(F.col("value").cast("string").alias("value")))
+
+
+def parse_messages(df: DataFrame) -> DataFrame:
+    """JSON texts to messages; unreadable ones are kept, with ``malformed``.
+
+    No queue holds those: take them aside with ``malformed_messages`` before a
+    filter on queues drops them.
+    """
+    whole = single_value(F.col("value")) & F.col("value").rlike(r"^\s*+\{")
+    parsed = df.withColumn("m", F.from_json(F.when(whole, F.col("value")), MESSAGE))
+    unreadable = F.coalesce(F.col("m.message_id").isNull(), F.lit(True))
+    return parsed.select("m.*", "value", unreadable.alias("malformed"))
+
+
+def malformed_messages(df: DataFrame) -> DataFrame:
+    """Records of the failure route for what ``parse_messages`` couldn't read."""
+    return df.where("malformed").select(
+        F.lit(ROUTE_FAILURE).alias("route"),
+        F.col("value").alias("content"),
+        F.lit("malformed_json").alias("error_code"),
+    )

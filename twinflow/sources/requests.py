@@ -15,15 +15,28 @@ _DOCUMENT = T.StructType(
 )
 
 
+def single_value(value: Column) -> Column:
+    """Inside of an array the text is one element, or closes the array early.
+
+    In an array no key may follow a value, and in an object no bracket may: a
+    text that is well formed in both frames is one value.
+    """
+    return F.coalesce(
+        F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1, F.lit(False)
+    )
+
+
 def parse_document(value: Column) -> Column:
-    """struct(request, end, _corrupt).
+    """struct(request, end, _corrupt), null where the text is not a single value.
 
     The parser stops at the end of a document and would not see what follows.
     Here the text is one key of an outer object with a key after it, so
-    anything but a single document is an error or hides that last key.
+    a text that ends early is an error or hides that last key; further keys
+    are no ``single_value``.
     """
+    framed = F.concat(F.lit('{"request":'), value, F.lit(',"end":1}'))
     return F.from_json(
-        F.concat(F.lit('{"request":'), value, F.lit(',"end":1}')),
+        F.when(single_value(value), framed),
         _DOCUMENT,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
@@ -66,9 +79,12 @@ def read_requests(spark: SparkSession, path: str, multiline: bool = False) -> Da
     return parse_requests(spark.read.text(path, wholetext=multiline))
 
 
-def stream_requests(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Requests as they arrive in a landing folder."""
-    reader = spark.readStream.format("text")
+def stream_requests(
+    spark: SparkSession, path: str, max_files: int | None = None, multiline: bool = False
+) -> DataFrame:
+    """Requests as they arrive in a landing folder, a document per line or,
+    with ``multiline``, per file, as clients that indent their JSON send them."""
+    reader = spark.readStream.format("text").option("wholetext", multiline)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return parse_requests(reader.load(path))

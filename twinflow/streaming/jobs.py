@@ -81,14 +81,24 @@ def fan_out(
     return queries
 
 
-def wait_all(queries: dict[str, StreamingQuery]) -> dict[str, str]:
-    """Wait for each query; the message of those that failed, by name."""
+def wait_all(
+    queries: dict[str, StreamingQuery], until_failure: bool = False, look_every: int = 1
+) -> dict[str, str]:
+    """Wait for the queries; the message of those that failed, by name.
+
+    All are looked at in turn, so that with ``until_failure`` the first failure
+    is returned while endless queries go on.
+    """
     failed = {}
-    for name, query in queries.items():
-        try:
-            query.awaitTermination()
-        except Exception as e:
-            failed[name] = str(e)
+    running = dict(queries)
+    while running and not (until_failure and failed):
+        for name, query in list(running.items()):
+            try:
+                ended = query.awaitTermination(look_every)
+            except Exception as e:
+                failed[name], ended = str(e), True
+            if ended:
+                del running[name]
     return failed
 
 
@@ -104,21 +114,41 @@ def rates(
     return write_stream(message_rates(messages, width, late), path, checkpoint, **kw)
 
 
-def _put(df: DataFrame, schema: T.StructType, path: str, batch_id: int) -> None:
+#: The run and batch under which a table holds what was there before any batch.
+_SEED = ("seed", -1)
+Step = tuple[str, int]
+
+
+def _run_of(batch: DataFrame) -> str:
+    """The identity of the query a batch belongs to.
+
+    Spark keeps it in the checkpoint: a restart has the same one, and a new
+    checkpoint, whose batches start at 0 again, another.
+    """
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return run or "direct"
+
+
+def _folder(step: Step) -> str:
+    return f"run={step[0]}/batch_id={step[1]}"
+
+
+def _put(df: DataFrame, schema: T.StructType, path: str, step: Step) -> None:
     """Write a batch's rows under its own folder, instead of any it left before."""
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{path}/{_folder(step)}")
 
 
 def _get(
-    spark: SparkSession, schema: T.StructType, path: str, before: int | None = None
+    spark: SparkSession, schema: T.StructType, path: str, before: Step | None = None
 ) -> DataFrame:
-    """What all batches wrote, or those ahead of ``before`` (a partition filter)."""
-    batched = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    rows = spark.read.schema(batched).parquet(path)
+    """What all batches wrote, or all but a step and those after it in its run
+    (a partition filter)."""
+    keys = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+    rows = spark.read.schema(T.StructType([*schema.fields, *keys])).parquet(path)
     if before is not None:
-        rows = rows.where(F.col("batch_id") < before)
-    return rows.drop("batch_id")
+        rows = rows.where((F.col("run") != before[0]) | (F.col("batch_id") < before[1]))
+    return rows.drop("run", "batch_id")
 
 
 def _stepped(
@@ -132,10 +162,10 @@ def seed_registry(registry: DataFrame, path: str) -> None:
     """Lay down the twins known before the first batch (there may be none)."""
     if "first_seen" not in registry.columns:
         registry = registry.withColumn("first_seen", F.lit(None).cast("timestamp"))
-    _put(registry, S.SCOPE, path, -1)
+    _put(registry, S.SCOPE, path, _SEED)
 
 
-def read_registry(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+def read_registry(spark: SparkSession, path: str, before: Step | None = None) -> DataFrame:
     return _get(spark, S.SCOPE, path, before)
 
 
@@ -155,13 +185,14 @@ def register(
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        known = read_registry(batch.sparkSession, path, before=batch_id)
+        mine = (_run_of(batch), batch_id)
+        known = read_registry(batch.sparkSession, path, before=mine)
         added = new_twins(batch, known).select(
             "dt_url",
             F.lit(scope_kind).alias("scope_kind"),
             F.current_timestamp().alias("first_seen"),
         )
-        _put(added, S.SCOPE, path, batch_id)
+        _put(added, S.SCOPE, path, mine)
 
     return _stepped(requests, step, checkpoint, once, every)
 
@@ -174,12 +205,12 @@ _HEADS = T.StructType(
 
 def seed_store(store: DataFrame, path: str) -> None:
     """Lay down an existing store (or an empty one) ahead of the first batch."""
-    _put(store, S.OBSERVATION, f"{path}/rows", -1)
-    _put(highest_ids(store), _HEADS, f"{path}/heads", -1)
+    _put(store, S.OBSERVATION, f"{path}/rows", _SEED)
+    _put(highest_ids(store), _HEADS, f"{path}/heads", _SEED)
 
 
-def read_store(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """The store, or what it was ahead of batch ``before``."""
+def read_store(spark: SparkSession, path: str, before: Step | None = None) -> DataFrame:
+    """The store, or what it was ahead of the step ``before``."""
     return _get(spark, S.OBSERVATION, f"{path}/rows", before)
 
 
@@ -195,10 +226,14 @@ def submit_batch(
     """The batch step of ``submit``.
 
     Rows are numbered, parsed and checked once into ``work_path``. New store
-    rows and the outcomes go under the batch's own folders, overwriting them:
-    a batch that comes again sees the store of before and writes the same.
-    One writer per store is assumed. ``checker=check_relayed`` with
-    ``with_content=True`` makes it the observation relay.
+    rows and the outcomes go under folders of the run and batch, overwriting
+    them: a batch that comes again sees the store of before and writes the
+    same, and a run with a new checkpoint adds to what others left. One writer
+    per store at a time: a run that broke off is resumed before another one
+    takes the store over. Request ids made here are unique within a batch;
+    ``run``, ``batch_id`` and ``request_id`` together name an outcome.
+    ``checker=check_relayed`` with ``with_content=True`` makes it the
+    observation relay.
 
     A batch is matched with the store by a semi join. While its keys are few
     enough to be broadcast, the store is read (key columns, then matches) and
@@ -209,18 +244,19 @@ def submit_batch(
         spark = batch.sparkSession
         rows = batch if "request_id" in batch.columns else with_request_ids(batch)
         checked = checker(rows, concepts, **check)
-        work, schema = f"{work_path}/checked", checked.schema
+        mine = (_run_of(batch), batch_id)
+        work, schema = f"{work_path}/checked/{_folder(mine)}", checked.schema
         checked.write.mode("overwrite").parquet(work)
         checked = spark.read.schema(schema).parquet(work)
-        store = read_store(spark, store_path, before=batch_id)
-        heads = _get(spark, _HEADS, f"{store_path}/heads", before=batch_id)
-        out = f"{out_path}/batch_id={batch_id}"
+        store = read_store(spark, store_path, before=mine)
+        heads = _get(spark, _HEADS, f"{store_path}/heads", before=mine)
+        out = f"{out_path}/{_folder(mine)}"
         outcomes = submit_checked(checked, store, with_content, highest=heads)
         outcomes.write.mode("overwrite").partitionBy("route").parquet(out)
         written = spark.read.schema(outcomes.schema).parquet(out)
         added = stored_rows(written.where(F.col("route") == S.ROUTE_SUCCESS), store)
-        _put(added, S.OBSERVATION, f"{store_path}/rows", batch_id)
-        _put(highest_ids(added), _HEADS, f"{store_path}/heads", batch_id)
+        _put(added, S.OBSERVATION, f"{store_path}/rows", mine)
+        _put(highest_ids(added), _HEADS, f"{store_path}/heads", mine)
 
     return step
 
