@@ -103,15 +103,19 @@ def test_bbox_round_trip(spark, rows):
 
 def test_coords_to_wkt(spark):
     rows = [
-        ([(1.0, 2.0)], "POINT(1.000000 2.000000)"),
-        ([(1.0, 2.0), (3.0, 4.0)], "LINESTRING(1.000000 2.000000, 3.000000 4.000000)"),
+        ([(1.0, 2.0)], "POINT(1.0 2.0)"),
+        ([(1.0, 2.0), (3.0, 4.0)], "LINESTRING(1.0 2.0, 3.0 4.0)"),
         (
             [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)],
-            "POLYGON((0.000000 0.000000, 1.000000 0.000000, 1.000000 1.000000, 0.000000 0.000000))",
+            "POLYGON((0.0 0.0, 1.0 0.0, 1.0 1.0, 0.0 0.0))",
         ),
         (
             [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)],
-            "POLYGON((0.000000 0.000000, 1.000000 0.000000, 1.000000 1.000000, 0.000000 0.000000))",
+            "POLYGON((0.0 0.0, 1.0 0.0, 1.0 1.0, 0.0 0.0))",
+        ),
+        (
+            [(0.0, 0.0), (1e-7, 0.0), (1e-7, 1e-7)],
+            "POLYGON((0.0 0.0, 1.0E-7 0.0, 1.0E-7 1.0E-7, 0.0 0.0))",
         ),
         ([], None),
         (None, None),

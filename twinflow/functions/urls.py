@@ -9,13 +9,16 @@ from twinflow.functions.text import strip
 SCHEMES = ("http", "https", "ftp")
 
 
-def _part(url: Column, part: str) -> Column:
-    return F.try_parse_url(url, F.lit(part))
+_HOST = r"(?:\[[0-9A-Fa-f:.]++\]|[^\s/?#@:\[\]]++)"
+_URL = rf"(?i)^(?:{'|'.join(SCHEMES)})://(?:[^\s/?#@]*+@)?+{_HOST}(?::\d*+)?+(?:[/?#]\S*+)?+$"
 
 
 def is_url(url: Column) -> Column:
-    known = F.lower(_part(url, "PROTOCOL")).isin(*SCHEMES)
-    return F.coalesce(known & _part(url, "HOST").isNotNull(), F.lit(False))
+    """Scheme, host and no blank inside; blanks around are no part of it.
+
+    A host may be any name a resolver could know, underscores included.
+    """
+    return F.coalesce(strip(url).rlike(_URL), F.lit(False))
 
 
 def normalize_url(url: Column) -> Column:

@@ -133,8 +133,10 @@ def ordinates(wkt: Column, axis: int) -> Column:
 
 
 def bbox(wkt: Column) -> Column:
-    """struct(min_x, min_y, max_x, max_y); null fields for an empty geometry."""
-    xs, ys = ordinates(wkt, 1), ordinates(wkt, 2)
+    """struct(min_x, min_y, max_x, max_y); null fields for an empty geometry and
+    for text that is none."""
+    readable = is_wkt(wkt)
+    xs, ys = (F.when(readable, ordinates(wkt, axis)) for axis in (1, 2))
     return F.struct(
         F.array_min(xs).alias("min_x"),
         F.array_min(ys).alias("min_y"),
@@ -153,7 +155,10 @@ def bbox_to_wkt(min_x: Column, min_y: Column, max_x: Column, max_y: Column) -> C
 
 
 def coords_to_wkt(coords: Column) -> Column:
-    """array<struct<x,y>> to text: one point, two a line, more a polygon."""
+    """array<struct<x,y>> to text: one point, two a line, more a polygon.
+
+    Ordinates keep all their digits, so a small ring does not collapse.
+    """
     size = F.size(coords)
     ring = F.when(
         F.element_at(coords, 1) == F.element_at(coords, -1), coords
@@ -161,7 +166,7 @@ def coords_to_wkt(coords: Column) -> Column:
 
     def text(points: Column) -> Column:
         return F.array_join(
-            F.transform(points, lambda p: F.format_string("%f %f", p["x"], p["y"])), ", "
+            F.transform(points, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ", "
         )
 
     return (

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from twinflow.functions.urls import normalize_url
 from twinflow.operators.ranking import rank_in_group
 from twinflow.schemas import (
     OUTCOME_ACCEPTED,
@@ -124,18 +125,23 @@ def stored_rows(submitted: DataFrame, store: DataFrame) -> DataFrame:
 
 def known_twins(df: DataFrame, registry: DataFrame, twin: str = "digital_twin") -> DataFrame:
     """Rows whose twin is registered."""
-    return df.join(registry, df[twin] == registry["dt_url"], "left_semi")
+    return df.join(registry, normalize_url(df[twin]) == registry["dt_url"], "left_semi")
 
 
 def contains_twin(df: DataFrame, registry: DataFrame, twin: str = "digital_twin") -> DataFrame:
     """All rows with a flag ``known``."""
-    urls = registry.select(F.col("dt_url").alias(twin), F.lit(True).alias("known"))
-    return df.join(urls, twin, "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    urls = registry.select("dt_url", F.lit(True).alias("known"))
+    joined = df.join(urls, normalize_url(df[twin]) == urls["dt_url"], "left").drop("dt_url")
+    return joined.withColumn("known", F.coalesce("known", F.lit(False)))
 
 
 def new_twins(df: DataFrame, registry: DataFrame, twin: str = "digital_twin") -> DataFrame:
-    """The distinct twins that are not registered yet."""
-    urls = df.where(F.col(twin) != "").select(F.col(twin).alias("dt_url")).distinct()
+    """The distinct twins that are not registered yet, as normalised addresses.
+
+    Text that is no address is no twin.
+    """
+    urls = df.select(normalize_url(F.col(twin)).alias("dt_url")).where("dt_url is not null")
+    urls = urls.distinct()
     return urls.join(registry, "dt_url", "left_anti")
 
 
@@ -147,9 +153,9 @@ def lookup_scope(
 ) -> DataFrame:
     """Add ``scope_kind`` of the row's twin; rows without a twin use the
     configured ``default_scope``."""
-    scopes = registry.select(F.col("dt_url").alias(twin), "scope_kind")
+    scopes = registry.select("dt_url", "scope_kind")
     missing = F.coalesce(F.col(twin), F.lit("")) == ""
-    joined = df.join(scopes, twin, "left")
+    joined = df.join(scopes, normalize_url(df[twin]) == scopes["dt_url"], "left").drop("dt_url")
     return joined.withColumn(
         "scope_kind", F.when(missing, F.lit(default_scope)).otherwise(F.col("scope_kind"))
     )
@@ -163,9 +169,10 @@ def create_scopes(
     twin: str = "digital_twin",
 ) -> DataFrame:
     """Get or create: as ``lookup_scope``, but a twin not registered yet has
-    the scope that ``register_twins`` would give it."""
+    the scope that ``register_twins`` would give it; text that is no address
+    has none."""
     found = lookup_scope(df, registry, default_scope, twin)
-    named = F.coalesce(F.col(twin), F.lit("")) != ""
+    named = normalize_url(F.col(twin)).isNotNull()
     made = F.when(named, F.coalesce("scope_kind", F.lit(scope_kind)))
     return found.withColumn("scope_kind", made.otherwise(F.col("scope_kind")))
 

@@ -67,11 +67,22 @@ def init_observations(df: DataFrame, prefix: str = S.ATTRIBUTE_PREFIX) -> DataFr
     """Requests to observations: fields of the record win over the template.
 
     The semantics come from the record, else from its semantic-types
-    attribute, else from the template.
+    attribute, else from the template. Each field of the geometry that the
+    record leaves open is the template's. A malformed record stays as it is,
+    with its flag, and gets nothing from the template.
     """
     urn = F.col("semantics")
     if "attributes" in df.columns:
         urn = F.coalesce(urn, A.semantic_types(F.col("attributes"), prefix))
-    return df.withColumn("urn", F.coalesce(urn, F.lit(S.CONTEXT_SEMANTICS))).withColumn(
-        "geometry", F.coalesce("geometry", default_geometry())
-    )
+    readable = ~F.col("malformed") if "malformed" in df.columns else F.lit(True)
+    template = default_geometry()
+    parts = {p.name: p.dataType.names for p in S.GEOMETRY}
+
+    def filled(part: str) -> Column:
+        own = F.col("geometry")[part]
+        return F.struct(*[F.coalesce(own[f], template[part][f]).alias(f) for f in parts[part]])
+
+    whole = F.struct(*[filled(p).alias(p) for p in parts])
+    return df.withColumn(
+        "urn", F.when(readable, F.coalesce(urn, F.lit(S.CONTEXT_SEMANTICS)))
+    ).withColumn("geometry", F.when(readable, whole))
