@@ -173,6 +173,24 @@ def test_decontamination_tolerates_substitutions(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_takes_the_longest_stretch(spark):
+    """One or two substitutions anywhere in a short item, and in twenty tokens of a longer one."""
+    rng = random.Random(4)
+    items, docs = [], []
+    for size, places in ((20, [(k,) for k in range(20)] + [(2, 17), (4, 15), (3, 19)]), (16, [(k,) for k in range(16)])):
+        for where in places:
+            own = [f"t{rng.randint(0, 10**9)}" for _ in range(size)]
+            items.append((len(items), " ".join(own)))
+            docs.append((len(docs), "some words before " + " ".join("changed" if k in where else t for k, t in enumerate(own)) + " and some behind"))
+    own = [f"t{rng.randint(0, 10**9)}" for _ in range(50)]
+    items.append((len(items), " ".join(own)))
+    docs.append((len(docs), "before " + " ".join([*own[10:26], "changed", *own[27:30]]) + " behind"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i) for i in range(len(items))}
+    assert all(r["n_equal"] >= 0.8 * r["n_tokens"] for r in found)
+
+
 def test_url_rules_are_mined(spark):
     pages = [(i, f"http://{'free-bets' if i % 4 == 0 else 'news'}{i % 7}.example.net/en/{i}") for i in range(200)]
     pages += [(900, None), (901, "no scheme"), (902, "HTTP://A.B.ORG"), (903, "x://h.com/de/1?q#f"), (903, "x://h.com/de/1?q#f")]

@@ -16,6 +16,7 @@ Equal items are both reported.
 """
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -84,11 +85,13 @@ class Index:
         need = min(least, len(own))
         if b - a < need:
             return None
-        # the stretch with the largest sum of (equal - similar) is equal enough
-        run = np.concatenate([[0.0], np.cumsum(same - similar)])
-        low = np.minimum.accumulate(run)
-        end = int(np.argmax(run - low))
-        start = int(np.argmax(run[: end + 1] == low[end]))
+        # in whole numbers: a stretch i .. j is equal enough when run[j] >= run[i]
+        share = Fraction(str(similar))
+        run = np.concatenate([[0], np.cumsum(same * share.denominator - share.numerator)])
+        ahead = np.maximum.accumulate(run[::-1])[::-1]  # falls, so the farthest end is found by halving
+        far = np.searchsorted(-ahead, -run, "right") - 1
+        start = int(np.argmax(far - np.arange(len(run))))
+        end = int(far[start])
         if end - start < need:
             return None
         return a + shift + start, end - start, int(same[start:end].sum())
