@@ -191,6 +191,35 @@ def test_decontamination_takes_the_longest_stretch(spark):
     assert all(r["n_equal"] >= 0.8 * r["n_tokens"] for r in found)
 
 
+def test_decontamination_looks_short_items_up_whole(spark):
+    rng = random.Random(6)
+    items, docs, want = [], [], set()
+    for size in range(3, 12):
+        for n in range(size // 5 + 2):  # the last has one change too many
+            own = [f"t{rng.randint(0, 10**9)}" for _ in range(size)]
+            where = rng.sample(range(size), n)
+            items.append((len(items) if n or size != 7 else None, " ".join(own)))
+            docs.append((len(docs), "before " + " ".join("changed" if k in where else t for k, t in enumerate(own)) + " behind"))
+            if 5 * n <= size:
+                want.add((docs[-1][0], items[-1][0], size, size - n))
+    # a copy must be whole: no part of one, nothing over the end of a document
+    items.append((len(items), "alpha beta gamma delta"))
+    docs += [(len(docs), "alpha beta gamma"), (len(docs) + 1, "delta alpha beta gamma")]
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for block in (20_000, 7):
+        found = decontaminate.contaminated(docs.coalesce(1), bench, items_a_block=block).collect()
+        assert {(r["doc_id"], r["item_id"], r["n_tokens"], r["n_equal"]) for r in found} == want
+
+
+def test_masks_of_short_items_miss_no_copy():
+    from itertools import combinations
+
+    for size in range(1, 12):
+        masks = decontaminate.whole_masks(size, 0.8)
+        for gone in combinations(range(size), size // 5):
+            assert any(all(m[k] == "0" for k in gone) and "1" in m for m in masks)
+
+
 def test_url_rules_are_mined(spark):
     pages = [(i, f"http://{'free-bets' if i % 4 == 0 else 'news'}{i % 7}.example.net/en/{i}") for i in range(200)]
     pages += [(900, None), (901, "no scheme"), (902, "HTTP://A.B.ORG"), (903, "x://h.com/de/1?q#f"), (903, "x://h.com/de/1?q#f")]
