@@ -3,7 +3,8 @@
 Toxic documents go, one document of each group of near copies stays, documents
 with benchmark passages go, personal data becomes pseudonyms, and sources are
 mixed to their weights. Every stage is written as Parquet in the shared folder
-and read again by the next. The first four return the columns of documents.
+and read again by the next. The first four return the columns
+of documents, the last one those and the second round and counts of the mix.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,8 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    """The words taken of each document, a second time in ``text_again``; documents that give none go."""
+    return mixing.mixture(docs)
 
 
 STAGES = [

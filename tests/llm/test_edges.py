@@ -100,6 +100,30 @@ def test_mix_of_odd_rows(odd):
     assert abs(sum(r["taken"] for r in many) - 1.5 * sum(r["size"] for r in many)) < 800
 
 
+def test_mixture_holds_the_texts_taken(odd, spark):
+    rng = random.Random(9)
+    rows = [(i, "  " + " \n".join(f"w{rng.randint(0, 99)}" for _ in range(rng.randint(0, 40))), "abc"[min(2, i % 7)], i) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    for df, how in ((docs, {}), (docs, {"shard_words": 300}), (odd, {})):
+        counts = {r["doc_id"]: r for r in mixing.mix(df, **how).collect()}
+        got = mixing.mixture(df, **how)
+        assert got.columns[: len(df.columns) - ("size" in df.columns)] == [c for c in df.columns if c != "size"]
+        old, got = dict(pairs(df)), {r["doc_id"]: r for r in got.collect()}
+        assert set(got) == {i for i, r in counts.items() if r["taken"]}
+        for i, r in got.items():
+            assert r["taken"] == counts[i]["taken"] == len(brute.words(r["text"])) + len(brute.words(r["text_again"])) > 0
+            assert old[i].startswith(r["text"]) and (r["text_again"] is None or (r["text"] == old[i] and old[i].startswith(r["text_again"])))
+        assert any(r["text_again"] for r in got.values())
+    assert mixing.mixture(odd, empty=True).count() == 12 and mixing.mixture(odd.limit(0)).count() == 0
+
+
+def test_mix_of_rows_without_words_or_id_is_dealt_out(spark):
+    rows = [(None if i % 2 else i, f"text {i}" if i % 4 < 2 else None, "s") for i in range(4000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), shard_rows=100)
+    sizes = [r["n"] for r in got.where("size > 0 and doc_id is null").groupBy("shard").agg(F.count("*").alias("n")).collect()]
+    assert got.count() == 4000 and sum(sizes) == 1000 and max(sizes) < 150
+
+
 def test_seats_by_highest_quotients(spark):
     votes = [("a", 53_000.0), ("b", 24_000.0), ("c", 23_000.0), ("d", 10.0)]
     df = spark.createDataFrame(votes, "party string, votes double")

@@ -6,20 +6,27 @@ are dealt to its shards the same way. In a shard, documents lie in a seeded
 order on a ring; its blocks are taken from the start, a second time round if
 need be, so no row is taken more than twice.
 
+``mixture`` returns the texts, cut to the words taken; ``mix`` only the counts.
+
 Null texts have size 0 and take nothing; a null source is a source, last in
-order. Repeated rows are rows of their own. Extra columns are left aside.
-An empty table gives an empty result. Shards hold a bounded number of words, so
-no task orders a whole source.
+order. Repeated rows are rows of their own. An empty table gives an empty
+result. Shards hold a bounded number of words and, in the mean, of rows; rows
+without words are in none. So no task orders a whole source. Rows without an id
+are placed by their text; only equal rows always share a shard.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinflow.llm.common import size_in_words, text_of
+from twinflow.session import staged
 
 CYCLE = (5, 2, 1)
 TOTAL = 1.5
 MOST = 2
+PIECE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"  # a word and the separators before it
+ANY = r"[^\x20\x09-\x0D]"  # costs less than the number of words where that is not needed
+ADDED = ("size", "source_size", "target", "taken")
 
 
 def targets(sizes: DataFrame, cycle=CYCLE, total: float = TOTAL, most: int = MOST) -> DataFrame:
@@ -64,29 +71,62 @@ def apportion(votes: DataFrame, vote: str, seats: Column, group: list[str], name
     return each.groupBy(*votes.columns).agg((F.first("_low") + F.sum("_won")).alias(name))
 
 
-def mix(docs: DataFrame, block: int = 16, shard_words: int = 1 << 20, seed: int = 42, **shares) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, shard``: one row per input row."""
-    rows = docs.select("doc_id", "source", size_in_words(text_of()).alias("size"))
-    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), **shares)
-    sources = sources.withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long"))
-    total = F.round(F.sum("target").over(Window.partitionBy()) / block).cast("long")
-    quotas = apportion(sources, "target", total, [], "quota")
-    place = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    # few, small rows: Spark broadcasts them below its own threshold
-    rows = rows.alias("d").join(quotas.alias("q"), F.col("d.source").eqNullSafe(F.col("q.source"))).select(
-        "d.doc_id", "d.source", "size", "source_size", "target", "quota",
-        F.pmod(F.shiftright(place, 20), "n_shards").alias("shard"), place.alias("place"),
+def first_words(text: Column, size: Column, n: Column) -> Column:
+    """The text up to its ``n``-th word, null for none; a text taken whole stays as it is."""
+    pieces = F.slice(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), 1, n.cast("int"))
+    return F.when(n >= size, text).when(n > 0, F.array_join(pieces, ""))
+
+
+def _dealt(docs: DataFrame, keep: list[str], block: int, shard_words: int, shard_rows: int, seed: int, **shares) -> DataFrame:
+    """Every row, as ``_row`` with the columns ``keep``, and how many words each round takes."""
+    text = F.xxhash64(text_of())
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), "doc_id", "source", size_in_words(text_of()).alias("size"), text.alias("hash"), text_of().rlike(ANY).alias("worded"),
+        F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), text)).otherwise(F.xxhash64(F.lit(seed), F.col("doc_id"))).alias("place"),
     )
-    shards = rows.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.first("quota").alias("quota"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.when(F.col("worded"), 1)).alias("n_rows"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("n_rows") / shard_rows)).cast("long")
+    parts = sizes.select(F.col("source").alias("s_source"), parts.alias("n_shards"))
+    sources = targets(sizes.select("source", "source_size"), **shares)
+    total = F.round(F.sum("target").over(Window.partitionBy()) / block).cast("long")
+    quotas = apportion(sources, "target", total, [], "quota").join(parts, F.col("source").eqNullSafe(F.col("s_source")))
+    # few, small rows: written, their size is known, and Spark broadcasts them below its own threshold
+    quotas = staged(quotas.select(F.col("source").alias("q_source"), "source_size", "target", "quota", "n_shards"), "quotas")
+    rows = rows.join(quotas, F.col("source").eqNullSafe(F.col("q_source"))).drop("q_source")
+    rows = rows.withColumn("shard", F.pmod(F.shiftright("place", 20), "n_shards"))
+    shards = rows.where("worded").groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.first("quota").alias("quota"))
     shards = apportion(shards, "shard_size", F.col("quota"), ["source"], "blocks")
-    shards = shards.select(F.col("source").alias("s_source"), F.col("shard").alias("s_shard"), "shard_size", "blocks")
-    ring = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("start", F.coalesce(F.sum("size").over(ring), F.lit(0)))
-    rows = rows.join(shards, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("shard") == F.col("s_shard")))
+    shards = staged(shards.select(F.col("source").alias("s_source"), F.col("shard").alias("s_shard"), "shard_size", "blocks"), "shards")
+    ring = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    sized = rows.where("worded").join(shards, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("shard") == F.col("s_shard")))
+    sized = sized.withColumn("start", F.coalesce(F.sum("size").over(ring), F.lit(0)))
     wanted = F.col("blocks") * block
 
     def part(round_start: Column) -> Column:
-        return F.greatest(F.lit(0), F.least(F.col("size"), wanted - round_start))
+        return F.greatest(F.lit(0), F.least(F.col("size"), wanted - round_start)).cast("long")
+
+    out = ["_row", "source", "source_size", "target", "shard"]
+    none = F.lit(0).cast("long")
+    sized = sized.select(*out, "size", part(F.col("start")).alias("once"), part(F.col("start") + F.col("shard_size")).alias("twice"))
+    return sized.unionByName(rows.where("not worded").select(*out, *[none.alias(c) for c in ("size", "once", "twice")]))
 
-    taken = part(F.col("start")) + part(F.col("start") + F.col("shard_size"))
-    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source", "shard")
+
+def mix(docs: DataFrame, block: int = 16, shard_words: int = 1 << 20, seed: int = 42, shard_rows: int = 1 << 14, **shares) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, source, shard``: the counts, one row per input row."""
+    rows = _dealt(docs, ["doc_id"], block, shard_words, shard_rows, seed, **shares)
+    return rows.select("_row.doc_id", "size", "source_size", "target", (F.col("once") + F.col("twice")).alias("taken"), "source", "shard")
+
+
+def mixture(docs: DataFrame, block: int = 16, shard_words: int = 1 << 20, seed: int = 42, shard_rows: int = 1 << 14, empty: bool = False, **shares) -> DataFrame:
+    """The input's columns with the texts taken, and the counts ``size, source_size, target, taken``.
+
+    ``text`` is what the first round takes, ``text_again`` what the second one
+    takes, null for nothing. Rows that give nothing go, unless ``empty``. Other columns
+    pass through untouched; input columns named like the added ones are replaced.
+    """
+    keep = [c for c in docs.columns if c not in (*ADDED, "text_again")]
+    rows = _dealt(docs, keep, block, shard_words, shard_rows, seed, **shares).withColumn("taken", F.col("once") + F.col("twice"))
+    cut = {c: first_words(F.col("_row.text"), F.col("size"), F.col(n)) for c, n in (("text", "once"), ("text_again", "twice"))}
+    cut = {c: F.when(F.col("size") > 0, v) for c, v in cut.items()}
+    kept = [cut["text"].alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in keep]
+    return (rows if empty else rows.where("taken > 0")).select(*kept, cut["text_again"].alias("text_again"), *ADDED)

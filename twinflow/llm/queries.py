@@ -58,7 +58,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "shard")
+    """All rows, those that give nothing too, with a digest of the words of both rounds."""
+    out = mixing.mixture(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), empty=True)
+    digest = F.sha2(F.concat_ws("\n", "text", "text_again"), 256).alias("taken_sha256")
+    return out.select("doc_id", "size", "source_size", "target", "taken", digest)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
