@@ -7,6 +7,11 @@ network over bits; results outside of the set are permuted again until they
 are inside, so it stays one to one. Equal values have equal pseudonyms in all
 documents, however they are punctuated, and the punctuation stays.
 
+Digits behind or before a card may stand as near as its own groups. So the usual
+lengths for a card's beginning are tried first, at the ends of groups, then the other
+kinds, then other card lengths; where nothing is valid the search goes on at
+the next group.
+
 Null texts stay null, empty ones empty. Columns other than the text pass
 through untouched. Repeated rows give repeated results. Work is per row, in
 Arrow batches; nothing is shuffled, and a lost task is only run again.
@@ -24,15 +29,18 @@ ROUNDS = 8
 KINDS = ("mail", "ip", "date", "ssn", "phone", "card")
 
 MAIL = re.compile(r"(?<![A-Za-z0-9._%+\-])([A-Za-z0-9][A-Za-z0-9._%+\-]{0,63})@((?:[A-Za-z0-9][A-Za-z0-9\-]{0,62}\.){1,8})([A-Za-z]{2,24})(?![A-Za-z0-9])")
-NUMBER = re.compile(
-    r"(?<![\w.+\-])(?:"
-    r"(?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?![\w]|\.\d)"
-    r"|(?P<date>(?:19|20)\d\d[-/](?:0[1-9]|1[0-2])[-/](?:0[1-9]|[12]\d|3[01]))(?!\w)"
-    r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w]|-\d)"
-    r"|(?P<card>\d(?:[ \-]?\d){12,18})(?![\w]|-\d)"
-    r"|(?P<phone>(?:\+?1[ .\-]?)?(?:\([2-9]\d\d\)|[2-9]\d\d)[ .\-]?[2-9]\d\d[ .\-]?\d{4})(?!\w)"
-    r")"
-)
+PATTERNS = {
+    "ip": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
+    "date": r"(?:19|20)\d\d[-/](?:0[1-9]|1[0-2])[-/](?:0[1-9]|[12]\d|3[01])(?!\w)",
+    "ssn": r"\d{3}-\d{2}-\d{4}(?![\w]|-\d)",
+    "phone": r"(?:\+?1[ .\-]?)?(?:\([2-9]\d\d\)|[2-9]\d\d)[ .\-]?[2-9]\d\d[ .\-]?\d{4}(?!\w)",
+}
+KIND = {k: re.compile(p) for k, p in PATTERNS.items()}
+CARD = r"\d(?:[ \-]?\d){12}"
+# where a value may begin; a card may also follow a hyphen
+START = re.compile(rf"(?<![\w.+])(?:(?<!-)(?:{'|'.join(PATTERNS.values())})|{CARD})")
+RUN = re.compile(r"\d(?:[ \-]?\d){12,18}")
+GROUP = re.compile(r"(?<!\d)\d+(?![\w])")
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
@@ -75,6 +83,44 @@ def card(text: str, key: bytes) -> str | None:
     return refill(text, payload + luhn(payload))
 
 
+def lengths(digits: str) -> tuple[int, ...]:
+    """How many digits cards with this beginning have, the usual number first."""
+    if digits[0] == "4":
+        return 16, 19, 13
+    if digits[:2] in ("34", "37"):
+        return (15,)
+    if digits[:2] in ("30", "36", "38", "39"):
+        return 14, 16
+    if digits[:2] == "35" or digits[0] in "56":
+        return 16, 19
+    return (16,) if 2221 <= int(digits[:4]) <= 2720 else ()
+
+
+def cards(text: str, at: int) -> tuple[list[str], list[str]]:
+    """Spans of valid cards that begin at ``at`` and end with a group of digits.
+
+    First those of a length usual for their beginning whose first group has four
+    digits or more, then all others: the longest one, and shorter ones in
+    groups of three digits or more.
+    """
+    run = RUN.match(text, at)
+    if not run:
+        return [], []
+    by_size, whole, longest = {}, True, 0
+    for g in GROUP.finditer(text, at, min(len(text), run.end() + 1)):
+        span = text[at : g.end()]
+        whole &= len(g[0]) >= 3
+        n = sum(c.isdigit() for c in span)
+        if n > 19 or g.end() > run.end():
+            break
+        longest = max(longest, n)
+        by_size[n] = span, whole
+    valid = {n: (span, whole) for n, (span, whole) in by_size.items() if n >= 13 and card(span, b"")}
+    usual = [valid[n][0] for n in lengths(re.sub(r"\D", "", run[0])) if n in valid and run[0][:4].isdigit()]
+    rest = [valid[n][0] for n in sorted(valid, reverse=True) if valid[n][0] not in usual and (n == longest or valid[n][1])]
+    return usual, rest
+
+
 def phone(text: str, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", text)
     head, own = digits[:-10], digits[-10:]
@@ -137,19 +183,47 @@ def pseudonymise(text: str, key: bytes) -> tuple[str, dict[str, int]]:
         found["mail"] = found.get("mail", 0) + 1
         return f"{spelled(m[1], key, 'mail')}@{spelled(m[2], key, 'host')}{m[3]}"
 
-    def number(m: re.Match) -> str:
-        new = VALID[m.lastgroup](m[0], key)
-        if new is None:
-            return m[0]
-        found[m.lastgroup] = found.get(m.lastgroup, 0) + 1
-        return new
+    def value(part: str, at: int, others: bool = True) -> tuple[str, str] | None:
+        """Kind and span of the value that begins here; with ``others``, unusual cards too."""
+        hyphen = at > 0 and part[at - 1] == "-"
+        usual, rest = cards(part, at)
+        for kind in () if hyphen else ("ip", "date", "ssn"):
+            m = KIND[kind].match(part, at)
+            if m and VALID[kind](m[0], key) is not None:
+                return kind, m[0]
+        if usual:
+            return "card", usual[0]
+        m = None if hyphen else KIND["phone"].match(part, at)
+        if m:
+            return "phone", m[0]
+        if not others or hyphen:
+            return None
+        for span in rest:
+            # digits in front of another value may make up a valid number by chance
+            inner = (at + k.start() for k in GROUP.finditer(span) if k.start())
+            if not any(START.match(part, k) and value(part, k, False) for k in inner):
+                return "card", span
+        return None
+
+    def numbers(part: str) -> str:
+        out, done, at = [], 0, 0
+        while m := START.search(part, at):
+            got = value(part, m.start())
+            if got is None:
+                at = m.start() + 1
+                continue
+            kind, span = got
+            out += [part[done : m.start()], VALID[kind](span, key)]
+            found[kind] = found.get(kind, 0) + 1
+            done = at = m.start() + len(span)
+        return "".join([*out, part[done:]])
 
     # addresses stand aside, so that their new digits are not taken for numbers
     parts, at = [], 0
     for m in MAIL.finditer(text) if "@" in text else ():
-        parts += [NUMBER.sub(number, text[at : m.start()]), mail(m)]
+        parts += [numbers(text[at : m.start()]), mail(m)]
         at = m.end()
-    return "".join([*parts, NUMBER.sub(number, text[at:])]), found
+    return "".join([*parts, numbers(text[at:])]), found
 
 
 def pseudonyms(docs: DataFrame, text: str = "text", key: bytes = b"corpus pseudonyms", counts: bool = True) -> DataFrame:
