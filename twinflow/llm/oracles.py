@@ -1,5 +1,43 @@
 """Expected results as DuckDB SQL, for the operators that SQL can express."""
 
-WORD = r"[^\x20\x09-\x0D]+"
+# CRC-32 of the UTF-8 bytes of a text, by the byte table of its polynomial
+_CRC_TABLE = """crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_of
+)"""
 
-ORACLES: dict[str, str] = {}
+
+def _crc32(text: str) -> str:
+    bytes_ = (
+        f"list_transform(regexp_extract_all(hex({text}), '..'), "
+        "lambda h: (strpos('0123456789ABCDEF', h[1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2]) - 1)"
+    )
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), "
+        "lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])), 4294967295)"
+    )
+
+
+OP12 = f"""
+WITH {_CRC_TABLE},
+docs AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS body, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS key
+    FROM documents
+),
+bids AS (
+    SELECT row, key, shard, -1.0 / ln((('0x' || substr(md5(key || ':' || shard), 1, 13))::BIGINT + 0.5) / 4503599627370496.0) AS bid
+    FROM docs, range(17) AS s(shard)
+),
+won AS (
+    SELECT row, arg_max(shard, {{'bid': bid, 'order': -shard}}) FILTER (shard < 16) AS shard, arg_max(shard, {{'bid': bid, 'order': -shard}}) AS grown_shard
+    FROM bids GROUP BY row
+)
+SELECT doc_id, strlen(body) + 1 AS size, {_crc32("body")} AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+    row_number() OVER (PARTITION BY shard ORDER BY ('0x' || substr(md5(key), 1, 13))::BIGINT, doc_id NULLS FIRST, strlen(body), {_crc32("body")}) - 1 AS slot,
+    grown_shard::INTEGER AS grown_shard
+FROM docs JOIN won USING (row), crc_table
+"""
+
+ORACLES: dict[str, str] = {
+    "op12_sharding": OP12,
+}

@@ -5,8 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinflow.llm import decontaminate, jaccard, language_id, lm_scoring, mixing, pii, quality_rules, repeats, toxicity, url_filters
-from twinflow.llm.common import remainder, table
+from twinflow.llm import (
+    decontaminate, jaccard, language_id, lm_scoring, mixing, pii, quality_rules, repeats, sharding, toxicity, url_filters,
+)
+from twinflow.llm.common import remainder, table, text_of
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,16 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonyms(table(spark, sf_dir, "documents"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16 equal shards, and where each row goes with a 17th."""
+    rows = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), [1.0] * 16, grown=1.0)
+    rows = rows.select(
+        "doc_id", (F.octet_length(text_of()) + 1).cast("long").alias("size"), F.crc32(text_of().cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"), "shard", "grown_shard", sharding.record_key().alias("key"),
+    )
+    return sharding.numbered(rows, F.col("key"), ties=("doc_id", "size", "text_crc32")).drop("key")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,6 +89,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_quality_rules, op2_jaccard_join, op3_url_filters, op4_lm_scoring, op5_decontamination,
-        op6_suffix_dedup, op7_toxicity, op8_language_id, op9_mixing, op10_pii, pipeline,
+        op6_suffix_dedup, op7_toxicity, op8_language_id, op9_mixing, op10_pii, op12_sharding, pipeline,
     )
     return {f.__name__: f for f in ops}
