@@ -18,6 +18,43 @@ def _crc32(text: str) -> str:
     )
 
 
+OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+),
+hashed AS (
+    SELECT run, c, {_crc32("id || ':' || run")} AS h
+    FROM (SELECT id, run, count(*) AS c FROM runs WHERE length(run) >= 7 GROUP BY id, run), crc_table
+),
+results AS (
+    SELECT c, CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word
+    FROM hashed
+),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM results WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+places AS (SELECT word, n, unnest(range(length(word)))::INTEGER AS i FROM words),
+cuts AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM places),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, w.word, w.n FROM cuts a JOIN words w ON a.rest = w.word
+    UNION SELECT w.word, a.word, a.n FROM cuts a JOIN words w ON a.rest = w.word
+),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form, CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word
+),
+chains AS (
+    SELECT word, word AS at, form AS next FROM forms
+    UNION ALL
+    SELECT c.word, f.word, f.form FROM chains c JOIN forms f ON c.next = f.word
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chains c ON c.word = f.word AND c.next IS NULL
+"""
+
 OP12 = f"""
 WITH {_CRC_TABLE},
 docs AS (
@@ -38,6 +75,45 @@ SELECT doc_id, strlen(body) + 1 AS size, {_crc32("body")} AS text_crc32, 'key' A
 FROM docs JOIN won USING (row), crc_table
 """
 
+OP13 = f"""
+WITH {_CRC_TABLE},
+turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("conv_id::VARCHAR")} % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns), crc_table
+),
+rebuilt AS (
+    SELECT c.conv_id, 0 AS own, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
+    UNION ALL
+    SELECT c.conv_id, 1, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h
+),
+sequences AS (
+    SELECT c.conv_id, coalesce(list(md5(role) || md5(text) ORDER BY own, pos) FILTER (pos IS NOT NULL), []) AS seq,
+        coalesce(list(strlen(text) ORDER BY own, pos) FILTER (pos IS NOT NULL), []) AS sizes
+    FROM convs c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY c.conv_id
+),
+steps AS (SELECT conv_id, seq, sizes, unnest(range(len(seq) + 1)) AS depth FROM sequences),
+nodes AS (
+    SELECT seq[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(sizes[depth]), 0) AS bytes,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(seq) = depth), '')) AS ends_sha256
+    FROM steps GROUP BY ALL
+),
+families AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN families f ON n.path = f.path),
+above AS (SELECT *, unnest(range(depth + 1)) AS top FROM full_nodes),
+sums AS (
+    SELECT path[1:top] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+    FROM above GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s ON n.path = s.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_spelling_variants": OP11,
     "op12_sharding": OP12,
+    "op13_prefix_trie": OP13,
 }

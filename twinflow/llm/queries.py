@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinflow.llm import (
-    decontaminate, jaccard, language_id, lm_scoring, mixing, pii, quality_rules, repeats, sharding, toxicity, url_filters,
+    decontaminate, jaccard, language_id, lm_scoring, mixing, pii, prefix_trie, quality_rules, repeats, sharding, spelling,
+    toxicity, url_filters,
 )
 from twinflow.llm.common import remainder, table, text_of
 
@@ -70,6 +71,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonyms(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """16 equal shards, and where each row goes with a 17th."""
     rows = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), [1.0] * 16, grown=1.0)
@@ -80,6 +85,10 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered(rows, F.col("key"), ties=("doc_id", "size", "text_crc32")).drop("key")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,6 +98,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_quality_rules, op2_jaccard_join, op3_url_filters, op4_lm_scoring, op5_decontamination,
-        op6_suffix_dedup, op7_toxicity, op8_language_id, op9_mixing, op10_pii, op12_sharding, pipeline,
+        op6_suffix_dedup, op7_toxicity, op8_language_id, op9_mixing, op10_pii, op11_spelling_variants, op12_sharding, op13_prefix_trie, pipeline,
     )
     return {f.__name__: f for f in ops}
