@@ -125,7 +125,7 @@ def test_a_new_checkpoint_keeps_what_others_stored(spark, sf_dir, tmp_path):
         kept.append({tuple(r) for r in jobs.read_store(spark, store).select(*keys).collect()})
     assert kept[0] < kept[1]
     assert len({k[:2] for k in kept[1]}) == len(kept[1])
-    assert spark.read.parquet(out).count() == 200
+    assert jobs.read_outcomes(spark, store).count() == 200
 
 
 def test_a_new_checkpoint_keeps_registered_twins(spark, sf_dir, tmp_path):

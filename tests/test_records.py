@@ -138,7 +138,7 @@ def test_id_policy(spark):
 def test_names_urls_times(spark):
     df = spark.createDataFrame([("a", "HTTPS://h.org/x"), (" ", " https://h.org "), (None, "mailto:a@b")], "n string, u string")
     got = df.select(O.default_name(F.col("n"), F.lit(5)), urls.normalize_url(F.col("u")), urls.is_url(F.col("u"))).collect()
-    assert [tuple(r) for r in got] == [("a", "https://h.org/x", True), ("testing-5", "https://h.org", False), ("testing-5", None, False)]
+    assert [tuple(r) for r in got] == [("a", "https://h.org/x", True), ("testing-5", "https://h.org", True), ("testing-5", None, False)]
     row = spark.sql("select timestamp_ntz'1969-12-31 23:59:59.9995' t").select(times.epoch_millis(F.col("t"))).first()
     assert row[0] == -1
 

@@ -9,7 +9,7 @@ from twinflow.plans import inputs as I
 from twinflow.plans.pipeline import check_relayed, run_relayed, run_requests
 from twinflow.sources import messages as message_source
 from twinflow.sources import requests as R
-from twinflow.streaming import jobs
+from twinflow.streaming import jobs, scopes
 
 
 @pytest.fixture
@@ -106,7 +106,7 @@ def test_submit_equals_batch(spark, sf_dir, tmp_path):
         batch = run_requests(part, concepts, grown)
         want.update({r.request_id: (r.outcome, r.observation_id, r.error_code) for r in batch.collect()})
         grown = jobs.read_store(spark, paths[0])
-    out = spark.read.parquet(paths[1])
+    out = jobs.read_outcomes(spark, paths[0])
     assert {r.request_id: (r.outcome, r.observation_id, r.error_code) for r in out.collect()} == want
     keys = grown.select("digital_twin", "observation_id")
     assert keys.count() == keys.distinct().count()
@@ -114,7 +114,7 @@ def test_submit_equals_batch(spark, sf_dir, tmp_path):
     # the same batch once more adds nothing
     before = table(out, "request_id", "outcome", "observation_id"), grown.count()
     step(parts[3], 3)
-    again = spark.read.parquet(paths[1])
+    again = jobs.read_outcomes(spark, paths[0])
     assert (table(again, "request_id", "outcome", "observation_id"), jobs.read_store(spark, paths[0]).count()) == before
 
 
@@ -127,7 +127,7 @@ def test_submit_stream_resumes(spark, sf_dir, tmp_path):
     def run():
         source = R.stream_requests(spark, landing, max_files=1)
         jobs.submit(source, concepts, *paths, check, once=True).awaitTermination()
-        return spark.read.parquet(paths[1]).count(), jobs.read_store(spark, paths[0]).count()
+        return jobs.read_outcomes(spark, paths[0]).count(), jobs.read_store(spark, paths[0]).count()
 
     land(spark, sf_dir, landing, 0, 99)
     land(spark, sf_dir, landing, 100, 199)
@@ -161,4 +161,68 @@ def test_observation_relay_as_a_stream(spark, sf_dir, tmp_path):
     ).awaitTermination()
     batch = run_relayed(I.relay_documents(spark, sf_dir), concepts, store)
     columns = ("request_id", "route", "error_code", "outcome", "observation_id", "content")
-    assert table(spark.read.parquet(paths[1]), *columns) == table(batch, *columns)
+    assert table(jobs.read_outcomes(spark, paths[0]), *columns) == table(batch, *columns)
+
+
+def test_counts_of_a_stream_lose_no_message(spark, message_files, tmp_path):
+    """Untimed, late and open-window messages, over many batches, restarts and folds, equal the batch."""
+    hard = F.expr("case when message_id % 9 = 0 then null when message_id % 7 = 0 then 253402300800000 else timestamp end")
+    path, check = str(tmp_path / "rates"), str(tmp_path / "c")
+
+    def run(source, **kw):
+        source = source.withColumn("timestamp", hard)
+        jobs.count_messages(source, path, check, once=True, **kw).awaitTermination()
+        return table(jobs.read_rates(spark, path), *columns)
+
+    columns = ("window_start", "window_end", "queue", "type", "n")
+    source = message_source.stream_messages(spark, message_files, max_files=1)
+    run(source, fold_every=2)
+    late = message_source.read_messages(spark, message_files).where("message_id % 5 = 0").coalesce(1)
+    late.write.mode("append").parquet(message_files)  # long after their windows
+    got = run(source)
+    whole = message_source.read_messages(spark, message_files).withColumn("timestamp", hard)
+    assert got == table(monitor.message_rates(whole), *columns)
+    assert run(source) == got
+    rows = jobs.read_rates(spark, path)
+    assert rows.agg(F.sum("n")).first()[0] == whole.count() and rows.where("window_start is null").count() > 0
+    newest = rows.agg(F.max("window_start")).first()[0]
+    closed = jobs.read_rates(spark, path, late_ms=3_600_000)
+    assert table(closed, *columns) == table(rows.where(F.col("window_end") <= newest - 3_600_000), *columns)
+
+
+@pytest.fixture
+def keyed_state(spark):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", scopes.PROVIDER)
+    yield
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_scopes_as_state(spark, sf_dir, tmp_path, keyed_state):
+    """First one wins over restarts, and in a run with other partitions that starts from the registry."""
+    landing, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    known = I.registry(spark, sf_dir)
+
+    def run(registry, out, check):
+        opened = scopes.opened_scopes(R.stream_requests(spark, landing), registry)
+        jobs.write_stream(opened, out, check, once=True).awaitTermination()
+        return spark.read.schema("dt_url string, scope_kind string, first_seen timestamp").parquet(out)
+
+    land(spark, sf_dir, landing, 0, 20)
+    first = table(run(known, out, check), "dt_url", "first_seen")
+    land(spark, sf_dir, landing, 21, 399)
+    after = run(known, out, check)
+    assert set(first) <= set(table(after, "dt_url", "first_seen"))
+    every = {r.digital_twin for r in R.read_requests(spark, landing).collect()} - {None, "", "not a url"}
+    opened = [r.dt_url for r in after.collect()]
+    assert sorted(opened) == sorted(every - {r.dt_url for r in known.collect()})
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        everything = after.unionByName(known, allowMissingColumns=True)
+        land(spark, sf_dir, landing, 400, 999)
+        more = run(everything, str(tmp_path / "out2"), str(tmp_path / "check2"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    every = {r.digital_twin for r in R.read_requests(spark, landing).collect()} - {None, "", "not a url"}
+    assert {r.dt_url for r in more.collect()} == every - {r.dt_url for r in everything.collect()}

@@ -122,17 +122,20 @@ def test_one_id_in_every_request(spark):
 REGISTRY = "dt_url string, scope_kind string"
 
 
+U1, U2, U3 = (f"https://h.org/u{i}" for i in (1, 2, 3))
+
+
 def test_registry(spark):
-    known = spark.createDataFrame([("u1", "context"), ("u2", "context")], REGISTRY)
-    rows = spark.createDataFrame([("u1",), ("u3",), ("u3",), ("",), (None,)], "digital_twin string")
-    assert [r.digital_twin for r in U.known_twins(rows, known).collect()] == ["u1"]
-    assert [r.dt_url for r in U.new_twins(rows, known).collect()] == ["u3"]
+    known = spark.createDataFrame([(U1, "context"), (U2, "context")], REGISTRY)
+    rows = spark.createDataFrame([(U1,), (U3,), (U3,), ("",), (None,)], "digital_twin string")
+    assert [r.digital_twin for r in U.known_twins(rows, known).collect()] == [U1]
+    assert [r.dt_url for r in U.new_twins(rows, known).collect()] == [U3]
     flags = sorted((r.digital_twin or "", r.known) for r in U.contains_twin(rows, known).collect())
-    assert flags == [("", False), ("", False), ("u1", True), ("u3", False), ("u3", False)]
+    assert flags == [("", False), ("", False), (U1, True), (U3, False), (U3, False)]
     scopes = sorted(map(str, [(r.digital_twin, r.scope_kind) for r in U.lookup_scope(rows, known, "user").collect()]))
-    assert scopes == sorted(map(str, [("u1", "context"), ("u3", None), ("u3", None), ("", "user"), (None, "user")]))
+    assert scopes == sorted(map(str, [(U1, "context"), (U3, None), (U3, None), ("", "user"), (None, "user")]))
     after = U.register_twins(rows, known)
-    assert sorted(tuple(r) for r in after.collect()) == [("u1", "context"), ("u2", "context"), ("u3", "user")]
+    assert sorted(tuple(r) for r in after.collect()) == [(U1, "context"), (U2, "context"), (U3, "user")]
     assert U.register_twins(rows, after).count() == 3
     timed = known.withColumn("first_seen", F.lit(None).cast("timestamp"))
     assert U.register_twins(rows, timed).where("first_seen is not null").count() == 1

@@ -1,10 +1,13 @@
 """Submission of observations to a store, and the registry of twins."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinflow.functions.urls import normalize_url
 from twinflow.operators.ranking import rank_in_group
+from twinflow.operators.validate import fail_where
 from twinflow.schemas import (
     OUTCOME_ACCEPTED,
     OUTCOME_EXISTING,
@@ -22,6 +25,7 @@ def submit_observations(
     store: DataFrame,
     row_id: str = "request_id",
     highest: DataFrame | None = None,
+    find: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Submit so that doing it again changes nothing.
 
@@ -36,6 +40,7 @@ def submit_observations(
     the one named ''. The observation columns both sides have (name, urn,
     type, geometry) are the ones a stored row overrides; others pass through.
     ``highest`` (``highest_ids``) spares a scan of the store for its ids.
+    ``find`` gets the keys and returns the store's rows with them, or a few more.
 
     The input is read several times: hand in a written table
     (``session.staged``) when it is expensive to make.
@@ -48,7 +53,7 @@ def submit_observations(
     if highest is None:
         highest = highest_ids(store)
     taken = highest_ids(given).unionByName(highest)
-    return _submit_given(given, store, payload, row_id).unionByName(
+    return _submit_given(given, store, payload, row_id, find).unionByName(
         _submit_fresh(fresh, taken, row_id)
     )
 
@@ -59,7 +64,11 @@ def highest_ids(rows: DataFrame) -> DataFrame:
 
 
 def _submit_given(
-    given: DataFrame, store: DataFrame, payload: list[str], row_id: str
+    given: DataFrame,
+    store: DataFrame,
+    payload: list[str],
+    row_id: str,
+    find: Callable[[DataFrame], DataFrame] | None,
 ) -> DataFrame:
     """One id may be named by a large part of all rows, so no step groups or
     joins such rows by twin and id alone: they are first reduced to at most
@@ -78,7 +87,9 @@ def _submit_given(
     )
     # the semi join lets a small input be broadcast to the store, which then
     # is read but not shuffled; the left join after it sees only the matches
-    stored = store.join(parts.select(*_KEY), _KEY, "left_semi").select(
+    keys = parts.select(*_KEY)
+    stored = find(keys) if find else store.join(keys, _KEY, "left_semi")
+    stored = stored.select(
         *_KEY, F.lit(True).alias("_stored"), *[F.col(c).alias(f"_stored_{c}") for c in payload]
     )
     winners = firsts.join(stored, _KEY, "left")
@@ -123,6 +134,12 @@ def stored_rows(submitted: DataFrame, store: DataFrame) -> DataFrame:
     return submitted.where(F.col("outcome") != OUTCOME_EXISTING).select(*store.columns)
 
 
+def fail_unknown_twins(checked: DataFrame, registry: DataFrame) -> DataFrame:
+    """Good rows whose twin is not registered fail as ``unknown_twin``."""
+    known = contains_twin(checked, registry)
+    return fail_where(known, ~F.col("known"), "unknown_twin").drop("known")
+
+
 def known_twins(df: DataFrame, registry: DataFrame, twin: str = "digital_twin") -> DataFrame:
     """Rows whose twin is registered."""
     return df.join(registry, normalize_url(df[twin]) == registry["dt_url"], "left_semi")
@@ -135,14 +152,16 @@ def contains_twin(df: DataFrame, registry: DataFrame, twin: str = "digital_twin"
     return joined.withColumn("known", F.coalesce("known", F.lit(False)))
 
 
-def new_twins(df: DataFrame, registry: DataFrame, twin: str = "digital_twin") -> DataFrame:
+def new_twins(
+    df: DataFrame, registry: DataFrame | None = None, twin: str = "digital_twin"
+) -> DataFrame:
     """The distinct twins that are not registered yet, as normalised addresses.
 
     Text that is no address is no twin.
     """
     urls = df.select(normalize_url(F.col(twin)).alias("dt_url")).where("dt_url is not null")
     urls = urls.distinct()
-    return urls.join(registry, "dt_url", "left_anti")
+    return urls if registry is None else urls.join(registry, "dt_url", "left_anti")
 
 
 def lookup_scope(

@@ -1,5 +1,7 @@
 """From JSON documents to routed outcomes."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +53,12 @@ def submit_checked(
     with_content: bool = False,
     row_id: str = "request_id",
     highest: DataFrame | None = None,
+    find: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Submit the good rows of ``check_requests`` and route all rows."""
     good = checked.where(F.col("error_code").isNull())
     failed = checked.where(F.col("error_code").isNotNull())
-    submitted = submit_observations(good, store, row_id, highest)
+    submitted = submit_observations(good, store, row_id, highest, find)
     return route(submitted, with_content).unionByName(
         route(failed.withColumn("outcome", F.lit(None).cast("string")))
     )

@@ -6,6 +6,7 @@ it twice.
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,12 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from twinflow import schemas as S
 from twinflow.operators.messages import relay_messages
 from twinflow.operators.monitor import message_rates
-from twinflow.operators.submit import highest_ids, new_twins, stored_rows
+from twinflow.operators.submit import fail_unknown_twins, highest_ids, new_twins, stored_rows
 from twinflow.plans.pipeline import check_requests, submit_checked
 from twinflow.sinks.writers import request_payloads
 from twinflow.sources.requests import with_request_ids
+from twinflow.streaming import commits
+from twinflow.streaming.store import matching, stored, write_folded
 
 Listener = Callable[[DataFrame, int], None]
 
@@ -110,13 +113,12 @@ def rates(
     late: str = "10 minutes",
     **kw,
 ) -> StreamingQuery:
-    """Message rates; a window is written once the watermark has passed it."""
-    return write_stream(message_rates(messages, width, late), path, checkpoint, **kw)
-
+    """Message rates of closed windows; each is written once, when the watermark has passed it.
 
-#: The run and batch under which a table holds what was there before any batch.
-_SEED = ("seed", -1)
-Step = tuple[str, int]
+    Messages without a usable time and those that come after their window was closed
+    are left out, as Spark drops them; ``count_messages`` keeps all.
+    """
+    return write_stream(message_rates(messages, width, late), path, checkpoint, **kw)
 
 
 def _run_of(batch: DataFrame) -> str:
@@ -129,26 +131,10 @@ def _run_of(batch: DataFrame) -> str:
     return run or "direct"
 
 
-def _folder(step: Step) -> str:
-    return f"run={step[0]}/batch_id={step[1]}"
-
-
-def _put(df: DataFrame, schema: T.StructType, path: str, step: Step) -> None:
-    """Write a batch's rows under its own folder, instead of any it left before."""
+def _write(df: DataFrame, schema: T.StructType, folder: str) -> list[str]:
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-    rows.write.mode("overwrite").parquet(f"{path}/{_folder(step)}")
-
-
-def _get(
-    spark: SparkSession, schema: T.StructType, path: str, before: Step | None = None
-) -> DataFrame:
-    """What all batches wrote, or all but a step and those after it in its run
-    (a partition filter)."""
-    keys = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
-    rows = spark.read.schema(T.StructType([*schema.fields, *keys])).parquet(path)
-    if before is not None:
-        rows = rows.where((F.col("run") != before[0]) | (F.col("batch_id") < before[1]))
-    return rows.drop("run", "batch_id")
+    rows.write.parquet(folder)
+    return [folder]
 
 
 def _stepped(
@@ -158,15 +144,104 @@ def _stepped(
     return _triggered(writer, once, every).start()
 
 
+def _seed(spark: SparkSession, path: str, tables: dict[str, tuple[DataFrame, T.StructType]]) -> None:
+    """What is there before the first batch; where it was laid down already nothing changes."""
+    writer = commits.Writer(path)
+    if writer.open(spark).has("seed", 0):
+        return
+    folders = {
+        name: _write(rows, schema, commits.new_folder(f"{path}/{name}", "seed", 0))
+        for name, (rows, schema) in tables.items()
+    }
+    writer.commit(spark, folders, "seed", 0)
+
+
+def _scopes(registry: DataFrame) -> DataFrame:
+    if "first_seen" in registry.columns:
+        return registry
+    return registry.withColumn("first_seen", F.lit(None).cast("timestamp"))
+
+
+_RATES = T.StructType(
+    [
+        T.StructField("window_start", T.LongType()),
+        T.StructField("window_end", T.LongType()),
+        T.StructField("queue", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
+
+
+def count_messages(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    width: str = "1 hour",
+    once: bool = False,
+    every: str = "10 seconds",
+    fold_every: int = 0,
+) -> StreamingQuery:
+    """Message rates that lose no message, for ``read_rates``.
+
+    Every batch adds its own counts, late messages and those under a null window too;
+    open windows are there like closed ones. Nothing is kept as state, so there is no watermark to
+    choose. Counts are committed whole; a batch that comes again adds nothing.
+    """
+    writer = commits.Writer(path)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark, run = batch.sparkSession, _run_of(batch)
+        if writer.open(spark).has(run, batch_id):
+            return
+        folder = commits.new_folder(f"{path}/counts", run, batch_id)
+        counts = _write(message_rates(batch, width), _RATES, folder)
+        writer.commit(spark, {"counts": counts}, run, batch_id)
+        if fold_every and batch_id % fold_every == fold_every - 1:
+            fold_rates(spark, path, writer)
+
+    return _stepped(messages, step, checkpoint, once, every)
+
+
+def _summed(spark: SparkSession, now: commits.State) -> DataFrame:
+    counts = commits.read(spark, now, "counts", _RATES)
+    return counts.groupBy("window_start", "window_end", "queue", "type").agg(F.sum("n").alias("n"))
+
+
+def read_rates(spark: SparkSession, path: str, late_ms: int | None = None) -> DataFrame:
+    """The counts of all committed batches. With ``late_ms`` only windows that ended so long before
+    the newest window began; more can only come for them from messages later than that."""
+    rows = _summed(spark, commits.state(spark, path))
+    if late_ms is None:
+        return rows
+    newest = rows.agg((F.max("window_start") - late_ms).alias("closed"))
+    return rows.join(F.broadcast(newest), F.col("window_end") <= F.col("closed"), "left_semi")
+
+
+def fold_rates(spark: SparkSession, path: str, writer: commits.Writer | None = None) -> None:
+    """One row per window, queue and type in place of one per batch."""
+    writer = writer or commits.Writer(path)
+    now = writer.open(spark)
+    folder = commits.new_folder(f"{path}/counts", "fold", now.version)
+    writer.replace(spark, now, {"counts": _write(_summed(spark, now), _RATES, folder)})
+
+
 def seed_registry(registry: DataFrame, path: str) -> None:
     """Lay down the twins known before the first batch (there may be none)."""
-    if "first_seen" not in registry.columns:
-        registry = registry.withColumn("first_seen", F.lit(None).cast("timestamp"))
-    _put(registry, S.SCOPE, path, _SEED)
+    _seed(registry.sparkSession, path, {"registry": (_scopes(registry), S.SCOPE)})
 
 
-def read_registry(spark: SparkSession, path: str, before: Step | None = None) -> DataFrame:
-    return _get(spark, S.SCOPE, path, before)
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The twins of all committed steps, of a registry's folder or a store's."""
+    return commits.read(spark, commits.state(spark, path), "registry", S.SCOPE)
+
+
+def _added_twins(rows: DataFrame, known: DataFrame, scope_kind: str) -> DataFrame:
+    """The twins seen for the first time. The rows are reduced to distinct twins before
+    anything is shuffled, so it does not matter how many requests name the same one."""
+    return new_twins(rows, known).select(
+        "dt_url", F.lit(scope_kind).alias("scope_kind"), F.current_timestamp().alias("first_seen")
+    )
 
 
 def register(
@@ -179,20 +254,19 @@ def register(
 ) -> StreamingQuery:
     """Add each twin to the registry at ``path`` the first time it is seen.
 
-    A batch is reduced to its distinct twins before anything is shuffled, so
-    it does not matter how many requests name the same one; a streaming
-    ``dropDuplicates`` would send them all to one task.
+    One writer at a time: a query that starts fences the one before it.
     """
+    writer = commits.Writer(path)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        mine = (_run_of(batch), batch_id)
-        known = read_registry(batch.sparkSession, path, before=mine)
-        added = new_twins(batch, known).select(
-            "dt_url",
-            F.lit(scope_kind).alias("scope_kind"),
-            F.current_timestamp().alias("first_seen"),
-        )
-        _put(added, S.SCOPE, path, mine)
+        spark, run = batch.sparkSession, _run_of(batch)
+        now = writer.open(spark)
+        if now.has(run, batch_id):
+            return
+        known = commits.read(spark, now, "registry", S.SCOPE)
+        added = _added_twins(batch, known, scope_kind)
+        folder = commits.new_folder(f"{path}/registry", run, batch_id)
+        writer.commit(spark, {"registry": _write(added, S.SCOPE, folder)}, run, batch_id)
 
     return _stepped(requests, step, checkpoint, once, every)
 
@@ -203,15 +277,35 @@ _HEADS = T.StructType(
 )
 
 
-def seed_store(store: DataFrame, path: str) -> None:
-    """Lay down an existing store (or an empty one) ahead of the first batch."""
-    _put(store, S.OBSERVATION, f"{path}/rows", _SEED)
-    _put(highest_ids(store), _HEADS, f"{path}/heads", _SEED)
+def seed_store(store: DataFrame, path: str, registry: DataFrame | None = None) -> None:
+    """Lay down an existing store (or an empty one) ahead of the first batch, and the
+    twins known then; without ``registry`` those of the store."""
+    if registry is None:
+        registry = new_twins(store).withColumn("scope_kind", F.lit("user"))
+    tables = {
+        "rows": (store, S.OBSERVATION),
+        "heads": (highest_ids(store), _HEADS),
+        "registry": (_scopes(registry), S.SCOPE),
+    }
+    _seed(store.sparkSession, path, tables)
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all committed steps."""
+    return stored(spark, commits.state(spark, path))
 
 
-def read_store(spark: SparkSession, path: str, before: Step | None = None) -> DataFrame:
-    """The store, or what it was ahead of the step ``before``."""
-    return _get(spark, S.OBSERVATION, f"{path}/rows", before)
+def read_outcomes(spark: SparkSession, store_path: str) -> DataFrame:
+    """The outcomes of all committed steps, with ``route``, ``run`` and ``batch_id``; files of
+    attempts that broke are not seen."""
+    folders = commits.state(spark, store_path).folders.get("outcomes", [])
+    if not folders:
+        raise FileNotFoundError(f"no step was committed to {store_path}")
+    places: dict[str, list[str]] = {}
+    for folder in folders:
+        places.setdefault(folder.partition("/run=")[0], []).append(folder)
+    parts = [spark.read.option("basePath", p).parquet(*fs) for p, fs in places.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).drop("try")
 
 
 def submit_batch(
@@ -221,46 +315,89 @@ def submit_batch(
     work_path: str,
     checker: Callable[..., DataFrame] = check_requests,
     with_content: bool = False,
+    scope_kind: str | None = "user",
+    fold_every: int = 0,
     **check,
 ) -> Listener:
     """The batch step of ``submit``.
 
-    Rows are numbered, parsed and checked once into ``work_path``. New store
-    rows and the outcomes go under folders of the run and batch, overwriting
-    them: a batch that comes again sees the store of before and writes the
-    same, and a run with a new checkpoint adds to what others left. One writer
-    per store at a time: a run that broke off is resumed before another one
-    takes the store over. Request ids made here are unique within a batch;
+    Rows are numbered, parsed and checked once into ``work_path``. Twins that are
+    not in the registry are registered with ``scope_kind``; where it is None, good rows
+    of theirs fail as ``unknown_twin``. Outcomes
+    under ``out_path``, store rows, largest ids and twins become visible at once
+    with the step's manifest under ``store_path``, or not at all: a step that breaks
+    anywhere leaves files that nobody reads, and is done again from what was
+    committed. A step that comes again after its manifest does nothing. A
+    run that starts takes the store over; one that still writes then ends with
+    ``commits.Fenced``. Request ids made here are unique within a batch;
     ``run``, ``batch_id`` and ``request_id`` together name an outcome.
     ``checker=check_relayed`` with ``with_content=True`` makes it the
-    observation relay.
+    observation relay. ``fold_every`` folds the store each so many batches.
 
-    A batch is matched with the store by a semi join. While its keys are few
-    enough to be broadcast, the store is read (key columns, then matches) and
-    never shuffled; make batches larger where that read is what costs.
+    A batch is matched with the store by key only; see ``store.matching``.
     """
+    writer = commits.Writer(store_path)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, run = batch.sparkSession, _run_of(batch)
+        now = writer.open(spark)
+        if now.has(run, batch_id):
+            return
         rows = batch if "request_id" in batch.columns else with_request_ids(batch)
         checked = checker(rows, concepts, **check)
-        mine = (_run_of(batch), batch_id)
-        work, schema = f"{work_path}/checked/{_folder(mine)}", checked.schema
-        checked.write.mode("overwrite").parquet(work)
+        work, schema = commits.new_folder(f"{work_path}/checked", run, batch_id), checked.schema
+        checked.write.parquet(work)
         checked = spark.read.schema(schema).parquet(work)
-        store = read_store(spark, store_path, before=mine)
-        heads = _get(spark, _HEADS, f"{store_path}/heads", before=mine)
-        out = f"{out_path}/{_folder(mine)}"
-        outcomes = submit_checked(checked, store, with_content, highest=heads)
-        outcomes.write.mode("overwrite").partitionBy("route").parquet(out)
+        known = commits.read(spark, now, "registry", S.SCOPE)
+        if scope_kind is None:
+            checked = fail_unknown_twins(checked, known)
+        heads = commits.read(spark, now, "heads", _HEADS)
+        store = commits.read(spark, now, "rows", S.OBSERVATION)
+        outcomes = submit_checked(
+            checked, store, with_content, highest=heads, find=lambda keys: matching(spark, now, keys)
+        )
+        out = commits.new_folder(out_path, run, batch_id)
+        outcomes.write.partitionBy("route").parquet(out)
         written = spark.read.schema(outcomes.schema).parquet(out)
-        added = stored_rows(written.where(F.col("route") == S.ROUTE_SUCCESS), store)
-        _put(added, S.OBSERVATION, f"{store_path}/rows", mine)
-        _put(highest_ids(added), _HEADS, f"{store_path}/heads", mine)
+        success = written.where(F.col("route") == S.ROUTE_SUCCESS)
+        added = stored_rows(success, store)
+        folders = {"outcomes": [out]}
+        folders["rows"] = _write(added, S.OBSERVATION, commits.new_folder(f"{store_path}/rows", run, batch_id))
+        taken = commits.read(spark, commits.State(folders=folders), "rows", S.OBSERVATION)
+        folders["heads"] = _write(highest_ids(taken), _HEADS, commits.new_folder(f"{store_path}/heads", run, batch_id))
+        if scope_kind is not None:
+            twins = _added_twins(checked, known, scope_kind)
+            folders["registry"] = _write(twins, S.SCOPE, commits.new_folder(f"{store_path}/registry", run, batch_id))
+        writer.commit(spark, folders, run, batch_id)
+        commits.drop(spark, work)
+        if fold_every and batch_id % fold_every == fold_every - 1:
+            fold(spark, store_path, writer)
 
     return step
 
 
+def fold(spark: SparkSession, store_path: str, writer: commits.Writer | None = None) -> None:
+    """Make one bucketed table of all store rows, one row a twin of the largest ids, and
+    one folder of the registry; outcomes stay. What was folded stays on disk, for readers that began
+    before, until ``commits.sweep``. Without ``writer``, running writers are fenced."""
+    writer = writer or commits.Writer(store_path)
+    now = writer.open(spark)
+    heads = commits.read(spark, now, "heads", _HEADS)
+    heads = heads.groupBy("digital_twin").agg(F.max("start").alias("start"))
+    twins = commits.read(spark, now, "registry", S.SCOPE)
+
+    def folder(table: str) -> str:
+        return commits.new_folder(f"{store_path}/{table}", "fold", now.version)
+
+    folders = {
+        "rows": [],
+        "folded": [write_folded(stored(spark, now), f"{store_path}/rows", now.version)],
+        "heads": _write(heads, _HEADS, folder("heads")),
+        "registry": _write(twins.repartition("dt_url"), S.SCOPE, folder("registry")),
+    }
+    writer.replace(spark, now, folders)
+
+
 def submit(
     requests: DataFrame,
     concepts: DataFrame,
@@ -272,6 +409,6 @@ def submit(
     every: str = "10 seconds",
     **check,
 ) -> StreamingQuery:
-    """Check, resolve, submit and route requests as they come."""
+    """Check, register, resolve, submit and route requests as they come."""
     step = submit_batch(concepts, store_path, out_path, work_path, **check)
     return _stepped(requests, step, checkpoint, once, every)
