@@ -23,6 +23,13 @@ NO_DOCUMENTS = [
     '{"urn":"a:B"},"x":1',
     '{"urn":"a:B"},"end":1} and more',
     '{"urn":"a:B"}] and more',
+    '{"urn":"a:B"}],"x":[1',
+    '{"urn":"a:B"}]}',
+    '{"urn":"a:B"},',
+    '[{"urn":"a:B"}]',
+    "5",
+    "null",
+    '{"urn":"a:B","name":"x',
     '{"urn":"a:B"},{"urn":"a:C"}',
     '{"urn":"a:B"',
     "",

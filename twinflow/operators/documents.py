@@ -2,26 +2,23 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from twinflow.sources.requests import parse_requests, single_value
+from twinflow.schemas import REQUEST
+from twinflow.sources.requests import is_whole, parse_object, parse_with, whole_object
 
 
-def is_object(value: Column) -> Column:
-    """The text is one JSON object, with nothing after it."""
-    framed = F.concat(F.lit('{"document":'), value, F.lit(',"end":1}'))
-    whole = F.json_object_keys(framed) == F.array(F.lit("document"), F.lit("end"))
-    return F.coalesce(whole & single_value(value) & value.rlike(r"^\s*+\{"), F.lit(False))
+_URN = T.StructType([T.StructField("urn", T.StringType())])
+_RELAYED = T.StructType([*REQUEST.fields, T.StructField("observation", T.StringType())])
 
 
 def extract_urn(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``urn`` and, where there is none, ``error_code``."""
-    urn = F.get_json_object(F.col(value), "$.urn")
-    return df.withColumn("urn", F.when(is_object(F.col(value)), urn)).withColumn(
-        "error_code",
-        F.when(~is_object(F.col(value)), F.lit("malformed_json")).when(
-            F.col("urn").isNull(), F.lit("missing_urn")
-        ),
-    )
+    parsed = df.withColumn("_doc", parse_object(F.col(value), _URN))
+    whole = is_whole(F.col("_doc"))
+    parsed = parsed.withColumn("urn", F.when(whole, whole_object(F.col("_doc"))["urn"]))
+    error = F.when(~whole, F.lit("malformed_json")).when(F.col("urn").isNull(), F.lit("missing_urn"))
+    return parsed.withColumn("error_code", error).drop("_doc")
 
 
 def add_observable(value: Column, observable: Column) -> Column:
@@ -37,10 +34,5 @@ def add_observable(value: Column, observable: Column) -> Column:
 
 def split_observation(df: DataFrame, value: str = "value") -> DataFrame:
     """Take ``observation`` (JSON text) off a document; the rest is a request."""
-    rest = parse_requests(df, value)
-    bad = F.col("malformed")
-    observation = F.get_json_object(F.col(value), "$.observation")
-    return (
-        rest.withColumn("observation", F.when(~bad, observation))
-        .withColumn("error_code", F.when(bad, F.lit("malformed_json")))
-    )
+    rest = parse_with(df, value, _RELAYED, "observation")
+    return rest.withColumn("error_code", F.when(F.col("malformed"), F.lit("malformed_json")))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinflow.schemas import MESSAGE, ROUTE_FAILURE
-from twinflow.sources.requests import single_value
+from twinflow.sources.requests import is_whole, parse_object, whole_object
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -38,10 +38,10 @@ def parse_messages(df: DataFrame) -> DataFrame:
     No queue holds those: take them aside with ``malformed_messages`` before a
     filter on queues drops them.
     """
-    whole = single_value(F.col("value")) & F.col("value").rlike(r"^\s*+\{")
-    parsed = df.withColumn("m", F.from_json(F.when(whole, F.col("value")), MESSAGE))
-    unreadable = F.coalesce(F.col("m.message_id").isNull(), F.lit(True))
-    return parsed.select("m.*", "value", unreadable.alias("malformed"))
+    parsed = df.withColumn("_doc", parse_object(F.col("value"), MESSAGE))
+    parsed = parsed.withColumn("m", F.when(is_whole(F.col("_doc")), whole_object(F.col("_doc"))))
+    fields = [F.col("m")[f].alias(f) for f in MESSAGE.fieldNames()]
+    return parsed.select(*fields, "value", F.col("m.message_id").isNull().alias("malformed"))
 
 
 def malformed_messages(df: DataFrame) -> DataFrame:

@@ -1,52 +1,43 @@
 """Requests as JSON documents, one per text row."""
 
+import secrets
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinflow.schemas import REQUEST, UNRESOLVED_ID
 
-_DOCUMENT = T.StructType(
-    [
-        T.StructField("request", REQUEST),
-        T.StructField("end", T.IntegerType()),
-        T.StructField("_corrupt", T.StringType()),
-    ]
-)
+# What no document can hold: it is drawn anew by every process.
+_MARK = f"m{secrets.token_hex(8)}"
 
 
-def single_value(value: Column) -> Column:
-    """Inside of an array the text is one element, or closes the array early.
+def parse_object(value: Column, fields: T.StructType) -> Column:
+    """One JSON text parsed once, for ``whole_object`` and ``is_whole``.
 
-    In an array no key may follow a value, and in an object no bracket may: a
-    text that is well formed in both frames is one value.
+    The parser stops at the end of a value and would not see what follows. Here the text is the
+    first item of an array and a mark is the second one, both under a key that a text cannot
+    name: a text with anything after its value adds items, closes the array ahead of the mark or is
+    an error.
     """
-    return F.coalesce(
-        F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1, F.lit(False)
-    )
+    item = T.StructType([*fields.fields, T.StructField(_MARK, T.StringType())])
+    frame = [T.StructField(_MARK, T.ArrayType(item)), T.StructField("_corrupt", T.StringType())]
+    text = F.concat(F.lit(f'{{"{_MARK}":['), value, F.lit(f',{{"{_MARK}":"end"}}]}}'))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    return F.from_json(text, T.StructType(frame), options)
 
 
-def parse_document(value: Column) -> Column:
-    """struct(request, end, _corrupt), null where the text is not a single value.
+def is_whole(doc: Column) -> Column:
+    """The text was one JSON object with values of the right types."""
+    items = doc[_MARK]
+    mark = F.get(items, F.lit(1))[_MARK] == "end"
+    good = doc["_corrupt"].isNull() & (F.size(items) == 2) & mark & F.get(items, F.lit(0)).isNotNull()
+    return F.coalesce(good, F.lit(False))
 
-    The parser stops at the end of a document and would not see what follows.
-    Here the text is one key of an outer object with a key after it, so
-    a text that ends early is an error or hides that last key; further keys
-    are no ``single_value``.
-    """
-    framed = F.concat(F.lit('{"request":'), value, F.lit(',"end":1}'))
-    return F.from_json(
-        F.when(single_value(value), framed),
-        _DOCUMENT,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
-    )
 
-
-def unreadable(doc: Column) -> Column:
-    """The parsed text was not one JSON object with values of the right types."""
-    return (
-        doc.isNull() | doc["_corrupt"].isNotNull() | doc["end"].isNull() | doc["request"].isNull()
-    )
+def whole_object(doc: Column) -> Column:
+    """The parsed object; look at ``is_whole`` first."""
+    return F.get(doc[_MARK], F.lit(0))
 
 
 def parse_requests(df: DataFrame, value: str = "value") -> DataFrame:
@@ -55,10 +46,16 @@ def parse_requests(df: DataFrame, value: str = "value") -> DataFrame:
     Other columns of ``df`` and the text itself stay, so a failure can be
     routed with its input.
     """
-    doc = df.withColumn("_doc", parse_document(F.col(value)))
-    doc = doc.withColumn("malformed", unreadable(F.col("_doc")))
-    doc = doc.withColumn("_request", F.when(~F.col("malformed"), F.col("_doc.request")))
-    return doc.select(*df.columns, "malformed", *request_columns(F.col("_request")))
+    return parse_with(df, value, REQUEST)
+
+
+def parse_with(df: DataFrame, value: str, fields: T.StructType, *more: str) -> DataFrame:
+    """``parse_requests`` of documents with further fields, which become columns ``more``."""
+    doc = df.withColumn("_doc", parse_object(F.col(value), fields))
+    doc = doc.withColumn("malformed", ~is_whole(F.col("_doc")))
+    doc = doc.withColumn("_request", F.when(~F.col("malformed"), whole_object(F.col("_doc"))))
+    further = [F.col("_request")[c].alias(c) for c in more]
+    return doc.select(*df.columns, "malformed", *request_columns(F.col("_request")), *further)
 
 
 def request_columns(request: Column) -> list[Column]:
