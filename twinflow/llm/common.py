@@ -3,9 +3,13 @@
 All of them are native expressions; a null text counts as empty.
 """
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinflow.session import fresh_dir
+
 # the separators of the contracts: blank, tab, LF, VT, FF, CR
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,6 +49,34 @@ def size_in_words(text: Column) -> Column:
     return F.length(F.regexp_replace(F.regexp_replace(text, WORD, "x"), SPACE, "")).cast("long")
 
 
+class Scratch:
+    """Tables written once in the shared folder, and given up when their readers are done.
+
+    A step's shuffle files stay until the driver collects its garbage; ``free`` asks for that, so that a job
+    of many steps holds the disk of one.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: dict[int, str] = {}
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        folder = fresh_dir(self.spark, label)
+        df.write.parquet(folder)
+        written = self.spark.read.schema(df.schema).parquet(folder)
+        self.folders[id(written)] = folder
+        return written
+
+    def free(self, *tables: DataFrame) -> None:
+        """Delete the tables; what was made from them has to be kept already."""
+        jvm = self.spark._jvm
+        for table in tables:
+            path = jvm.org.apache.hadoop.fs.Path(self.folders.pop(id(table)))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        jvm.System.gc()
+
+
 def flat(column):
     """Values and offsets of an Arrow list column as numpy arrays."""
     import numpy as np

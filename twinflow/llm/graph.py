@@ -3,24 +3,27 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinflow.session import staged
+from twinflow.llm.common import Scratch
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``v, component`` for every vertex of ``edges`` (``a, b``, longs).
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """``v, component`` (and more) for every vertex of ``edges`` (``a, b``, longs).
 
     Every vertex takes the smallest label around it, then the label of its label;
     each round is written to the shared folder, so a lost executor costs a
     re-read. Rounds grow with the logarithm of the longest path. No edges: empty.
     """
+    scratch = scratch or Scratch(edges.sparkSession)
     edges = edges.where("a is not null and b is not null")
-    both = staged(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = staged(both.groupBy(F.col("a").alias("v")).agg(F.min(F.least("a", "b")).alias("component")), "labels")
+    both = scratch.keep(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = scratch.keep(both.groupBy(F.col("a").alias("v")).agg(F.min(F.least("a", "b")).alias("component")), "labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("v")).groupBy("a").agg(F.min("component").alias("near"))
         step = labels.join(near, F.col("v") == F.col("a")).select("v", F.col("component").alias("old"), F.least("component", "near").alias("new"))
         jump = labels.select(F.col("v").alias("j"), F.col("component").alias("root"))
-        step = staged(step.join(jump, F.col("new") == F.col("j"), "left").select("v", "old", F.least("new", F.coalesce("root", "new")).alias("component")), "labels")
-        labels = step.select("v", "component")
-        if step.where("component <> old").isEmpty():
+        step = step.join(jump, F.col("new") == F.col("j"), "left").select("v", F.least("new", F.coalesce("root", "new")).alias("component"), "old")
+        before, labels = labels, scratch.keep(step, "labels")
+        scratch.free(before)
+        if labels.where("component <> old").isEmpty():
+            scratch.free(both)
             return labels

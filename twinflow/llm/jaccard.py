@@ -7,9 +7,11 @@ has to be multiplied: documents of a and b shingles link only if both share
 only, and with none at all unless enough of its shingles occur elsewhere.
 
 Texts with equal sets are one class and enter once. A large group of near copies
-is not expanded into pairs: rows of a block are multiplied with one member at
-a time, a few times over; then only pairs from different components are left to
-multiply, and all of them are. So no link between components is lost.
+is not expanded into pairs: rows of a block are first multiplied with a few members
+of it; then only pairs from different components are left to multiply, and all of
+them are. So no link between components is lost. A pair's overlap is added up over the
+blocks; pairs whose overlap and what can come behind their last common shingle are below the
+bound are discarded, the others are decided by their whole sets.
 
 Null, empty and wordless texts have an empty set and link with nothing. Ids are
 unique; repeated rows of one id and text give repeated results. Rows without
@@ -19,11 +21,11 @@ an id stand alone. Extra columns are left aside.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinflow.llm.common import ascii_lower, text_of, words_of
+from twinflow.llm.common import Scratch, ascii_lower, text_of, words_of
 from twinflow.llm.graph import components
-from twinflow.session import staged
 
 WORDS = 5
+BROADCAST = 1 << 20  # ids that are sent to every executor, 8 MB; more are joined by a shuffle
 
 
 def shingles(text: Column, n: int = WORDS) -> Column:
@@ -49,15 +51,34 @@ def _least(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100).cast("int")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link, by their whole sets. Few pairs are broadcast to the sets, which then stay where they are."""
     a = sets.select(F.col("rep").alias("a"), F.col("toks").alias("a_toks"))
     b = sets.select(F.col("rep").alias("b"), F.col("toks").alias("b_toks"))
     both = pairs.join(b, "b").join(a, "a").withColumn("o", F.size(F.array_intersect("a_toks", "b_toks")))
     return both.where(100 * F.col("o") >= percent * (F.size("a_toks") + F.size("b_toks") - F.col("o"))).select("a", "b")
 
 
+def _candidates(a: DataFrame, b: DataFrame, on: list[str], percent: int, whole: Column | None = None) -> DataFrame:
+    """Pairs that meet in a block where sizes and what is left of both let them link.
+
+    Where all blocks of a pair are multiplied (``whole``), pairs whose overlap and what can
+    come behind the last common shingle are below the bound are discarded.
+    """
+    need = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    fits = (F.col("a_rest") >= need) & (F.col("b_rest") >= need) & (F.col("a_g") != F.col("b_g"))
+    met = a.join(b, on).where(fits if whole is None else fits & whole).select(
+        F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"), need.alias("need"), F.least("a_rest", "b_rest").alias("rest")
+    )
+    pairs = met.groupBy("a", "b", "need").agg(F.count("*").alias("overlap"), F.min("rest").alias("rest"))
+    if whole is not None:
+        pairs = pairs.where(F.col("overlap") + F.col("rest") - 1 >= F.col("need"))
+    return pairs.select("a", "b")
+
+
 def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivots: int = 3) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id``: one row per input row."""
+    scratch = Scratch(docs.sparkSession)
     texts = docs.select("doc_id", shingles(text_of(), n).alias("toks"))
     size = F.size("toks")
     # the lowest hashes: every linked pair shares enough of these
@@ -65,18 +86,25 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     own = texts.select(
         "doc_id", size.alias("n"), F.xxhash64("toks").alias("k1"), F.xxhash64(F.lit("second"), F.col("toks")).alias("k2"), prefix.alias("prefix")
     )
-    own = staged(own, "shingle-prefixes")
+    prefixes = scratch.keep(own, "shingle-prefixes")
+    own = scratch.keep(prefixes.drop("prefix"), "documents")
     classes = own.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
-    classes = staged(classes, "classes")
-    heads = own.select("doc_id", "n", "k1", "prefix").join(classes.select("rep", F.col("k1").alias("c1")), (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("c1")))
+    classes = scratch.keep(classes, "classes")
+    copies = scratch.keep(own.join(classes, ["k1", "k2", "n"]).where("doc_id <> rep").select("doc_id"), "copies")
+    heads = prefixes.where("n > 0 and doc_id is not null").join(copies, "doc_id", "left_anti")
     # 44 bits are enough to tell that a shingle may occur elsewhere, and move less
-    rows = heads.select("rep", F.explode("prefix").alias("tok")).withColumn("tok", F.col("tok").bitwiseAND(F.lit((1 << 44) - 1)))
-    # the first and the last row of a shingle differ where two documents have it
-    common = rows.groupBy("tok").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("tok")
-    alive = rows.join(common, "tok", "left_semi").groupBy("rep").agg(F.count("*").alias("m")).join(classes.select("rep", "n"), "rep")
+    rows = heads.select(F.col("doc_id").alias("rep"), "n", F.explode("prefix").alias("tok")).withColumn("tok", F.col("tok").bitwiseAND(F.lit((1 << 44) - 1)))
+    common = rows.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1").select("tok")
+    alive = rows.join(common, "tok", "left_semi").groupBy("rep", "n").agg(F.count("*").alias("m"))
     alive = alive.where(F.col("m") >= _extra(_least(F.col("n"), percent), percent)).select("rep")
-    sets = texts.join(alive, F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
-    sets = staged(sets.select(F.col("doc_id").alias("rep"), "toks"), "sets")
+    alive = scratch.keep(alive, "alive")
+    scratch.free(prefixes, copies)
+    # only these documents' texts are cut into shingles again; texts move for less than their shingles would
+    few = alive.count() <= BROADCAST
+    left = docs.select("doc_id", "text").join(F.broadcast(alive) if few else alive, F.col("doc_id") == F.col("rep"), "left_semi")
+    sets = left.select(F.col("doc_id").alias("rep"), shingles(text_of(), n).alias("toks")).dropDuplicates(["rep"])
+    sets = scratch.keep(sets, "sets")
+    scratch.free(alive)
 
     # rarest first: shingles of one document alone cannot meet, but fill the prefix
     each = sets.select("rep", F.size("toks").alias("n"), F.explode("toks").alias("tok"))
@@ -86,35 +114,39 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     left = F.col("n") - _least(F.col("n"), percent) + 1 - alone
     blocks = met.where(left > 0).select("rep", "n", alone.alias("alone"), F.posexplode(F.slice("by", 1, left)["tok"]).alias("i", "tok"))
     # the row's shingle and those behind it: what a pair can share from here on
-    blocks = staged(blocks.select("tok", "rep", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest")), "blocks")
-
-    need = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
-    fits = (F.col("a_rest") >= need) & (F.col("b_rest") >= need)
-    edges = None
-    known = None
-    for turn in range(pivots + 1):
-        if known is None:
-            rows = blocks.withColumn("g", F.col("rep"))
-        else:
-            rows = blocks.join(known, F.col("rep") == F.col("v"), "left").select("tok", "rep", "n", "rest", F.coalesce("component", "rep").alias("g"))
-            open_ = rows.groupBy("tok").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("tok")
-            rows = staged(rows.join(open_, "tok", "left_semi"), "open-blocks")
-        b = rows.select("tok", *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "rest", "g")])
-        if turn < pivots:  # one member of each block with the others: linear
-            pivot = F.min_by(F.struct("rep", "n", "rest", "g"), F.struct(F.xxhash64(F.lit(turn), "rep"), F.col("rep")))
-            a = rows.groupBy("tok").agg(pivot.alias("p")).select("tok", *[F.col(f"p.{c}").alias(f"a_{c}") for c in ("rep", "n", "rest", "g")])
-            apart = F.col("a_g") != F.col("b_g")
-        else:  # what is left between components, in full
-            a = rows.select("tok", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "rest", "g")])
-            apart = F.col("a_g") < F.col("b_g")
-        pairs = a.join(b, "tok").where(apart & fits).groupBy(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).agg(F.count("*").alias("overlap"))
-        found = staged(_verified(pairs, sets, percent), "links")
-        edges = found if edges is None else edges.union(found)
-        known = components(edges)
-    final = known
+    blocks = scratch.keep(blocks.select("tok", "rep", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest")), "blocks")
+    scratch.free()
+
+    def side(rows: DataFrame, name: str, more: tuple[str, ...] = ()) -> DataFrame:
+        return rows.select("tok", *more, *[F.col(c).alias(f"{name}_{c}") for c in ("rep", "n", "rest", "g")])
+
+    # some members of each block with the others: linear
+    rows = blocks.withColumn("g", F.col("rep"))
+    member = F.struct("rep", "n", "rest", "g")
+    chosen = [F.min_by(member, F.struct(F.xxhash64(F.lit(turn), "rep"), F.col("rep"))) for turn in range(pivots)]
+    a = rows.groupBy("tok").agg(F.array_distinct(F.array(*chosen)).alias("p")).select("tok", F.explode("p").alias("p")).select("tok", "p.*")
+    pairs = scratch.keep(_candidates(side(a, "a"), side(rows, "b"), ["tok"], percent), "pairs")
+    edges = scratch.keep(_linked(pairs, sets, percent), "links")
+    scratch.free(pairs)
+    known = components(edges, scratch)
+
+    # what is left between components, in full; lengths that can link are in one or in neighbouring bands
+    rows = blocks.join(known, F.col("rep") == F.col("v"), "left").select("tok", "rep", "n", "rest", F.coalesce("component", "rep").alias("g"))
+    open_ = rows.groupBy("tok").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("tok")
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
+    rows = scratch.keep(rows.join(open_, "tok", "left_semi").withColumn("band", band), "open-blocks")
+    scratch.free(blocks)
+    # the shorter one of a pair looks for the longer one
+    shorter = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_rep") < F.col("b_rep")))
+    a = side(rows.withColumn("band", F.explode(F.array("band", F.col("band") + 1))), "a", ("band",))
+    pairs = scratch.keep(_candidates(a, side(rows, "b", ("band",)), ["tok", "band"], percent, shorter), "pairs")
+    found = scratch.keep(_linked(pairs, sets, percent), "links")
+    scratch.free(pairs, rows, sets)
+    final = components(edges.union(found), scratch)
+    scratch.free(known)
 
     named = classes.join(final, F.col("rep") == F.col("v"), "left").select("k1", "k2", "n", "rep", F.coalesce("component", "rep").alias("component"))
-    out = own.drop("prefix").join(named, ["k1", "k2", "n"], "left")
+    out = own.join(named, ["k1", "k2", "n"], "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     return out.select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
