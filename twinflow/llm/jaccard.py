@@ -8,10 +8,11 @@ only, and with none at all unless enough of its shingles occur elsewhere.
 
 Texts with equal sets are one class and enter once. A large group of near copies
 is not expanded into pairs: rows of a block are first multiplied with a few members
-of it; then only pairs from different components are left to multiply, and all of
+of it, and every document is compared with the few that it meets most often; then only pairs from different components are left to multiply, and all of
 them are. So no link between components is lost. A pair's overlap is added up over the
 blocks; pairs whose overlap and what can come behind their last common shingle are below the
-bound are discarded, the others are decided by their whole sets.
+bound are discarded, as are pairs whose sets, as bits, differ too much; the others are decided by their
+whole sets.
 
 Null, empty and wordless texts have an empty set and link with nothing. Ids are
 unique; repeated rows of one id and text give repeated results. Rows without
@@ -25,6 +26,7 @@ from twinflow.llm.common import Scratch, ascii_lower, text_of, words_of
 from twinflow.llm.graph import components
 
 WORDS = 5
+MARKS = 1024  # bits that stand for a set where pairs of it are many
 BROADCAST = 1 << 20  # ids that are sent to every executor, 8 MB; more are joined by a shuffle
 
 
@@ -59,21 +61,26 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("o") >= percent * (F.size("a_toks") + F.size("b_toks") - F.col("o"))).select("a", "b")
 
 
-def _candidates(a: DataFrame, b: DataFrame, on: list[str], percent: int, whole: Column | None = None) -> DataFrame:
-    """Pairs that meet in a block where sizes and what is left of both let them link.
+def _marks(toks: str) -> Column:
+    """A bit per shingle, at one of ``MARKS`` places by its hash, as 64-bit words."""
+    words = MARKS // 64 - 1
+    own = f"filter({toks}, t -> (shiftright(t, 6) & {words}) = w)"
+    return F.expr(f"transform(sequence(0, {words}), w -> aggregate({own}, 0L, (m, t) -> m | shiftleft(1L, cast(t & 63 as int))))")
 
-    Where all blocks of a pair are multiplied (``whole``), pairs whose overlap and what can
-    come behind the last common shingle are below the bound are discarded.
-    """
+
+def _others(a: str, b: str) -> Column:
+    """At least so many shingles of ``a`` are not in ``b``: those whose places no shingle of ``b`` has."""
+    return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x & ~y)), 0, (n, k) -> n + k)")
+
+
+def _met(a: DataFrame, b: DataFrame, on: list[str], percent: int, which: Column | None = None) -> DataFrame:
+    """``a, b, need, overlap, rest``: pairs that meet in blocks where sizes and what is left of both let them link, how many
+    blocks these are, and how many shingles both have at most from the last of them on."""
     need = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
     fits = (F.col("a_rest") >= need) & (F.col("b_rest") >= need) & (F.col("a_g") != F.col("b_g"))
-    met = a.join(b, on).where(fits if whole is None else fits & whole).select(
-        F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"), need.alias("need"), F.least("a_rest", "b_rest").alias("rest")
-    )
-    pairs = met.groupBy("a", "b", "need").agg(F.count("*").alias("overlap"), F.min("rest").alias("rest"))
-    if whole is not None:
-        pairs = pairs.where(F.col("overlap") + F.col("rest") - 1 >= F.col("need"))
-    return pairs.select("a", "b")
+    met = a.join(b, on).where(fits if which is None else fits & which)
+    met = met.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"), need.alias("need"), F.least("a_rest", "b_rest").alias("rest"))
+    return met.groupBy("a", "b", "need").agg(F.count("*").alias("overlap"), F.min("rest").alias("rest"))
 
 
 def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivots: int = 3) -> DataFrame:
@@ -117,15 +124,19 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     blocks = scratch.keep(blocks.select("tok", "rep", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest")), "blocks")
     scratch.free()
 
-    def side(rows: DataFrame, name: str, more: tuple[str, ...] = ()) -> DataFrame:
-        return rows.select("tok", *more, *[F.col(c).alias(f"{name}_{c}") for c in ("rep", "n", "rest", "g")])
+    def side(rows: DataFrame, name: str, on: tuple[str, ...] = (), more: tuple[str, ...] = ()) -> DataFrame:
+        return rows.select("tok", *on, *[F.col(c).alias(f"{name}_{c}") for c in ("rep", "n", "rest", "g", *more)])
 
     # some members of each block with the others: linear
     rows = blocks.withColumn("g", F.col("rep"))
     member = F.struct("rep", "n", "rest", "g")
     chosen = [F.min_by(member, F.struct(F.xxhash64(F.lit(turn), "rep"), F.col("rep"))) for turn in range(pivots)]
     a = rows.groupBy("tok").agg(F.array_distinct(F.array(*chosen)).alias("p")).select("tok", F.explode("p").alias("p")).select("tok", "p.*")
-    pairs = scratch.keep(_candidates(side(a, "a"), side(rows, "b"), ["tok"], percent), "pairs")
+    met = _met(side(a, "a"), side(rows, "b"), ["tok"], percent)
+    # each with the few it meets most often
+    most = F.sort_array(F.collect_list(F.struct((-F.col("overlap")).alias("o"), F.xxhash64("a").alias("h"), "a")))
+    met = met.groupBy("b").agg(F.slice(most, 1, pivots).alias("most")).select("b", F.explode("most.a").alias("a"))
+    pairs = scratch.keep(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     edges = scratch.keep(_linked(pairs, sets, percent), "links")
     scratch.free(pairs)
     known = components(edges, scratch)
@@ -136,12 +147,20 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
     rows = scratch.keep(rows.join(open_, "tok", "left_semi").withColumn("band", band), "open-blocks")
     scratch.free(blocks)
+    reps = scratch.keep(rows.select("rep").distinct(), "open-documents")
+    marks = scratch.keep(sets.join(reps, "rep", "left_semi").select("rep", _marks("toks").alias("marks")), "marks")
+    marked = scratch.keep(rows.join(marks, "rep"), "marked-blocks")
+    scratch.free(rows, reps, marks)
     # the shorter one of a pair looks for the longer one
     shorter = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_rep") < F.col("b_rep")))
-    a = side(rows.withColumn("band", F.explode(F.array("band", F.col("band") + 1))), "a", ("band",))
-    pairs = scratch.keep(_candidates(a, side(rows, "b", ("band",)), ["tok", "band"], percent, shorter), "pairs")
+    shared = F.least(F.col("a_n") - _others("a_marks", "b_marks"), F.col("b_n") - _others("b_marks", "a_marks"))
+    can = 100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared)
+    a = side(marked.withColumn("band", F.explode(F.array("band", F.col("band") + 1))), "a", ("band",), ("marks",))
+    met = _met(a, side(marked, "b", ("band",), ("marks",)), ["tok", "band"], percent, shorter & can)
+    # what can come behind the last common shingle must make up for what the overlap lacks
+    pairs = scratch.keep(met.where(F.col("overlap") + F.col("rest") - 1 >= F.col("need")).select("a", "b"), "pairs")
     found = scratch.keep(_linked(pairs, sets, percent), "links")
-    scratch.free(pairs, rows, sets)
+    scratch.free(pairs, marked, sets)
     final = components(edges.union(found), scratch)
     scratch.free(known)
 
