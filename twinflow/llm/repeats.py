@@ -9,6 +9,7 @@ Where one anchor has several contexts, the first of each is split into its
 stretches, and these are sorted the same way.
 
 Null texts are empty. Texts under ``size`` bytes have no stretch and lose nothing.
+Texts over two million bytes go through in overlapping windows.
 Ids are unique; rows that share an id share their marks. Extra columns are
 left aside. Hashes of 128 bits stand for the strings.
 """
@@ -19,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinflow.llm.common import mixed, text_of
+from twinflow.llm.common import Scratch, mixed, text_of
 
 SIZE = 100
 CHUNK = 1 << 21
@@ -85,19 +86,34 @@ def anchors(h: Hashes, offsets: np.ndarray, size: int):
     return text[first], best[first], starts[first], starts[last]
 
 
-def chunks(ids: np.ndarray, texts: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Whole texts, some two million bytes at a time: ids, bytes, offsets."""
-    own, parts, size = [], [], 0
-    for i, t in zip(ids, texts, strict=True):
-        raw = t.encode("utf-8", "replace")
-        own.append(i)
-        parts.append(raw)
-        size += len(raw)
-        if size >= CHUNK:
-            yield np.array(own), np.frombuffer(b"".join(parts), dtype=np.uint8), np.cumsum([0, *map(len, parts)])
-            own, parts, size = [], [], 0
+def chunks(texts, size: int, chunk: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Texts (an Arrow column), some two million bytes at a time: ``row, data, offsets, shift, begin, end``.
+
+    A longer text comes in windows. A window's own part is from byte ``begin`` to ``end`` of its text; it starts at byte
+    ``shift``, so early that a run of stretches which begins in the own part is known from its first one, and reaches
+    behind the own part as far as the last run can.
+    """
+    import pyarrow as pa
+
+    before = size - size // 2 + 1  # stretches that one run can have
+    places, parts, held = [], [], 0
+
+    def out():
+        row, *rest = np.array(places).T
+        return row, np.frombuffer(b"".join(parts), dtype=np.uint8), np.cumsum([0, *map(len, parts)]), *rest
+
+    for row, text in enumerate(texts.cast(pa.binary())):
+        raw = text.as_py()
+        for start in range(0, max(1, len(raw)), chunk):
+            shift, last = max(0, start - before), start + chunk >= len(raw)
+            places.append((row, shift, start, len(raw) if last else start + chunk))
+            parts.append(raw[shift : start + chunk + before + size])
+            held += len(parts[-1])
+            if held >= chunk:
+                yield out()
+                places, parts, held = [], [], 0
     if parts:
-        yield np.array(own), np.frombuffer(b"".join(parts), dtype=np.uint8), np.cumsum([0, *map(len, parts)])
+        yield out()
 
 
 def _frame(kind, k1, k2, k3, doc, start, n):
@@ -128,15 +144,18 @@ def _settled(keys, doc, start, n):
     return _frame(kind, k1, keys[1], keys[2], doc, start, n)
 
 
-def contexts(size: int):
+def contexts(size: int, chunk: int = CHUNK):
     """Per batch of ``doc_id, text``: one row per context."""
 
     def run(batches) -> Iterator:
         for batch in batches:
             ids = np.asarray(batch.column("doc_id"))
-            for own, data, offsets in chunks(ids, batch.column("text").to_pylist()):
+            for rows, data, offsets, shift, begin, end in chunks(batch.column("text"), size, chunk):
                 h = Hashes(data)
                 text, a, lo, hi = anchors(h, offsets, size)
+                start = lo - offsets[text] + shift[text]
+                own = (start >= begin[text]) & (start < end[text])
+                text, a, lo, hi, start = (x[own] for x in (text, a, lo, hi, start))
                 if not len(text):
                     continue
                 half = size // 2
@@ -144,29 +163,38 @@ def contexts(size: int):
                 k1 = mixed(h.of(a, a + half, 0), h.of(a, a + half, 1))
                 k2 = mixed(h.of(lo, hi + size, 0), place)
                 k3 = mixed(h.of(lo, hi + size, 1), place)
-                yield _settled([k1, k2, k3], own[text], lo - offsets[text], hi - lo)
+                yield _settled([k1, k2, k3], ids[rows[text]], start, hi - lo)
 
     return run
 
 
-def stretches(size: int):
+def stretches(size: int, chunk: int = CHUNK):
     """Per batch of ``doc_id, text, runs``: one row per stretch of the runs."""
 
     def run(batches) -> Iterator:
         for batch in batches:
-            ids, runs = np.asarray(batch.column("doc_id")), batch.column("runs").to_pylist()
-            texts, at = batch.column("text").to_pylist(), 0
-            for own, data, offsets in chunks(ids, texts):
+            ids, column = np.asarray(batch.column("doc_id")), batch.column("runs")
+            pairs = column.flatten()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(column.offsets)))
+            starts, ns = np.asarray(pairs.field("start")), np.asarray(pairs.field("n"))
+            order = np.lexsort((starts, row))
+            row, starts, ns = row[order].astype(np.int64), starts[order].astype(np.int64), ns[order].astype(np.int64)
+            for rows, data, offsets, shift, begin, end in chunks(batch.column("text"), size, chunk):
                 h = Hashes(data)
-                base = np.repeat(np.arange(len(own)), [len(runs[at + i]) for i in range(len(own))])
-                pairs = np.array([(r["start"], r["n"]) for i in range(len(own)) for r in runs[at + i]], dtype=np.int64).reshape(-1, 2)
-                at += len(own)
-                count = pairs[:, 1] + 1
-                text = np.repeat(base, count)
-                start = np.repeat(pairs[:, 0], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                s = start + offsets[text]
-                k1, k2 = h.of(s, s + size, 0), h.of(s, s + size, 1)
-                yield _settled([k1, k2, np.zeros(len(k1), dtype=np.uint64)], own[text], start, np.zeros(len(start)))
+                mine = [np.zeros((2, 0), np.int64)]  # the runs of the windows' own parts, with the window
+                for k, r in enumerate(rows):
+                    low, high = np.searchsorted(row, [r, r + 1])
+                    low, high = low + np.searchsorted(starts[low:high], [begin[k], end[k]])
+                    mine.append(np.stack([np.arange(low, high), np.full(high - low, k)]))
+                run, k = np.concatenate(mine, axis=1)
+                if not len(run):
+                    continue
+                count = ns[run] + 1
+                start = np.repeat(starts[run], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                k = np.repeat(k, count)
+                at = start - shift[k] + offsets[k]
+                k1, k2 = h.of(at, at + size, 0), h.of(at, at + size, 1)
+                yield _settled([k1, k2, np.zeros(len(k1), dtype=np.uint64)], ids[rows[k]], start, np.zeros(len(start)))
 
     return run
 
@@ -222,43 +250,47 @@ def decided(split: bool):
     return run
 
 
-def marks(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """``doc_id, start, n``: stretches from ``start`` to ``start + n`` occur earlier."""
-    from twinflow.session import staged
-
+def marks(docs: DataFrame, scratch: Scratch, size: int = SIZE, chunk: int = CHUNK) -> DataFrame:
+    """``doc_id, start, n``: stretches from ``start`` to ``start + n`` occur earlier. Written; each step gives up what it shuffled."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).where("doc_id is not null")
     keys = ["k1", "k2", "k3"]
-    found = rows.mapInArrow(contexts(size), ROWS).repartition("k1").sortWithinPartitions(*keys, "doc_id", "start")
-    found = staged(found.mapInArrow(decided(True), ROWS).select("kind", "doc_id", "start", "n"), "repeats")
+    found = rows.mapInArrow(contexts(size, chunk), ROWS).repartition("k1").sortWithinPartitions(*keys, "doc_id", "start")
+    found = scratch.keep(found.mapInArrow(decided(True), ROWS).select("kind", "doc_id", "start", "n"), "repeats")
+    scratch.free()
     again = found.where(F.col("kind") == SPLIT).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    again = rows.join(again, "doc_id").mapInArrow(stretches(size), ROWS).repartition("k1").sortWithinPartitions(*keys, "doc_id", "start")
-    again = again.mapInArrow(decided(False), ROWS).select("doc_id", "start", "n")
+    again = rows.join(again, "doc_id").mapInArrow(stretches(size, chunk), ROWS).repartition("k1").sortWithinPartitions(*keys, "doc_id", "start")
+    again = scratch.keep(again.mapInArrow(decided(False), ROWS).select("doc_id", "start", "n"), "split-repeats")
+    scratch.free()
     return found.where(F.col("kind") == MARK).select("doc_id", "start", "n").union(again)
 
 
-def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
+def _kept(raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[int, int, bytes]:
+    """Bytes removed, maximal runs of them, and what stays of a text with these marks."""
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(np.minimum(end[order], len(raw)))
+    new = np.append(True, start[1:] > end[:-1])
+    start, end = start[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
+    edges = zip([0, *end.tolist()], [*start.tolist(), len(raw)])
+    return int((end - start).sum()), len(start), b"".join(raw[a:b] for a, b in edges)
+
+
+def without_repeats(docs: DataFrame, size: int = SIZE, chunk: int = CHUNK) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept``: the bytes that stay, per row."""
     import pyarrow as pa
 
-    per_doc = marks(docs, size).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    per_doc = marks(docs, Scratch(docs.sparkSession), size, chunk).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(per_doc, "doc_id", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for t, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                raw = t.encode("utf-8", "replace")
-                if not runs:
+            for text, runs in zip(batch.column("text").cast(pa.binary()), batch.column("runs")):
+                raw = text.as_py()
+                if not runs.is_valid:
                     out.append((len(raw), 0, 0, raw))
                     continue
-                step = np.zeros(len(raw) + 1, dtype=np.int64)
-                s = np.array([r["start"] for r in runs])
-                e = np.array([r["start"] + r["n"] + size for r in runs])
-                np.add.at(step, np.minimum(s, len(raw)), 1)
-                np.add.at(step, np.minimum(e, len(raw)), -1)
-                gone = np.cumsum(step[:-1]) > 0
-                spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                out.append((len(raw), int(gone.sum()), spans, np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()))
+                start = np.asarray(runs.values.field("start"), dtype=np.int64)
+                out.append((len(raw), *_kept(raw, start, start + np.asarray(runs.values.field("n")) + size)))
             cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(list(c), type=k) for c, k in zip(cols, kinds, strict=True)]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
