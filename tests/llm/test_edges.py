@@ -88,8 +88,10 @@ def test_repeats_of_all_kinds(odd, spark):
     parts = ["".join(rng.choice("ab ") for _ in range(rng.randint(40, 260))) for _ in range(12)]
     rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 6))) + "q" * rng.randint(0, 220)) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    got = rows_of(repeats.without_repeats(docs).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
-    assert got == brute.without_repeats(rows)
+    for chunk in (repeats.CHUNK, 130, 40):  # whole texts, and texts in windows
+        got = rows_of(repeats.without_repeats(docs, chunk=chunk).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
+        assert got == brute.without_repeats(rows)
+    assert repeats.without_repeats(docs.limit(0)).count() == 0
 
 
 def test_mix_of_odd_rows(odd):
@@ -275,3 +277,46 @@ def test_url_rules_are_mined(spark):
     assert (got[902]["host"], got[902]["path"], got[902]["rule"]) == ("a.b.org", "", None)
     assert (got[903]["path"], got[903]["rule"], got[903]["verdict"]) == ("/de/1", "com/de/", "block")
     assert url_filters.judge(pages, labels.limit(0)).where("mined is not null").count() == 0
+
+
+def test_dates_in_other_orders_and_with_a_time(spark):
+    new = lambda s: pii.pseudonymise(s, b"k")[0]
+    assert new("2001-02-03") == new("2001-02-03T10:11:12")[:10] and new("2001-02-03T10:11:12")[10:] == "T10:11:12"
+    assert new("1999-05-06Z")[:10] == new("1999-05-06") and new("1999-05-06Zoo") == "1999-05-06Zoo"
+    year, month, day = new("2020-02-29").split("-")
+    assert new("29.02.2020") == f"{day}.{month}.{year}"  # one day, however it is written
+    assert new("31.02.2020") == "31.02.2020" and new("12.03/2020") == "12.03/2020" and new("12/03.2020") == "12/03.2020"
+    every = {f"{a:02d}/{b:02d}/1999" for a in range(1, 32) for b in range(1, 32) if pii._day(1999, a, b) or pii._day(1999, b, a)}
+    out = {new(d) for d in every}
+    assert len(out) == len(every) and all(pii._either_way(d, b"k") for d in out) and new("31/31/1999") == "31/31/1999"
+
+
+def test_pii_key_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "call 212 555 0123", 5, "mine")], "doc_id long, text string, n_phone long, new string")
+    row = pii.pseudonyms(docs, key=b"k").first()
+    assert row["new"] == "mine" and row["n_phone"] == 1 and row["text"] == pii.pseudonymise("call 212 555 0123", b"k")[0]
+    assert pii.pseudonyms(docs, counts=False).columns == docs.columns
+    assert pii.secret(spark) == pii.secret(spark) and len(pii.secret(spark)) == 32
+    spark.conf.set("spark.twinflow.pii.key", "one")
+    try:
+        one = pii.secret(spark)
+        spark.conf.set("spark.twinflow.pii.key", "two")
+        assert one != pii.secret(spark)
+    finally:
+        spark.conf.unset("spark.twinflow.pii.key")
+    assert pii.pseudonyms(docs.limit(0)).count() == 0
+
+
+def test_working_columns_leave_the_input_alone(spark):
+    docs = spark.createDataFrame([(1, "one two three four", "mine", "own")], "doc_id long, text string, toks string, terms string")
+    items = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
+    row = decontaminate.find(docs, items).first()
+    assert (row["toks"], row["terms"]) == ("mine", "own") and len(row["hits"]) == 1
+    labels = spark.createDataFrame([(1, 0, 1)], "doc_id long, quality int, toxic int")
+    row = toxicity.score(docs, toxicity.train(docs, labels, F.lit(True))).first()
+    assert (row["toks"], row["terms"]) == ("mine", "own")
+
+
+def test_texts_without_a_letter_have_no_language():
+    assert all(language_id.features(t) is None for t in ("", "½ ²", "12 _ -", "\u0301"))
+    assert language_id.features("é") is not None and len(language_id.features("हिन्दी")) > 0

@@ -49,6 +49,14 @@ def size_in_words(text: Column) -> Column:
     return F.length(F.regexp_replace(F.regexp_replace(text, WORD, "x"), SPACE, "")).cast("long")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name for a working column that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 class Scratch:
     """Tables written once in the shared folder, and given up when their readers are done.
 

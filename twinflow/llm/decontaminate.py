@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinflow.llm.common import flat, mixed, text_of
+from twinflow.llm.common import flat, free_name, mixed, text_of
 
 # 1 takes part, 0 may differ; windows of 12 tokens with 7 or 8 positions each
 MASKS = ("111011010011", "110100110111", "101110011101", "111111110000")
@@ -126,7 +126,8 @@ def find(docs: DataFrame, benchmark: DataFrame, least: int = 20, similar: float
 
     docs = docs.drop(into)
     columns = docs.columns
-    out = docs.withColumn("_toks", tokens_of(text_of())).withColumn(into, F.expr(f"cast(array() as array<struct<{HITS}>>)").cast(f"array<struct<{HITS.replace(' ', ':').replace(',:', ',')}>>"))
+    toks = free_name(docs, "toks")
+    out = docs.withColumn(toks, tokens_of(text_of())).withColumn(into, F.expr(f"cast(array() as array<struct<{HITS}>>)").cast(f"array<struct<{HITS.replace(' ', ':').replace(',:', ',')}>>"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens_of(text_of()).alias("toks"))
     items = items.where(F.size("toks") >= max(1, least_item))
     n_blocks = max(1, -(-items.count() // items_a_block))
@@ -140,17 +141,17 @@ def find(docs: DataFrame, benchmark: DataFrame, least: int = 20, similar: float
         def looked_up(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
             index = Index(*own.value, similar)
             for batch in batches:
-                values, offsets = flat(batch.column("_toks"))
+                values, offsets = flat(batch.column(toks))
                 hits = batch.column(into).to_pylist()
                 for row, item, shift in index.hits(values, offsets):
                     got = index.verified(values[offsets[row] : offsets[row + 1]], item, shift, least, similar)
                     if got:
                         hits[row].append({"item_id": index.ids[item], "doc_start": int(got[0]), "n_tokens": int(got[1]), "n_equal": int(got[2])})
-                rest = [batch.column(c) for c in [*columns, "_toks"]]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(hits, type=batch.schema.field(into).type)], names=[*columns, "_toks", into])
+                rest = [batch.column(c) for c in [*columns, toks]]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(hits, type=batch.schema.field(into).type)], names=[*columns, toks, into])
 
         out = out.mapInArrow(looked_up, shape)
-    return out.drop("_toks")
+    return out.drop(toks)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

@@ -11,21 +11,22 @@ are ``und``. Rows are judged one by one, so repeated rows repeat the answer.
 """
 
 import itertools
-import re
 from collections.abc import Iterator
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
-OTHER = re.compile(r"[\W\d_]+")
+OTHER = regex.compile(r"[^\p{L}\p{M}]+")  # marks are parts of letters
+LETTER = regex.compile(r"\p{L}")
 
 
 def features(text: str) -> np.ndarray | None:
     """Buckets of the letter pairs and triples of a text; None without a letter."""
     plain = OTHER.sub(" ", text.lower()).strip()
-    if not plain:
+    if not LETTER.search(plain):
         return None
     c = np.frombuffer(f" {plain} ".encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
     two = c[:-1] * np.uint64(1_000_003) + c[1:]
@@ -56,8 +57,9 @@ def train(docs: DataFrame, learn: Column, per_lang: int = 2000) -> dict:
     langs = sorted(many)
     if not langs:
         return {"langs": []}
-    part = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.lit(int(1e6 * min(1, per_lang / many[lang]))))])
-    rows = rows.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < part[F.col("lang")])
+    # of 2**62 hashes, as many as make about ``per_lang`` rows; never none of a language
+    part = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.lit(min(1 << 62, -(-(per_lang << 62) // many[lang]))))])
+    rows = rows.where(F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "doc_id"), 2) < part[F.col("lang")])
 
     def count(batches: Iterator) -> Iterator:
         import pandas as pd

@@ -12,26 +12,30 @@ lengths for a card's beginning are tried first, at the ends of groups, then the
 kinds, then other card lengths; where nothing is valid the search goes on at
 the next group.
 
-Null texts stay null, empty ones empty. Columns other than the text pass
-through untouched. Repeated rows give repeated results. Work is per row, in
+Null texts stay null, empty ones empty. Columns other than the text
+and the added counts pass through untouched. Repeated rows give repeated results. Work is per row, in
 Arrow batches; nothing is shuffled, and a lost task is only run again.
 """
 
 import datetime
 import hashlib
 import re
+import secrets
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinflow.llm.common import free_name
+
 ROUNDS = 8
 KINDS = ("mail", "ip", "date", "ssn", "phone", "card")
 
 MAIL = re.compile(r"(?<![A-Za-z0-9._%+\-])([A-Za-z0-9][A-Za-z0-9._%+\-]{0,63})@((?:[A-Za-z0-9][A-Za-z0-9\-]{0,62}\.){1,8})([A-Za-z]{2,24})(?![A-Za-z0-9])")
+AFTER = r"(?:(?!\w)|(?=T\d\d:?\d\d)|(?=Z(?!\w)))"  # a time may stand behind a date
 PATTERNS = {
     "ip": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
-    "date": r"(?:19|20)\d\d[-/](?:0[1-9]|1[0-2])[-/](?:0[1-9]|[12]\d|3[01])(?!\w)",
+    "date": rf"(?:(?:19|20)\d\d[-/](?:0[1-9]|1[0-2])[-/](?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[./](?:0[1-9]|[12]\d|3[01])[./](?:19|20)\d\d){AFTER}",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\w]|-\d)",
     "phone": r"(?:\+?1[ .\-]?)?(?:\([2-9]\d\d\)|[2-9]\d\d)[ .\-]?[2-9]\d\d[ .\-]?\d{4}(?!\w)",
 }
@@ -149,15 +153,42 @@ def ip(text: str, key: bytes) -> str | None:
     return ".".join(str(b) for b in x.to_bytes(4, "big"))
 
 
-def date(text: str, key: bytes) -> str | None:
+def _day(year: int, month: int, day: int) -> datetime.date | None:
     try:
-        day = datetime.date(int(text[:4]), int(text[5:7]), int(text[8:10]))
+        return datetime.date(year, month, day)
     except ValueError:
         return None
+
+
+def date(text: str, key: bytes) -> str | None:
+    """Year first, or day first with points: one permutation of days, so both stay linked. With slashes
+    and the year last, either order of day and month makes a date; these are permuted among themselves."""
+    if text[2] in "./" and text[5] != text[2]:
+        return None
+    if text[2] == "/":
+        return _either_way(text, key)
+    first = text[2] == "."
+    day = _day(int(text[6:]), int(text[3:5]), int(text[:2])) if first else _day(int(text[:4]), int(text[5:7]), int(text[8:]))
+    if day is None:
+        return None
     new = datetime.date.fromordinal(FIRST_DAY + permuted(day.toordinal() - FIRST_DAY, DAYS, key, "date"))
+    if first:
+        return f"{new.day:02d}.{new.month:02d}.{new.year:04d}"
     return f"{new.year:04d}{text[4]}{new.month:02d}{text[7]}{new.day:02d}"
 
 
+def _either_way(text: str, key: bytes) -> str | None:
+    a, b, year = int(text[:2]), int(text[3:5]), int(text[6:])
+    if not (_day(year, a, b) or _day(year, b, a)):
+        return None
+    x = ((year - 1900) * 31 + a - 1) * 31 + b - 1
+    while True:  # on until it is a date again
+        x = permuted(x, 200 * 31 * 31, key, "slashes")
+        year, a, b = 1900 + x // 961, x // 31 % 31 + 1, x % 31 + 1
+        if _day(year, a, b) or _day(year, b, a):
+            return f"{a:02d}/{b:02d}/{year:04d}"
+
+
 def spelled(text: str, key: bytes, label: str) -> str:
     """Letters and digits permuted together, each place within its kind."""
     base = [26 if c.isalpha() else 10 if c.isdigit() else 1 for c in text]
@@ -226,10 +257,26 @@ def pseudonymise(text: str, key: bytes) -> tuple[str, dict[str, int]]:
     return "".join([*parts, numbers(text[at:])]), found
 
 
-def pseudonyms(docs: DataFrame, text: str = "text", key: bytes = b"corpus pseudonyms", counts: bool = True) -> DataFrame:
-    """The input with its text replaced, and ``n_<kind>`` columns if ``counts``."""
+_OWN_KEYS: dict[str, bytes] = {}
+
+
+def secret(spark: SparkSession) -> bytes:
+    """The key in ``spark.twinflow.pii.key``; where there is none, one drawn for this application, which nobody can use again."""
+    given = spark.conf.get("spark.twinflow.pii.key", None)
+    if given:
+        return hashlib.blake2b(given.encode(), digest_size=32).digest()
+    return _OWN_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
+def pseudonyms(docs: DataFrame, text: str = "text", key: bytes | None = None, counts: bool = True) -> DataFrame:
+    """The input with its text replaced, and ``n_<kind>`` columns if ``counts``; input columns of these names are replaced.
+
+    Without ``key`` the one of ``secret`` is taken. Keep it to find equal values again in later runs.
+    """
     import pandas as pd
 
+    key = secret(docs.sparkSession) if key is None else key
+    new_name = free_name(docs, "new")
     shape = ", ".join(["text string", *(f"n_{k} int" for k in KINDS)])
 
     @F.pandas_udf(shape)
@@ -241,7 +288,8 @@ def pseudonyms(docs: DataFrame, text: str = "text", key: bytes = b"corpus pseudo
                 rows.append((new, *(n.get(k, 0) for k in KINDS)))
             yield pd.DataFrame(rows, columns=["text", *(f"n_{k}" for k in KINDS)])
 
-    out = docs.withColumn("_new", replaced(F.col(text))).withColumn(text, F.col("_new.text"))
+    out = docs.withColumn(new_name, replaced(F.col(f"`{text}`")))
+    out = out.withColumn(text, F.col(new_name)["text"])
     if counts:
-        out = out.withColumns({f"n_{k}": F.col(f"_new.n_{k}") for k in KINDS})
-    return out.drop("_new")
+        out = out.withColumns({f"n_{k}": F.col(new_name)[f"n_{k}"] for k in KINDS})
+    return out.drop(new_name)

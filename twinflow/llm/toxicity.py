@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinflow.llm.common import flat, text_of
+from twinflow.llm.common import flat, free_name, text_of
 
 BLOCK = 128
 
@@ -119,11 +119,12 @@ def score(docs: DataFrame, model: dict, k: int = 15, pull: float = 0.5, into: tu
 
     docs = docs.drop(*into)
     columns = docs.columns
+    own = free_name(docs, "terms")
     terms, prior = model["terms"], model["prior"]
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, offsets = flat(batch.column("_terms"))
+            values, offsets = flat(batch.column(own))
             rows = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
             result = np.full(batch.num_rows, prior)
             evidence: list[list[int]] = [[] for _ in range(batch.num_rows)]
@@ -149,4 +150,4 @@ def score(docs: DataFrame, model: dict, k: int = 15, pull: float = 0.5, into: tu
     from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
     shape = StructType([*docs.schema.fields]).add(into[0], DoubleType()).add(into[1], ArrayType(LongType()))
-    return docs.withColumn("_terms", terms_of(text_of())).mapInArrow(judged, shape)
+    return docs.withColumn(own, terms_of(text_of())).mapInArrow(judged, shape)
