@@ -54,3 +54,27 @@ def twin_summary(routed: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.countDistinct("observation_id").alias("n_observations"),
     )
+
+
+SUMMARY = ("digital_twin", "outcome", "observation_type", "error_code")
+
+
+def summary_sketches(routed: DataFrame, lg_k: int = 12) -> DataFrame:
+    """``twin_summary`` in a form that adds up: counts, and a sketch of the different observations.
+
+    Parts, say a batch's or a day's, are kept and merged instead of counted again. The sketch has
+    2**lg_k registers; its relative standard error is about 0.8 / sqrt(2**lg_k), 1.3 % here.
+    """
+    sketch = F.hll_sketch_agg("observation_id", F.lit(lg_k)).alias("sketch")
+    return routed.groupBy(*SUMMARY).agg(F.count(F.lit(1)).alias("n"), sketch)
+
+
+def merged_summaries(parts: DataFrame) -> DataFrame:
+    """Any number of parts as one, still in a form that adds up."""
+    return parts.groupBy(*SUMMARY).agg(F.sum("n").alias("n"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def summary_estimates(parts: DataFrame) -> DataFrame:
+    """``twin_summary`` of parts: exact counts, estimated numbers of different observations."""
+    merged = merged_summaries(parts)
+    return merged.select(*SUMMARY, "n", F.hll_sketch_estimate("sketch").alias("n_observations"))

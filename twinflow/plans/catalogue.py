@@ -1,6 +1,7 @@
 """Every operator as a query over the driver tables: name -> (spark, sf_dir) -> DataFrame."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +14,18 @@ from twinflow.operators import messages as M
 from twinflow.operators import monitor
 from twinflow.operators import observations as O
 from twinflow.operators import routing as R
+from twinflow.operators import spatial
 from twinflow.operators import submit as U
 from twinflow.operators import validate as V
 from twinflow.operators.resolve import resolve_observables, resolve_urns
 from twinflow.plans import inputs as I
 from twinflow.plans import pipeline
 from twinflow.session import fresh_dir, staged
-from twinflow.sinks.writers import request_payloads
+from twinflow.sinks.writers import request_payloads, write_events, write_routed
 from twinflow.sources import builder, context
+from twinflow.sources import requests as requests_source
 from twinflow.sources.requests import parse_requests
-from twinflow.streaming import jobs, scopes
+from twinflow.streaming import jobs, relay_log, scopes
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -418,6 +421,20 @@ def filter_observations(spark, sf_dir):
     ).select("request_id", "digital_twin", "urn")
 
 
+@query
+def filter_indexed(spark, sf_dir):
+    path = fresh_dir(spark, "by-place")
+    spatial.write_indexed(_good(spark, sf_dir), path)
+    return spatial.read_indexed(
+        spark,
+        path,
+        urns=[f"nation:NATION_{i}" for i in range(20)],
+        twins=[f"https://twins.example.org/dt/{i}" for i in (0, 2, 3, 5)],
+        bbox=(-20.0, -20.0, 20.0, 10.0),
+        interval=(1704412800000, 1705708800000),
+    ).select("request_id", "digital_twin", "urn")
+
+
 # --- routes
 
 
@@ -437,6 +454,18 @@ def routed_counts(spark, sf_dir):
     )
 
 
+@query
+def written_routes(spark, sf_dir):
+    """All three routes written and read back."""
+    path = fresh_dir(spark, "routes")
+    write_routed(_routed(spark, sf_dir), f"{path}/routed")
+    write_events(R.event_route(I.messages(spark, sf_dir)), f"{path}/events")
+    rows = R.all_routes(spark.read.parquet(f"{path}/routed"), spark.read.parquet(f"{path}/events"))
+    return rows.groupBy("route").agg(
+        F.count(F.lit(1)).alias("n"), F.count("content").alias("n_content")
+    )
+
+
 @query
 def failed_requests(spark, sf_dir):
     failed = _routed(spark, sf_dir).where(F.col("route") == S.ROUTE_FAILURE)
@@ -556,6 +585,19 @@ def twin_summary(spark, sf_dir):
     return monitor.twin_summary(_routed(spark, sf_dir))
 
 
+@query
+def twin_summary_merged(spark, sf_dir):
+    """Sketches of four parts, merged, beside the exact numbers."""
+    routed = staged(_routed(spark, sf_dir), "routed")
+    parts = [monitor.summary_sketches(routed.where(F.pmod("request_id", F.lit(4)) == i)) for i in range(4)]
+    merged = staged(reduce(lambda a, b: a.unionByName(b), parts), "sketches")
+    about = monitor.summary_estimates(merged).withColumnRenamed("n_observations", "about")
+    exact = monitor.twin_summary(routed).drop("n")
+    same = reduce(lambda a, b: a & b, [exact[c].eqNullSafe(about[c]) for c in monitor.SUMMARY])
+    near = F.abs(F.col("about") - F.col("n_observations")) <= 1 + 0.06 * F.col("n_observations")
+    return about.join(exact, same).select(*[about[c] for c in monitor.SUMMARY], "n", near.alias("near"))
+
+
 # --- streams: each runs over the events table until it has read all of it
 
 
@@ -613,6 +655,40 @@ def stream_fanout(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query
+def stream_fanout_log(spark, sf_dir):
+    """The source read once, two listeners reading the log."""
+    run = fresh_dir(spark, "stream")
+    stream = relay_log.relay(_message_stream(spark, sf_dir), f"{run}/log", f"{run}/checkpoint", S.QUEUES, once=True)
+    _finish(stream)
+
+    def to_folder(name):
+        def listener(events, step, part):
+            events.write.mode("overwrite").parquet(f"{run}/{name}/step={step}/part=p{part}")
+
+        return listener
+
+    parts = []
+    for name in ("first", "second"):
+        relay_log.deliver(spark, f"{run}/log", name, to_folder(name))
+        rows = spark.read.schema(relay_log.EVENT).parquet(f"{run}/{name}")
+        parts.append(rows.select(F.lit(name).alias("listener"), "message_id", "payload"))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def stream_landed(spark, sf_dir):
+    """Documents land as lines of text, are read as a stream, submitted and routed."""
+    run = fresh_dir(spark, "stream")
+    I.request_documents(spark, sf_dir).select("value").write.text(f"{run}/landing")
+    jobs.seed_store(I.store(spark, sf_dir), f"{run}/store")
+    places = [f"{run}/{p}" for p in ("store", "out", "work", "checkpoint")]
+    source = requests_source.stream_requests(spark, f"{run}/landing")
+    _finish(jobs.submit(source, I.concepts(spark, sf_dir), *places, once=True))
+    out = jobs.read_outcomes(spark, f"{run}/store")
+    return out.groupBy("route", "outcome", "error_code").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def stream_register(spark, sf_dir):
     run = fresh_dir(spark, "stream")

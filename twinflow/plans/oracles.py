@@ -586,3 +586,15 @@ group by 1, 2, 3, 4""",
 }
 ORACLES["stream_submit"] = ORACLES["route_requests"]
 ORACLES["stream_register"] = ORACLES["stream_scopes"] = ORACLES["register_twins"]
+ORACLES["stream_fanout_log"] = ORACLES["stream_fanout"]
+ORACLES["filter_indexed"] = ORACLES["filter_observations"]
+ORACLES["written_routes"] = ORACLES["routed_counts"]
+ORACLES["twin_summary_merged"] = _sql(
+    "routed",
+    """
+select digital_twin, outcome, observation_type, error_code, count(*) as n, true as near
+from routed group by 1, 2, 3, 4""",
+)
+ORACLES["stream_landed"] = _sql(
+    "routed", "select route, outcome, error_code, count(*) as n from routed group by 1, 2, 3"
+)
