@@ -21,7 +21,7 @@ from twinflow.operators.resolve import resolve_observables, resolve_urns
 from twinflow.plans import inputs as I
 from twinflow.plans import pipeline
 from twinflow.session import fresh_dir, staged
-from twinflow.sinks.writers import request_payloads, write_events, write_routed
+from twinflow.sinks.writers import request_payloads
 from twinflow.sources import builder, context
 from twinflow.sources import requests as requests_source
 from twinflow.sources.requests import parse_requests
@@ -458,14 +458,21 @@ def routed_counts(spark, sf_dir):
 def written_routes(spark, sf_dir):
     """All three routes written and read back."""
     path = fresh_dir(spark, "routes")
-    write_routed(_routed(spark, sf_dir), f"{path}/routed")
-    write_events(R.event_route(I.messages(spark, sf_dir)), f"{path}/events")
-    rows = R.all_routes(spark.read.parquet(f"{path}/routed"), spark.read.parquet(f"{path}/events"))
-    return rows.groupBy("route").agg(
+    pipeline.write_routes(_routed(spark, sf_dir), I.messages(spark, sf_dir), path)
+    return spark.read.parquet(path).groupBy("route").agg(
         F.count(F.lit(1)).alias("n"), F.count("content").alias("n_content")
     )
 
 
+@query
+def route_scoped(spark, sf_dir):
+    """With a closed registry: records of unknown twins fail."""
+    routed, _ = pipeline.run_scoped(
+        _requests(spark, sf_dir), I.concepts(spark, sf_dir), I.store(spark, sf_dir), I.registry(spark, sf_dir), None
+    )
+    return routed.groupBy("route", "outcome", "error_code").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def failed_requests(spark, sf_dir):
     failed = _routed(spark, sf_dir).where(F.col("route") == S.ROUTE_FAILURE)

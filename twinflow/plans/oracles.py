@@ -598,3 +598,11 @@ from routed group by 1, 2, 3, 4""",
 ORACLES["stream_landed"] = _sql(
     "routed", "select route, outcome, error_code, count(*) as n from routed group by 1, 2, 3"
 )
+ORACLES["route_scoped"] = _sql(
+    "routed reg",
+    """
+select case when unknown then 'failure' else route end as route, case when not unknown then outcome end as outcome,
+       case when unknown then 'unknown_twin' else error_code end as error_code, count(*) as n
+from (select *, error_code is null and digital_twin not in (select dt_url from reg) as unknown from routed)
+group by 1, 2, 3""",
+)

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from twinflow.operators.documents import split_observation
 from twinflow.operators.observations import build_observations
 from twinflow.operators.resolve import resolve_observables
-from twinflow.operators.routing import route
-from twinflow.operators.submit import submit_observations
+from twinflow.operators.routing import all_routes, event_route, route
+from twinflow.operators.submit import fail_unknown_twins, register_twins, submit_observations
 from twinflow.operators.validate import validate_requests
 from twinflow.session import staged
+from twinflow.sinks.writers import write_routed
 
 
 def check_requests(
@@ -86,3 +87,29 @@ def run_requests(
     """
     checked = staged(check_requests(requests, concepts, **check), "checked")
     return submit_checked(checked, store, with_content)
+
+
+def run_scoped(
+    requests: DataFrame,
+    concepts: DataFrame,
+    store: DataFrame,
+    registry: DataFrame,
+    scope_kind: str | None = "user",
+    with_content: bool = False,
+    **check,
+) -> tuple[DataFrame, DataFrame]:
+    """The request path with the scope stage: outcomes, and the registry afterwards.
+
+    A twin that is not registered is registered with ``scope_kind``, as whoever connects first
+    does; where that is None, good rows of unknown twins fail as ``unknown_twin``.
+    """
+    checked = staged(check_requests(requests, concepts, **check), "checked")
+    if scope_kind is None:
+        return submit_checked(fail_unknown_twins(checked, registry), store, with_content), registry
+    return submit_checked(checked, store, with_content), register_twins(checked, registry, scope_kind)
+
+
+def write_routes(routed: DataFrame, messages: DataFrame, path: str, mode: str = "append") -> None:
+    """All three routes under ``path``: outcomes, and the messages raised meanwhile as events."""
+    routed = routed.select("route", "content", "attributes", "error_code", "error_detail")
+    write_routed(all_routes(routed, event_route(messages)), path, mode)
