@@ -105,10 +105,11 @@ def cell_ranges(bbox: Box, extent: Box = WORLD, most: int = RANGES) -> list[tupl
 def indexed(df: DataFrame, extent: Box = WORLD) -> DataFrame:
     """Adds the cell, the box and the times as columns of their own."""
     box = wkt.bbox(wkt.wkt_of(F.col("geometry.space.shape")))
-    rows = df.drop(*ADDED).withColumn("_box", box)
-    rows = rows.withColumn("cell", cell_of(F.col("_box"), extent))
-    rows = rows.withColumns({c: F.col(f"_box.{c}") for c in BOX} | {c: F.col(f"geometry.time.{c}") for c in ("tstart", "tend")})
-    return rows.drop("_box")
+    # bound once: the cell names the box many times, and each would be the whole text's parsing
+    place = F.transform(F.array(box), lambda b: F.struct(cell_of(b, extent).alias("cell"), *[b[c].alias(c) for c in BOX]))[0]
+    rows = df.drop(*ADDED).withColumn("_place", place)
+    rows = rows.withColumns({c: F.col(f"_place.{c}") for c in ("cell", *BOX)} | {c: F.col(f"geometry.time.{c}") for c in ("tstart", "tend")})
+    return rows.drop("_place")
 
 
 def write_indexed(df: DataFrame, path: str, extent: Box = WORLD, mode: str = "errorifexists") -> None:
