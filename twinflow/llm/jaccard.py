@@ -61,16 +61,16 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("o") >= percent * (F.size("a_toks") + F.size("b_toks") - F.col("o"))).select("a", "b")
 
 
-def _marks(toks: str) -> Column:
-    """A bit per shingle, at one of ``MARKS`` places by its hash, as 64-bit words."""
-    words = MARKS // 64 - 1
-    own = f"filter({toks}, t -> (shiftright(t, 6) & {words}) = w)"
-    return F.expr(f"transform(sequence(0, {words}), w -> aggregate({own}, 0L, (m, t) -> m | shiftleft(1L, cast(t & 63 as int))))")
+def _marks(toks: str) -> list[Column]:
+    """A bit per shingle, at one of ``MARKS`` places by its hash, as columns of 64 bits."""
+    own = f"filter({toks}, t -> (shiftright(t, 6) & {MARKS // 64 - 1}) = {{w}}L)"
+    word = f"aggregate({own}, 0L, (m, t) -> m | shiftleft(1L, cast(t & 63 as int)))"
+    return [F.expr(word.format(w=w)).alias(f"m{w}") for w in range(MARKS // 64)]
 
 
 def _others(a: str, b: str) -> Column:
     """At least so many shingles of ``a`` are not in ``b``: those whose places no shingle of ``b`` has."""
-    return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x & ~y)), 0, (n, k) -> n + k)")
+    return F.expr(" + ".join(f"bit_count({a}_m{w} & ~{b}_m{w})" for w in range(MARKS // 64)))
 
 
 def _met(a: DataFrame, b: DataFrame, on: list[str], percent: int, which: Column | None = None) -> DataFrame:
@@ -148,15 +148,17 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     rows = scratch.keep(rows.join(open_, "tok", "left_semi").withColumn("band", band), "open-blocks")
     scratch.free(blocks)
     reps = scratch.keep(rows.select("rep").distinct(), "open-documents")
-    marks = scratch.keep(sets.join(reps, "rep", "left_semi").select("rep", _marks("toks").alias("marks")), "marks")
+    marks = scratch.keep(sets.join(reps, "rep", "left_semi").select("rep", *_marks("toks")), "marks")
     marked = scratch.keep(rows.join(marks, "rep"), "marked-blocks")
     scratch.free(rows, reps, marks)
     # the shorter one of a pair looks for the longer one
     shorter = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_rep") < F.col("b_rep")))
-    shared = F.least(F.col("a_n") - _others("a_marks", "b_marks"), F.col("b_n") - _others("b_marks", "a_marks"))
-    can = 100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared)
-    a = side(marked.withColumn("band", F.explode(F.array("band", F.col("band") + 1))), "a", ("band",), ("marks",))
-    met = _met(a, side(marked, "b", ("band",), ("marks",)), ["tok", "band"], percent, shorter & can)
+    # in compiled code, as it is asked for every pair of a block; ``need`` is what both must share
+    need = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    can = (F.col("a_n") - _others("a", "b") >= need) & (F.col("b_n") - _others("b", "a") >= need)
+    words = tuple(f"m{w}" for w in range(MARKS // 64))
+    a = side(marked.withColumn("band", F.explode(F.array("band", F.col("band") + 1))), "a", ("band",), words)
+    met = _met(a, side(marked, "b", ("band",), words), ["tok", "band"], percent, shorter & can)
     # what can come behind the last common shingle must make up for what the overlap lacks
     pairs = scratch.keep(met.where(F.col("overlap") + F.col("rest") - 1 >= F.col("need")).select("a", "b"), "pairs")
     found = scratch.keep(_linked(pairs, sets, percent), "links")

@@ -18,6 +18,33 @@ def _crc32(text: str) -> str:
     )
 
 
+OP2 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END)) AS s
+    FROM words
+),
+classes AS (SELECT s, min(doc_id) AS class_id FROM sets GROUP BY s),
+shingles AS (SELECT class_id AS id, len(s) AS n, unnest(s) AS shingle FROM classes),
+links AS (
+    SELECT a.id AS a, b.id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.id <> b.id
+    GROUP BY a.id, b.id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+),
+reached AS (
+    SELECT class_id AS id, class_id AS root FROM classes
+    UNION
+    SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.id
+),
+components AS (SELECT id, min(root) AS component_id FROM reached GROUP BY id)
+SELECT doc_id, len(d.s) AS n_shingles, CASE WHEN len(d.s) = 0 THEN doc_id ELSE component_id END AS component_id,
+    CASE WHEN len(d.s) = 0 THEN doc_id ELSE class_id END AS class_id
+FROM sets d JOIN classes c ON c.s = d.s JOIN components k ON k.id = c.class_id
+"""
+
 OP11 = f"""
 WITH RECURSIVE {_CRC_TABLE},
 runs AS (
@@ -113,6 +140,7 @@ FROM full_nodes n JOIN sums s ON n.path = s.path LEFT JOIN nodes p ON n.depth >
 """
 
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": OP2,
     "op11_spelling_variants": OP11,
     "op12_sharding": OP12,
     "op13_prefix_trie": OP13,
