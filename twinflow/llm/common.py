@@ -4,6 +4,7 @@ All of them are native expressions; a null text counts as empty.
 """
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,14 @@ class Scratch:
         gc.collect()
         jvm.System.gc()
 
+    def settle(self) -> None:
+        """After a step that shuffled much: wait until the driver has let go of it. The first round tells the
+        JVM what Python gave up, the second one collects it."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
+
 
 def flat(column):
     """Values and offsets of an Arrow list column as numpy arrays."""

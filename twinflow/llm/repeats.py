@@ -256,11 +256,11 @@ def marks(docs: DataFrame, scratch: Scratch, size: int = SIZE, chunk: int = CHUN
     keys = ["k1", "k2", "k3"]
     found = rows.mapInArrow(contexts(size, chunk), ROWS).repartition("k1").sortWithinPartitions(*keys, "doc_id", "start")
     found = scratch.keep(found.mapInArrow(decided(True), ROWS).select("kind", "doc_id", "start", "n"), "repeats")
-    scratch.free()
+    scratch.settle()
     again = found.where(F.col("kind") == SPLIT).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     again = rows.join(again, "doc_id").mapInArrow(stretches(size, chunk), ROWS).repartition("k1").sortWithinPartitions(*keys, "doc_id", "start")
     again = scratch.keep(again.mapInArrow(decided(False), ROWS).select("doc_id", "start", "n"), "split-repeats")
-    scratch.free()
+    scratch.settle()
     return found.where(F.col("kind") == MARK).select("doc_id", "start", "n").union(again)
 
 
