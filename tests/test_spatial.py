@@ -86,3 +86,23 @@ def test_ranges_hold_the_cells_of_overlapping_boxes(spark):
             for y in (y0, y1):
                 number = sum((x >> b & 1) << 2 * b | (y >> b & 1) << 2 * b + 1 for b in range(level))
                 assert any(a <= number <= b for a, b in spans)
+
+
+def test_rows_are_made_and_parsed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    shape = F.concat(F.lit("EPSG:4326 POINT("), F.col("id").cast("string"), F.lit(" 3)"))
+    made = spark.range(50, numPartitions=3).select("id", shape.alias("shape")).mapInPandas(counted, "id long, shape string")
+    space, time = F.struct("shape"), F.struct(F.col("id").alias("tstart"), F.col("id").alias("tend"))
+    rows = made.select("id", F.struct(space.alias("space"), time.alias("time")).alias("geometry"))
+    spatial.write_indexed(rows, str(tmp_path / "once"))
+    assert seen.value == 50
+    assert spark.read.parquet(str(tmp_path / "once")).where("cell is not null and min_y = 3").count() == 50
+    # neither the text's parsing nor the box is repeated in the expression
+    plan = spatial.indexed(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 6 and len(plan) < 60_000

@@ -135,14 +135,18 @@ def ordinates(wkt: Column, axis: int) -> Column:
 def bbox(wkt: Column) -> Column:
     """struct(min_x, min_y, max_x, max_y); null fields for an empty geometry and
     for text that is none."""
-    readable = is_wkt(wkt)
-    xs, ys = (F.when(readable, ordinates(wkt, axis)) for axis in (1, 2))
-    return F.struct(
-        F.array_min(xs).alias("min_x"),
-        F.array_min(ys).alias("min_y"),
-        F.array_max(xs).alias("max_x"),
-        F.array_max(ys).alias("max_y"),
-    )
+    both = F.when(is_wkt(wkt), F.struct(*[ordinates(wkt, axis).alias(name) for axis, name in ((1, "x"), (2, "y"))]))
+
+    def of(both: Column) -> Column:
+        return F.struct(
+            F.array_min(both["x"]).alias("min_x"),
+            F.array_min(both["y"]).alias("min_y"),
+            F.array_max(both["x"]).alias("max_x"),
+            F.array_max(both["y"]).alias("max_y"),
+        )
+
+    # bind the ordinates once
+    return F.transform(F.array(both), of)[0]
 
 
 def bbox_to_wkt(min_x: Column, min_y: Column, max_x: Column, max_y: Column) -> Column:

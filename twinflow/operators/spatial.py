@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinflow.functions import wkt
+from twinflow.session import staged
 
 LEVELS = 14  # below the whole extent
 WORLD = (-180.0, -90.0, 180.0, 90.0)
@@ -29,10 +30,8 @@ Box = tuple[float, float, float, float]
 
 
 def _spread(v: Column) -> Column:
-    """Bits 0, 1, 2 and so on to places 0, 2, 4."""
-    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
-    return v
+    """Bits 0, 1, 2 and so on to places 0, 2, 4: the binary digits, read as those of base four."""
+    return F.conv(F.bin(v), 4, 10).cast("long")
 
 
 def _step(value: Column, low: float, size: float, level: Column) -> Column:
@@ -51,9 +50,13 @@ def cell_of(box: Column, extent: Box = WORLD) -> Column:
 
     fitting = F.least(deepest(width, box["max_x"] - box["min_x"]), deepest(height, box["max_y"] - box["min_y"]))
     level = F.greatest(F.lit(0), F.least(fitting, F.lit(LEVELS))).cast("long")
-    x, y = _step(box["min_x"], extent[0], width, level), _step(box["min_y"], extent[1], height, level)
-    number = _spread(x).bitwiseOR(F.shiftleft(_spread(y), 1))
-    return F.when(box["min_x"].isNotNull() & box["min_y"].isNotNull(), level * (1 << 2 * LEVELS) + number)
+
+    def numbered(level: Column) -> Column:
+        x, y = _step(box["min_x"], extent[0], width, level), _step(box["min_y"], extent[1], height, level)
+        return level * (1 << 2 * LEVELS) + _spread(x).bitwiseOR(F.shiftleft(_spread(y), 1))
+
+    number = F.transform(F.array(level), numbered)[0]
+    return F.when(box["min_x"].isNotNull() & box["min_y"].isNotNull(), number)
 
 
 def _covered(level: int, x0: int, x1: int, y0: int, y1: int, most: int) -> list[tuple[int, int]]:
@@ -104,9 +107,10 @@ def cell_ranges(bbox: Box, extent: Box = WORLD, most: int = RANGES) -> list[tupl
 
 def indexed(df: DataFrame, extent: Box = WORLD) -> DataFrame:
     """Adds the cell, the box and the times as columns of their own."""
-    box = wkt.bbox(wkt.wkt_of(F.col("geometry.space.shape")))
-    # bound once: the cell names the box many times, and each would be the whole text's parsing
-    place = F.transform(F.array(box), lambda b: F.struct(cell_of(b, extent).alias("cell"), *[b[c].alias(c) for c in BOX]))[0]
+    # bound step by step: the box names the text's ordinates many times, the cell the box, and each would be the whole
+    # text's parsing
+    text = F.array(wkt.wkt_of(F.col("geometry.space.shape")))
+    place = F.transform(F.transform(text, wkt.bbox), lambda b: F.struct(cell_of(b, extent).alias("cell"), *[b[c].alias(c) for c in BOX]))[0]
     rows = df.drop(*ADDED).withColumn("_place", place)
     rows = rows.withColumns({c: F.col(f"_place.{c}") for c in ("cell", *BOX)} | {c: F.col(f"geometry.time.{c}") for c in ("tstart", "tend")})
     return rows.drop("_place")
@@ -114,7 +118,8 @@ def indexed(df: DataFrame, extent: Box = WORLD) -> DataFrame:
 
 def write_indexed(df: DataFrame, path: str, extent: Box = WORLD, mode: str = "errorifexists") -> None:
     """Write observations for ``read_indexed``, sorted by cell and start."""
-    rows = indexed(df, extent).repartitionByRange("cell", "tstart").sortWithinPartitions("cell", "tstart")
+    # written first: ranges are drawn from a sample, and that reads the rows once more
+    rows = staged(indexed(df, extent), "placed").repartitionByRange("cell", "tstart").sortWithinPartitions("cell", "tstart")
     rows.write.mode(mode).parquet(path)
 
 
