@@ -119,3 +119,13 @@ def test_a_key_of_many_requests_is_split_at_run_time(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_twins_are_looked_up_before_requests_are_staged(spark, sf_dir):
+    from twinflow.plans import catalogue, inputs, pipeline
+
+    requests = catalogue._requests(spark, sf_dir)
+    routed, _ = pipeline.run_scoped(
+        requests, inputs.concepts(spark, sf_dir), inputs.store(spark, sf_dir), inputs.registry(spark, sf_dir), None
+    )
+    assert "region.parquet" not in str(routed.inputFiles())

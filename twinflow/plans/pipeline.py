@@ -103,9 +103,12 @@ def run_scoped(
     A twin that is not registered is registered with ``scope_kind``, as whoever connects first
     does; where that is None, good rows of unknown twins fail as ``unknown_twin``.
     """
-    checked = staged(check_requests(requests, concepts, **check), "checked")
+    checked = check_requests(requests, concepts, **check)
     if scope_kind is None:
-        return submit_checked(fail_unknown_twins(checked, registry), store, with_content), registry
+        # before they are written: the submission reads them several times
+        checked = staged(fail_unknown_twins(checked, registry), "checked")
+        return submit_checked(checked, store, with_content), registry
+    checked = staged(checked, "checked")
     return submit_checked(checked, store, with_content), register_twins(checked, registry, scope_kind)
 
 
