@@ -64,6 +64,20 @@ def base_scores(rows):
     }
 
 
+def pair_scores(rows, mix=0.3):
+    """{doc_id: score} of the word model mixed with all pairs of training."""
+    tokens = {i: [*words((t or "").translate(LOWER)), None] for i, t in rows}
+    c = Counter(x for i, ts in tokens.items() if rem(i, 10) for x in ts)
+    both = Counter(x for i, ts in tokens.items() if rem(i, 10) for x in zip([ts[-1], *ts], ts, strict=False))
+    total = sum(c.values()) + 0.1 * (len(c) + 1)
+
+    def part(v, w):
+        p = (c[w] + 0.1) / total
+        return math.log10((1 - mix) * p + mix * both[v, w] / c[v] if c[v] else p)
+
+    return {i: sum(part(v, w) for v, w in zip([ts[-1], *ts], ts, strict=False)) for i, ts in tokens.items()}
+
+
 def without_repeats(rows, size=100):
     seen, out = set(), {}
     for i, t in sorted(rows, key=lambda r: r[0]):

@@ -81,6 +81,23 @@ def test_model_scores(odd):
     assert {r["base_score"] for r in none.collect()} == {None}
 
 
+def test_every_pair_of_the_model_counts(spark):
+    rng = random.Random(4)
+    words = [f"w{int(rng.paretovariate(0.6))}" for _ in range(9000)]
+    rows = [(i, " ".join(words[i * 30 : i * 30 + 5 + i % 60])) for i in range(200)]
+    rows += [(200, None), (201, ""), (202, "new words only"), *[(i, rows[7][1]) for i in range(203, 230)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
+    want = brute.pair_scores(rows)
+    # no filter at all, then words and pairs that do not fit it, then a filter of all pairs seen twice
+    for head, bits, off in ((0, 1 << 16, 1e-9), (20, 1 << 16, 0.1), (1 << 16, 1 << 16, 0.1), (1 << 16, 1 << 22, 0.1)):
+        model = lm_scoring.train(docs, learn, head, bits)
+        got = rows_of(lm_scoring.score(docs, model), "score", "n_tokens")
+        for i, (score, n) in got.items():  # counts in the filter are powers of two
+            assert score == pytest.approx(want[i], abs=off * n)
+        assert got == {i: pytest.approx(x, rel=1e-9) for i, x in rows_of(lm_scoring.score(docs, model, learn), "score", "n_tokens").items()}
+
+
 def test_repeats_of_all_kinds(odd, spark):
     got = rows_of(repeats.without_repeats(odd).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
     assert got == brute.without_repeats(pairs(odd))

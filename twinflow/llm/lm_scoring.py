@@ -3,26 +3,31 @@
 Counts of word pairs are quantised to powers of two, and a pair of level q is put into
 a blocked Bloom filter q times, once per level. A lookup probes level after
 level until one is missing. The filter has a fixed number of bits and is
-broadcast; pairs seen too rarely to fit stay out, from the rarest up.
+broadcast. It holds pairs of the ``head`` most frequent words, seen twice or more, from the
+most frequent down as far as they fit. All other pairs (rarer words, seen once, no room left) stay
+in a table with their exact counts, and pairs of a text that the filter does not have are joined with it; so
+every pair counts.
 
-Single words are counted exactly. The ``head`` most frequent ones are broadcast
+Single words are counted exactly. The head words are broadcast
 (a bounded table); the rest is joined. With (c + 0.1) / (N + 0.1 (V + 1)) as
-the probability of a word, the model is
-(1 - mix) p(w) + mix min(1, c(v, w) / c(v)) for pairs of head words v, w.
-After a rare word v, or for a rare word w, it is p(w) and (1 - mix) p(w).
+the probability p of a word, the model is
+(1 - mix) p(w) + mix min(1, c(v, w) / c(v)) for w after a v that training has,
+and p(w) after any other.
 
 Null and empty texts have one token, the end. Rows with equal id and text have
 equal scores and all stay. An empty training part gives c = N = V = 0; then
 scores are null, as no probability is defined. Ids may be null.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinflow.llm.common import ascii_lower, flat, mixed, text_of, words_of
+from twinflow.llm.common import Scratch, ascii_lower, flat, mixed, text_of, words_of
+from twinflow.session import fresh_dir, staged
 
 END = "\n"  # no word holds it
 MIX = 0.3
@@ -68,8 +73,6 @@ def train(docs: DataFrame, learn: Column, head: int = 1 << 16, bits: int = 1 <<
     spark = docs.sparkSession
     tokens = docs.where(learn).select(token_hashes(text_of()).alias("h"))
     counts = tokens.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
-    from twinflow.session import staged
-
     counts = staged(counts, "word-counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("c"), "h").limit(head).toPandas().sort_values("h")
@@ -79,15 +82,23 @@ def train(docs: DataFrame, learn: Column, head: int = 1 << 16, bits: int = 1 <<
         import pyarrow as pa
 
         for batch in batches:
-            left, right, _, _, _ = neighbours(batch.column("h"), known)
-            both = (left >= 0) & (right >= 0)
-            keys, c = np.unique(mixed(known[left[both]], known[right[both]]).astype(np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c.astype(np.int64))], names=["key", "c"])
-
-    seen = tokens.mapInArrow(pairs, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-    seen = staged(seen.where("c > 1"), "pair-counts")
+            before, here, _, values, offsets = neighbours(batch.column("h"), known)
+            inner = (before >= 0) & (here >= 0)
+            v, w = np.where(inner, before, former_of(values, offsets)), np.where(inner, here, values)
+            # places and hashes apart, by a bit of the key
+            _, first, c = np.unique(mixed(v, w) << np.uint64(1) | inner.astype(np.uint64), return_index=True, return_counts=True)
+            columns = [pa.array(v[first]), pa.array(w[first]), pa.array(inner[first]), pa.array(c.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["v", "w", "inner", "c"])
+
+    seen = tokens.mapInArrow(pairs, "v long, w long, inner boolean, c long").groupBy("v", "w", "inner").agg(F.sum("c").alias("c"))
+    # a file of the one kind or the other; head words are in it as their places, small numbers
+    folder = fresh_dir(spark, "pair-counts")
+    seen.write.partitionBy("inner").parquet(folder)
+    seen = spark.read.schema(seen.schema).parquet(folder)
+    Scratch(spark).settle()
     level = F.floor(F.log2("c")).cast("int") + 1
-    ladder = {r["q"]: r["n"] for r in seen.groupBy(level.alias("q")).agg(F.count("*").alias("n")).collect()}
+    often = F.col("inner") & (F.col("c") > 1)
+    ladder = {r["q"]: r["n"] for r in seen.where(often).groupBy(level.alias("q")).agg(F.count("*").alias("n")).collect()}
     # two bits an entry; the filter stays under a third full
     cutoff, room = 64, bits // 6
     for q in sorted(ladder, reverse=True):
@@ -110,17 +121,31 @@ def train(docs: DataFrame, learn: Column, head: int = 1 << 16, bits: int = 1 <<
 
     def dealt(batches: Iterator) -> Iterator:
         for batch in batches:
-            batch["block"] = block_of(batch["key"].to_numpy(dtype=np.int64), blocks)
-            yield batch
+            keys = mixed(known[batch["v"].to_numpy(dtype=np.int64)], known[batch["w"].to_numpy(dtype=np.int64)]).astype(np.int64)
+            yield batch[["c"]].assign(key=keys, block=block_of(keys, blocks))[["key", "c", "block"]]
 
-    entries = seen.where(level >= cutoff).mapInPandas(dealt, "key long, c long, block long")
+    held = often & (level >= cutoff)
+    entries = seen.where(held).select("v", "w", "c").mapInPandas(dealt, "key long, c long, block long")
     filled = entries.groupBy("block").applyInPandas(built, "block long, bytes binary")
     store = np.zeros(bits // 8, dtype=np.uint8)
     for row in filled.toLocalIterator():
         at = row["block"] * BLOCK_BITS // 8
         store[at : at + BLOCK_BITS // 8] = np.frombuffer(row["bytes"], dtype=np.uint8)
     shared = spark.sparkContext.broadcast((known, known_c, store))
-    return {"counts": counts, "n": int(n), "v": int(v), "blocks": blocks, "cutoff": cutoff, "shared": shared}
+    # with the whole filter, a pair of head words in a training text is either found or was seen once
+    whole = room >= 0
+    return {
+        "counts": counts, "n": int(n), "v": int(v), "blocks": blocks, "cutoff": cutoff, "whole": whole, "shared": shared,
+        "rest": seen.where(~held), "top": spark.createDataFrame(top.assign(at=range(len(top))), "h long, c long, at long"),
+    }
+
+
+def former_of(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The token before each; a text starts as if after an end."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[offsets[:-1]] = values[offsets[1:] - 1]
+    return out
 
 
 def neighbours(column, known: np.ndarray):
@@ -139,70 +164,98 @@ def neighbours(column, known: np.ndarray):
     return before, here, rows, values, offsets
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """``doc_id, n_tokens, n_known, train_tokens, base_score, score``: one row per input row."""
+def gains(model: dict) -> DataFrame:
+    """``h, value``: what a pair outside of the filter adds to the logarithm of (1 - mix) p."""
+    total = model["n"] + 0.1 * (model["v"] + 1)
+    c_v, c_w = F.col("c_v"), (F.col("c_w") + 0.1) / F.lit(total)
+    value = F.log10(1 + MIX * F.least(F.lit(1.0), F.col("c") / c_v) / ((1 - MIX) * c_w))
+
+    def valued(pairs: DataFrame, counts: DataFrame, at: str) -> DataFrame:
+        for word in ("v", "w"):
+            pairs = pairs.join(counts.select(F.col(at).alias(word), F.col("h").alias(f"h_{word}"), F.col("c").alias(f"c_{word}")), word)
+        return pairs.select(F.xxhash64("h_v", "h_w").alias("h"), value.alias("value"))
+
+    rest = model["rest"]
+    inner = valued(rest.where("inner"), F.broadcast(model["top"]), "at")
+    return inner.unionByName(valued(rest.where("not inner"), model["counts"], "h"))
+
+
+def score(docs: DataFrame, model: dict, learned: Column | None = None) -> DataFrame:
+    """``doc_id, n_tokens, n_known, train_tokens, base_score, score``: one row per input row.
+
+    ``learned`` tells which rows the model was trained on; it spares them lookups and changes no score.
+    """
     import pyarrow as pa
 
-    n, v, blocks, cutoff, shared = (model[k] for k in ("n", "v", "blocks", "cutoff", "shared"))
+    n, v, blocks, cutoff, whole, shared = (model[k] for k in ("n", "v", "blocks", "cutoff", "whole", "shared"))
     total = n + 0.1 * (v + 1)
-    key = F.xxhash64(text_of())
-    rows = docs.select("doc_id", key.alias("key"), F.xxhash64(F.lit("second"), text_of()).alias("key2"), token_hashes(text_of()).alias("h"))
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value[0]
-        for batch in batches:
-            _, here, at, values, _ = neighbours(batch.column("h"), known)
-            at, values = at[here < 0], values[here < 0]
-            order = np.lexsort((values, at))
-            at, values = at[order], values[order]
-            new = np.ones(len(at), dtype=bool)
-            new[1:] = (at[1:] != at[:-1]) | (values[1:] != values[:-1])
-            start = np.flatnonzero(new)
-            tf = np.diff(np.append(start, len(at)))
-            own = np.asarray(batch.column("key"))[at[start]], np.asarray(batch.column("key2"))[at[start]]
-            yield pa.RecordBatch.from_arrays([pa.array(own[0]), pa.array(own[1]), pa.array(values[start]), pa.array(tf.astype(np.int32))], names=["key", "key2", "h", "tf"])
+    known_text = F.coalesce(learned, F.lit(False)) if learned is not None else F.lit(False)
+    rows = docs.select(
+        "doc_id", F.monotonically_increasing_id().alias("row"), known_text.alias("learned"), token_hashes(text_of()).alias("h"),
+    )
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_c, store = shared.value
         for batch in batches:
-            before, here, at, _, offsets = neighbours(batch.column("h"), known)
+            before, here, at, values, offsets = neighbours(batch.column("h"), known)
+            former = former_of(values, offsets)
             size = batch.num_rows
-            is_head, after = here >= 0, before >= 0
-            with np.errstate(divide="ignore", invalid="ignore"):
-                p = (known_c[here] + 0.1) / total if len(known_c) else np.zeros(len(here))
-                base = np.where(is_head, np.log10(p), 0.0)
-                full = np.where(is_head, base, np.where(after, np.log10(1 - MIX), 0.0))
-                both = np.flatnonzero(is_head & after)
-                if len(both):
-                    keys = mixed(known[before[both]], known[here[both]])
-                    keys, back = np.unique(keys, return_inverse=True)
-                    level = levels_in(store, keys, blocks)
-                    c = np.where(level >= cutoff, 1.5 * 2.0 ** (level - 1), 0.0)[back]
-                    full[both] = np.log10((1 - MIX) * p[both] + MIX * np.minimum(1.0, c / known_c[before[both]]))
-            sums = [np.bincount(at, weights=x, minlength=size) for x in (base, full, is_head)]
+            is_head = here >= 0
+            p = (known_c[here] + 0.1) / total if len(known_c) else np.ones(len(here))
+            base, gain = np.where(is_head, np.log10(p), 0.0), np.zeros(len(here))
+            open_ = np.ones(len(here), dtype=bool)
+            both = np.flatnonzero(is_head & (before >= 0))
+            if len(both):
+                keys, back = np.unique(mixed(former[both], values[both]), return_inverse=True)
+                level = levels_in(store, keys, blocks)[back]
+                c = np.where(level >= cutoff, 1.5 * 2.0 ** (level - 1), 0.0)
+                if whole:
+                    own = batch.column("learned").to_numpy(zero_copy_only=False)[at[both]]
+                    c = np.where((c == 0) & own, 1.0, c)
+                gain[both] = np.log10(1 + MIX * np.minimum(1.0, c / known_c[before[both]]) / ((1 - MIX) * p[both]))
+                open_[both] = c == 0
+            rare, loose = np.flatnonzero(~is_head), np.flatnonzero(open_)
+            sums = [np.bincount(at, weights=x, minlength=size) for x in (base, gain, is_head)]
+
+            def lists(which, of):
+                starts = np.append(0, np.cumsum(np.bincount(at[which], minlength=size))).astype(np.int32)
+                return pa.ListArray.from_arrays(pa.array(starts), pa.array(of[which]))
+
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), batch.column("key2"), pa.array(np.diff(offsets)), pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1])],
-                names=["doc_id", "key", "key2", "n_tokens", "n_head", "head_base", "head_score"],
+                [
+                    batch.column("doc_id"), batch.column("row"), pa.array(np.diff(offsets)), pa.array(sums[2].astype(np.int64)),
+                    pa.array(sums[0]), pa.array(sums[1]), lists(rare, values), lists(loose, former), lists(loose, values),
+                ],
+                names=["doc_id", "row", "n_tokens", "n_head", "head_base", "head_gain", "rare", "v", "w"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    first = rows.mapInArrow(heads, f"doc_id {kind}, key long, key2 long, n_tokens long, n_head long, head_base double, head_score double")
-    # equal texts have equal tails: the sums of k copies are k times too large,
-    # and the number of their rare tokens tells k
-    p = F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(total))
-    tail = rows.mapInArrow(rare, "key long, key2 long, h long, tf int").join(model["counts"], "h", "left")
-    tail = tail.groupBy("key", "key2").agg(
-        F.sum("tf").alias("n_rare"),
-        F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("n_met"),
-        F.sum(F.col("tf") * p).alias("tail"),
+    first = rows.mapInArrow(
+        heads,
+        f"doc_id {kind}, row long, n_tokens long, n_head long, head_base double, head_gain double, "
+        "rare array<long>, v array<long>, w array<long>",
+    )
+    first = staged(first, "texts")
+    # what the filter does not have, by row: words and pairs have hashes of their own
+    pairs = F.transform(F.arrays_zip("v", "w"), lambda x: F.xxhash64(x["v"], x["w"]))
+    tail = first.select("row", F.explode(F.concat("rare", pairs)).alias("h"))
+    p = F.log10((F.col("c") + 0.1) / F.lit(total))
+    values = model["counts"].select("h", p.alias("value"), F.lit(True).alias("word"))
+    tail = tail.join(values.unionByName(gains(model).withColumn("word", F.lit(False))), "h")
+    tail = tail.groupBy("row").agg(
+        F.count_if("word").alias("n_met"),
+        F.sum(F.when(F.col("word"), F.col("value"))).alias("tail"),
+        F.sum(F.when(~F.col("word"), F.col("value"))).alias("tail_gain"),
     )
-    out = first.join(tail, ["key", "key2"], "left")
-    copies = F.col("n_rare") / (F.col("n_tokens") - F.col("n_head"))
-    tail_sum = F.coalesce(F.col("tail") / copies, F.lit(0.0))
-    met = F.coalesce(F.round(F.col("n_met") / copies), F.lit(0)).cast("long")
+    out = first.withColumn("n_rare", F.size("rare")).drop("rare", "v", "w").join(tail, "row", "left")
+    none = F.lit(0.0)
+    n_met = F.coalesce("n_met", F.lit(0))
+    n_known = F.col("n_head") + n_met
+    base = F.col("head_base") + F.coalesce("tail", none) + (F.col("n_rare") - n_met) * F.log10(F.lit(0.1) / F.lit(total))
+    # each known token, the end too, has one token after it
+    full = base + n_known * F.lit(math.log10(1 - MIX)) + F.col("head_gain") + F.coalesce("tail_gain", none)
     defined = F.lit(n > 0)
     return out.select(
-        "doc_id", "n_tokens", (F.col("n_head") + met).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        F.when(defined, F.col("head_base") + tail_sum).alias("base_score"),
-        F.when(defined, F.col("head_score") + tail_sum).alias("score"),
+        "doc_id", "n_tokens", n_known.alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        F.when(defined, base).alias("base_score"), F.when(defined, full).alias("score"),
     )

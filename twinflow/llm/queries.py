@@ -29,8 +29,8 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = lm_scoring.train(docs, remainder("doc_id", 10) != 0)
-    scored = lm_scoring.score(docs, model)
+    learn = remainder("doc_id", 10) != 0
+    scored = lm_scoring.score(docs, lm_scoring.train(docs, learn), learn)
     return scored.withColumn("held_out", remainder("doc_id", 10) == 0)
 
 
