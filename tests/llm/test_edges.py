@@ -67,6 +67,30 @@ def test_jaccard_on_chains_of_copies(spark):
     assert got == brute.jaccard_components(rows)
 
 
+def test_jaccard_of_a_large_group_makes_few_pairs(spark, monkeypatch):
+    """Near copies of one text, of which most are too different to link: pairs that meet grow with the group, not its square."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 5)):
+            text[at] = f"x{rng.randint(0, 1 << 30)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    made, met = [], jaccard._met
+
+    def counted(*args):
+        out = met(*args)
+        made.append(out.agg(F.coalesce(F.sum("overlap"), F.lit(0))).first()[0])
+        return out
+
+    monkeypatch.setattr(jaccard, "_met", counted)
+    got = rows_of(jaccard.jaccard_components(docs), "n_shingles", "component_id")
+    assert got == brute.jaccard_components(rows)
+    assert made[-1] < 2 * len(rows)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90)], "a long, b long")
     got = {r["v"]: r["component"] for r in components(edges).collect()}

@@ -8,11 +8,12 @@ only, and with none at all unless enough of its shingles occur elsewhere.
 
 Texts with equal sets are one class and enter once. A large group of near copies
 is not expanded into pairs: rows of a block are first multiplied with a few members
-of it, and every document is compared with the few that it meets most often; then only pairs from different components are left to multiply, and all of
+of it, and every document is compared with the few that it meets most often; then rows of blocks between components are
+multiplied with members drawn anew for each block. After that only pairs from different components are left to multiply, and all of
 them are. So no link between components is lost. A pair's overlap is added up over the
 blocks; pairs whose overlap and what can come behind their last common shingle are below the
-bound are discarded, as are pairs whose sets, as bits, differ too much; the others are decided by their
-whole sets.
+bound are discarded, as are pairs whose sets differ too much: shingles of one document alone are counted,
+the others are compared as bits. What is left is decided by the whole sets.
 
 Null, empty and wordless texts have an empty set and link with nothing. Ids are
 unique; repeated rows of one id and text give repeated results. Rows without
@@ -26,7 +27,8 @@ from twinflow.llm.common import Scratch, ascii_lower, text_of, words_of
 from twinflow.llm.graph import components
 
 WORDS = 5
-MARKS = 1024  # bits that stand for a set where pairs of it are many
+MARKS = 4096  # bits that stand for a set where pairs of it are many
+DRAWN = 32  # members of a block, about, that all of its rows are compared with before pairs are
 BROADCAST = 1 << 20  # ids that are sent to every executor, 8 MB; more are joined by a shuffle
 
 
@@ -61,11 +63,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("o") >= percent * (F.size("a_toks") + F.size("b_toks") - F.col("o"))).select("a", "b")
 
 
-def _marks(toks: str) -> list[Column]:
-    """A bit per shingle, at one of ``MARKS`` places by its hash, as columns of 64 bits."""
-    own = f"filter({toks}, t -> (shiftright(t, 6) & {MARKS // 64 - 1}) = {{w}}L)"
-    word = f"aggregate({own}, 0L, (m, t) -> m | shiftleft(1L, cast(t & 63 as int)))"
-    return [F.expr(word.format(w=w)).alias(f"m{w}") for w in range(MARKS // 64)]
+def _marks() -> list[Column]:
+    """A bit per shingle ``tok``, at one of ``MARKS`` places by its hash, as columns of 64 bits."""
+    bit = "if((shiftright(tok, 6) & {last}) = {w}, shiftleft(1L, cast(tok & 63 as int)), 0L)"
+    return [F.expr(f"bit_or({bit})".format(last=MARKS // 64 - 1, w=w)).alias(f"m{w}") for w in range(MARKS // 64)]
 
 
 def _others(a: str, b: str) -> Column:
@@ -117,12 +118,13 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     each = sets.select("rep", F.size("toks").alias("n"), F.explode("toks").alias("tok"))
     often = each.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
     met = each.join(often, "tok").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("by"))
-    alone = F.col("n") - F.size("by")  # these come first in the order
-    left = F.col("n") - _least(F.col("n"), percent) + 1 - alone
-    blocks = met.where(left > 0).select("rep", "n", alone.alias("alone"), F.posexplode(F.slice("by", 1, left)["tok"]).alias("i", "tok"))
-    # the row's shingle and those behind it: what a pair can share from here on
-    blocks = scratch.keep(blocks.select("tok", "rep", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest")), "blocks")
+    met = met.select("rep", "n", F.size("by").alias("s"), F.col("by")["tok"].alias("toks"))
+    left = F.col("s") - _least(F.col("n"), percent) + 1  # those of the document alone come first in the order
+    shared = scratch.keep(met.where(left > 0), "shared")
     scratch.free()
+    blocks = shared.select("rep", "n", "s", F.posexplode(F.slice("toks", 1, left)).alias("i", "tok"))
+    # the row's shingle and those behind it: what a pair can share from here on
+    blocks = scratch.keep(blocks.select("tok", "rep", "n", (F.col("s") - F.col("i")).alias("rest")), "blocks")
 
     def side(rows: DataFrame, name: str, on: tuple[str, ...] = (), more: tuple[str, ...] = ()) -> DataFrame:
         return rows.select("tok", *on, *[F.col(c).alias(f"{name}_{c}") for c in ("rep", "n", "rest", "g", *more)])
@@ -141,22 +143,38 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     scratch.free(pairs)
     known = components(edges, scratch)
 
+    def between(rows: DataFrame, known: DataFrame) -> DataFrame:
+        """The rows of blocks that lie in several components, with the number of these rows as ``size``."""
+        rows = rows.join(known, F.col("rep") == F.col("v"), "left").select("tok", "rep", "n", "rest", F.coalesce("component", "rep").alias("g"))
+        open_ = rows.groupBy("tok").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("size")).where("lo < hi")
+        return rows.join(open_.select("tok", "size"), "tok")
+
+    rows = scratch.keep(between(blocks, known), "open-blocks")
+    scratch.free(blocks, known)
+    reps = scratch.keep(rows.select("rep").distinct(), "open-documents")
+    marks = shared.join(reps, "rep", "left_semi").select("rep", "s", F.explode("toks").alias("tok"))
+    marks = scratch.keep(marks.groupBy("rep", "s").agg(*_marks()), "marks")
+    scratch.free(reps, shared)
+    words = ("s", *(f"m{w}" for w in range(MARKS // 64)))
+    # asked for every pair of a block; ``need`` is what both must share
+    need = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    can = (F.col("a_s") - _others("a", "b") >= need) & (F.col("b_s") - _others("b", "a") >= need)
+
+    # others in each block, so that a document is compared with many; linear
+    drawn = rows.where(F.pmod(F.xxhash64("tok", "rep"), F.col("size")) < DRAWN)
+    met = _met(side(drawn.join(marks, "rep"), "a", (), words), side(rows.join(marks, "rep"), "b", (), words), ["tok"], percent, can)
+    pairs = scratch.keep(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    edges = scratch.keep(edges.union(_linked(pairs, sets, percent)), "links")
+    scratch.free(pairs)
+    known = components(edges, scratch)
+
     # what is left between components, in full; lengths that can link are in one or in neighbouring bands
-    rows = blocks.join(known, F.col("rep") == F.col("v"), "left").select("tok", "rep", "n", "rest", F.coalesce("component", "rep").alias("g"))
-    open_ = rows.groupBy("tok").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("tok")
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
-    rows = scratch.keep(rows.join(open_, "tok", "left_semi").withColumn("band", band), "open-blocks")
-    scratch.free(blocks)
-    reps = scratch.keep(rows.select("rep").distinct(), "open-documents")
-    marks = scratch.keep(sets.join(reps, "rep", "left_semi").select("rep", *_marks("toks")), "marks")
-    marked = scratch.keep(rows.join(marks, "rep"), "marked-blocks")
-    scratch.free(rows, reps, marks)
+    last = between(rows.drop("g", "size"), known).withColumn("band", band).join(marks, "rep")
+    marked = scratch.keep(last, "marked-blocks")
+    scratch.free(rows, marks)
     # the shorter one of a pair looks for the longer one
     shorter = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_rep") < F.col("b_rep")))
-    # in compiled code, as it is asked for every pair of a block; ``need`` is what both must share
-    need = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
-    can = (F.col("a_n") - _others("a", "b") >= need) & (F.col("b_n") - _others("b", "a") >= need)
-    words = tuple(f"m{w}" for w in range(MARKS // 64))
     a = side(marked.withColumn("band", F.explode(F.array("band", F.col("band") + 1))), "a", ("band",), words)
     met = _met(a, side(marked, "b", ("band",), words), ["tok", "band"], percent, shorter & can)
     # what can come behind the last common shingle must make up for what the overlap lacks
