@@ -3,10 +3,12 @@
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from twinflow.llm import decontaminate, jaccard, language_id, lm_scoring, mixing, pii, quality_rules, repeats, toxicity, url_filters
+from twinflow.llm.common import pieces
 from twinflow.llm.graph import components
 
 SHAPE = "doc_id long, text string, lang string, source string, score double, v long, n int, a long"
@@ -122,6 +124,25 @@ def test_every_pair_of_the_model_counts(spark):
         assert got == {i: pytest.approx(x, rel=1e-9) for i, x in rows_of(lm_scoring.score(docs, model, learn), "score", "n_tokens").items()}
 
 
+def test_scores_are_made_from_few_tokens_at_once(spark, monkeypatch):
+    """A batch of many or long texts is cut, so that a task's memory does not grow with them; scores stay."""
+    rng = random.Random(6)
+    lists = [[rng.randint(0, 99) for _ in range(n)] for n in (0, 7, 3, 90, 0, 0, 1, 20, 20, 20, 0)]
+    batch = pa.RecordBatch.from_pydict({"h": pa.array(lists, pa.list_(pa.int64())), "i": list(range(len(lists)))})
+    cut = list(pieces([batch.slice(1)], "h", 40))
+    assert [x for part in cut for x in part.column("h").to_pylist()] == lists[1:]
+    assert [x for part in cut for x in part.column("i").to_pylist()] == list(range(1, len(lists)))
+    assert all(len(part.column("h").flatten()) <= 40 or part.num_rows == 1 for part in cut) and len(cut) == 4
+
+    rows = [(i, " ".join(f"w{rng.randint(0, 30)}" for _ in range(i % 50))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    learn = F.col("doc_id") % 10 != 0
+    whole = rows_of(lm_scoring.score(docs, lm_scoring.train(docs, learn)), "score", "n_tokens", "n_known")
+    monkeypatch.setattr(lm_scoring, "PIECE", 64)
+    got = rows_of(lm_scoring.score(docs, lm_scoring.train(docs, learn)), "score", "n_tokens", "n_known")
+    assert got == {i: (pytest.approx(x[0]), *x[1:]) for i, x in whole.items()}
+
+
 def test_repeats_of_all_kinds(odd, spark):
     got = rows_of(repeats.without_repeats(odd).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
     assert got == brute.without_repeats(pairs(odd))

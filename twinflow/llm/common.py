@@ -94,6 +94,19 @@ class Scratch:
             time.sleep(0.5)
 
 
+def pieces(batches, column: str, most: int):
+    """Arrow batches cut between rows, so that the lists of ``column`` have at most ``most`` items in one; a longer list is alone."""
+    import numpy as np
+
+    for batch in batches:
+        offsets = np.asarray(batch.column(column).offsets, dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, side="right")) - 1)
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def flat(column):
     """Values and offsets of an Arrow list column as numpy arrays."""
     import numpy as np

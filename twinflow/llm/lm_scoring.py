@@ -26,12 +26,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinflow.llm.common import Scratch, ascii_lower, flat, mixed, text_of, words_of
+from twinflow.llm.common import Scratch, ascii_lower, flat, mixed, pieces, text_of, words_of
 from twinflow.session import fresh_dir, staged
 
 END = "\n"  # no word holds it
 MIX = 0.3
 BLOCK_BITS = 1 << 16
+PIECE = 1 << 18  # tokens worked on at once by a task, with about 20 numbers for each
 
 
 def token_hashes(text: Column) -> Column:
@@ -81,7 +82,7 @@ def train(docs: DataFrame, learn: Column, head: int = 1 << 16, bits: int = 1 <<
     def pairs(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in pieces(batches, "h", 2 * PIECE):
             before, here, _, values, offsets = neighbours(batch.column("h"), known)
             inner = (before >= 0) & (here >= 0)
             v, w = np.where(inner, before, former_of(values, offsets)), np.where(inner, here, values)
@@ -196,7 +197,7 @@ def score(docs: DataFrame, model: dict, learned: Column | None = None) -> DataFr
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_c, store = shared.value
-        for batch in batches:
+        for batch in pieces(batches, "h", PIECE):
             before, here, at, values, offsets = neighbours(batch.column("h"), known)
             former = former_of(values, offsets)
             size = batch.num_rows
