@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from twinflow.operators import submit
 from twinflow import schemas as S
 from twinflow.operators import documents as D
 from twinflow.operators import messages as M
@@ -164,3 +165,20 @@ def test_the_first_failure_is_seen_beside_an_endless_stream(spark, sf_dir, tmp_p
         assert list(jobs.wait_all(streams, until_failure=True)) == ["bad"]
     finally:
         streams["good"].stop()
+
+
+def test_whole_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    """More rows make more tasks, not larger ones; what is submitted stays the same."""
+    fields = "request_id long, digital_twin string, observation_id long, name string"
+    rows = [(i << 18 if i % 7 else i, f"dt{i % 3}", -1 if i % 4 else i % 90, f"n{i}") for i in range(4000)]
+    rows += [(-i, None, None if i % 2 else 5, None) for i in range(1, 200)]
+    spark.createDataFrame(rows, fields).write.parquet(str(tmp_path / "rows"))
+    written = spark.read.parquet(str(tmp_path / "rows"))
+    store = spark.createDataFrame([("dt0", 12, "old"), ("dt1", 999, None)], "digital_twin string, observation_id long, name string")
+    assert submit.parts_of(written) is None
+    want = sorted(map(repr, submit.submit_observations(written, store).collect()))
+    monkeypatch.setattr(submit, "_A_PART", 200)
+    got = submit.submit_observations(written, store, parts=submit.parts_of(written))
+    in_task = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sorted(map(repr, got.collect())) == want
+    assert in_task < len(rows) // 4

@@ -11,7 +11,12 @@ _RUN_BITS = 22
 
 
 def rank_in_group(
-    df: DataFrame, group: str, order: str, name: str = "rank", after: DataFrame | None = None
+    df: DataFrame,
+    group: str,
+    order: str,
+    name: str = "rank",
+    after: DataFrame | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """1, 2, 3, ... by ``order`` within each ``group``.
 
@@ -21,7 +26,7 @@ def rank_in_group(
 
     ``after`` (``group``, ``start``; one row per group) makes a group begin
     behind ``start``. It is joined to the few counts, not to the rows. A number
-    beyond the largest bigint is null.
+    beyond the largest bigint is null. ``parts`` is the number of tasks that number the rows.
     """
     block, run = "_block", "_run"
     rows = df.withColumn(block, F.shiftright(order, _BLOCK_BITS))
@@ -45,6 +50,8 @@ def rank_in_group(
         group, block, F.try_add("_in_run", "_runs").alias("_before")
     )
     inside = Window.partitionBy(group, block).orderBy(order)
+    if parts:
+        rows = rows.repartition(parts, group, block)
     return (
         rows.join(offsets, [group, block])
         .withColumn(name, F.try_add("_before", F.row_number().over(inside).cast("long")))

@@ -18,6 +18,8 @@ from twinflow.schemas import (
 _KEY = ["digital_twin", "observation_id"]
 # Requests that name the same observation are spread over this many parts.
 _SALTS = 1024
+# Rows with their documents that one task sorts.
+_A_PART = 1 << 16
 
 
 def submit_observations(
@@ -26,6 +28,7 @@ def submit_observations(
     row_id: str = "request_id",
     highest: DataFrame | None = None,
     find: Callable[[DataFrame], DataFrame] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Submit so that doing it again changes nothing.
 
@@ -41,6 +44,7 @@ def submit_observations(
     type, geometry) are the ones a stored row overrides; others pass through.
     ``highest`` (``highest_ids``) spares a scan of the store for its ids.
     ``find`` gets the keys and returns the store's rows with them, or a few more.
+    ``parts`` (``parts_of``) is the number of tasks that whole rows are dealt to; without it Spark chooses.
 
     The input is read several times: hand in a written table
     (``session.staged``) when it is expensive to make.
@@ -53,11 +57,20 @@ def submit_observations(
     if highest is None:
         highest = highest_ids(store)
     taken = highest_ids(given).unionByName(highest)
-    return _submit_given(given, store, payload, row_id, find).unionByName(
-        _submit_fresh(fresh, taken, row_id)
+    return _submit_given(given, store, payload, row_id, find, parts).unionByName(
+        _submit_fresh(fresh, taken, row_id, parts)
     )
 
 
+def parts_of(written: DataFrame) -> int | None:
+    """Tasks for the rows of a written table, so that none sorts many more than ``_A_PART`` of them however large
+    the table is; few rows are left to Spark."""
+    n = written.count()
+    # with fewer tasks than shuffle partitions Spark would deal the rows a second time
+    least = int(written.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-n // _A_PART)) if n > _A_PART else None
+
+
 def highest_ids(rows: DataFrame) -> DataFrame:
     """Per twin the largest id, as ``start``."""
     return rows.groupBy("digital_twin").agg(F.max("observation_id").alias("start"))
@@ -69,17 +82,18 @@ def _submit_given(
     payload: list[str],
     row_id: str,
     find: Callable[[DataFrame], DataFrame] | None,
+    parts: int | None,
 ) -> DataFrame:
     """One id may be named by a large part of all rows, so no step groups or
     joins such rows by twin and id alone: they are first reduced to at most
     ``_SALTS`` rows per id, decided there, and joined back part by part."""
     salted = given.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(_SALTS)))
-    parts = salted.groupBy(*_KEY, "_salt").agg(
+    salty = salted.groupBy(*_KEY, "_salt").agg(
         F.min(row_id).alias("_first"),
         *[F.min_by(c, row_id).alias(f"_first_{c}") for c in payload],
     )
     per_id = Window.partitionBy(*_KEY)
-    firsts = parts.select(
+    firsts = (salty.repartition(parts, *_KEY) if parts else salty).select(
         *_KEY,
         "_salt",
         F.min("_first").over(per_id).alias("_first"),
@@ -87,12 +101,14 @@ def _submit_given(
     )
     # the semi join lets a small input be broadcast to the store, which then
     # is read but not shuffled; the left join after it sees only the matches
-    keys = parts.select(*_KEY)
+    keys = salty.select(*_KEY)
     stored = find(keys) if find else store.join(keys, _KEY, "left_semi")
     stored = stored.select(
         *_KEY, F.lit(True).alias("_stored"), *[F.col(c).alias(f"_stored_{c}") for c in payload]
     )
     winners = firsts.join(stored, _KEY, "left")
+    if parts:
+        salted = salted.repartition(parts, *_KEY, "_salt")
     joined = salted.join(winners, [*_KEY, "_salt"])
 
     in_store = F.col("_stored").isNotNull()
@@ -112,7 +128,7 @@ def _submit_given(
     )
 
 
-def _submit_fresh(fresh: DataFrame, taken: DataFrame, row_id: str) -> DataFrame:
+def _submit_fresh(fresh: DataFrame, taken: DataFrame, row_id: str, parts: int | None) -> DataFrame:
     """New ids follow the largest id the twin has, stored or given in this input.
 
     Where a client took the largest bigint for its own, none are left: such
@@ -121,7 +137,7 @@ def _submit_fresh(fresh: DataFrame, taken: DataFrame, row_id: str) -> DataFrame:
     start = taken.groupBy("digital_twin").agg(
         F.greatest(F.max("start"), F.lit(0)).alias("start")
     )
-    ranked = rank_in_group(fresh, "digital_twin", row_id, "_new_id", after=start)
+    ranked = rank_in_group(fresh, "digital_twin", row_id, "_new_id", after=start, parts=parts)
     new_id = F.coalesce("_new_id", F.lit(UNRESOLVED_ID).cast("bigint")).alias("observation_id")
     return ranked.select(
         *[new_id if c == "observation_id" else F.col(c) for c in fresh.columns],

@@ -9,7 +9,7 @@ from twinflow.operators.documents import split_observation
 from twinflow.operators.observations import build_observations
 from twinflow.operators.resolve import resolve_observables
 from twinflow.operators.routing import all_routes, event_route, route
-from twinflow.operators.submit import fail_unknown_twins, register_twins, submit_observations
+from twinflow.operators.submit import fail_unknown_twins, parts_of, register_twins, submit_observations
 from twinflow.operators.validate import validate_requests
 from twinflow.session import staged
 from twinflow.sinks.writers import write_routed
@@ -56,10 +56,10 @@ def submit_checked(
     highest: DataFrame | None = None,
     find: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Submit the good rows of ``check_requests`` and route all rows."""
+    """Submit the good rows of ``check_requests``, written before, and route all rows."""
     good = checked.where(F.col("error_code").isNull())
     failed = checked.where(F.col("error_code").isNotNull())
-    submitted = submit_observations(good, store, row_id, highest, find)
+    submitted = submit_observations(good, store, row_id, highest, find, parts_of(checked))
     return route(submitted, with_content).unionByName(
         route(failed.withColumn("outcome", F.lit(None).cast("string")))
     )
