@@ -179,6 +179,14 @@ def test_whole_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
     want = sorted(map(repr, submit.submit_observations(written, store).collect()))
     monkeypatch.setattr(submit, "_A_PART", 200)
     got = submit.submit_observations(written, store, parts=submit.parts_of(written))
-    in_task = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    # a file for each task, with all columns; so few rows would be broadcast
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        got.write.parquet(str(tmp_path / "got"))
+    finally:
+        spark.conf.set(threshold, before)
+    got = spark.read.schema(got.schema).parquet(str(tmp_path / "got"))
     assert sorted(map(repr, got.collect())) == want
-    assert in_task < len(rows) // 4
+    assert got.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < len(rows) // 4
