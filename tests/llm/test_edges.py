@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from twinflow.llm import decontaminate, jaccard, language_id, lm_scoring, mixing, pii, quality_rules, repeats, toxicity, url_filters
+from twinflow.llm import decontaminate, graph, jaccard, language_id, lm_scoring, mixing, pii, quality_rules, repeats, toxicity, url_filters
 from twinflow.llm.common import pieces
 from twinflow.llm.graph import components
 
@@ -93,6 +93,61 @@ def test_jaccard_of_a_large_group_makes_few_pairs(spark, monkeypatch):
     assert made[-1] < 2 * len(rows)
 
 
+def test_links_inside_of_a_component_are_worked_on_once(spark, monkeypatch):
+    """Links of a group of near copies are not read again with those found later, nor in every round."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*base[:at], f"x{i}", *base[at + 1 :]])) for i, at in enumerate(rng.choices(range(150), k=300))]
+    rows += [(300 + i, f"{rows[i][1]} y{i} z{i}") for i in range(0, 300, 7)]
+    given, read, whole, keep = [], [], graph.components, graph.Scratch.keep
+
+    def counted(edges, *args):
+        given.append(edges.distinct().count())
+        return whole(edges, *args)
+
+    def kept(self, df, label):
+        out = keep(self, df, label)
+        if label == "edges":
+            read.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "components", counted)
+    monkeypatch.setattr(jaccard, "components", counted)
+    got = rows_of(jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)), "component_id")
+    assert got == {i: x[1:] for i, x in brute.jaccard_components(rows).items()}
+    assert len(given) == 3 and given[0] > 2 * len(rows) and sum(given[1:]) < len(rows)
+    monkeypatch.setattr(graph.Scratch, "keep", kept)
+    near = [(i, j) for i in range(60) for j in range(i)]
+    got = {r["v"]: r["component"] for r in whole(spark.createDataFrame([*near, (60, 59), (61, 60), (70, 70)], "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(62)} | {70: 70}
+    assert read[0] > 1000 and sum(read[1:]) < 100
+
+
+def test_components_of_random_graphs(spark):
+    """Trees, rings and ordered or shuffled paths, in one go and in parts."""
+    rng = random.Random(8)
+    names = rng.sample(range(-500, 500), 300)
+    edges = [(names[i], names[rng.randrange(max(0, i - 5), i)]) for i in range(1, 300) if rng.random() < 0.9]
+    edges += [(names[i], names[i + 1]) for i in range(0, 290, 40)] + [(names[0], names[0]), (None, names[3])]
+    root = {x: x for e in edges if None not in e for x in e}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in (e for e in edges if None not in e):
+        lo, hi = sorted((top(a), top(b)))
+        root[hi] = lo
+    want = {x: top(x) for x in root}
+    frame = spark.createDataFrame(edges, "a long, b long")
+    assert {r["v"]: r["component"] for r in components(frame).collect()} == want
+    scratch = graph.Scratch(spark)
+    first, more = (spark.createDataFrame(e, "a long, b long") for e in (edges[::2], edges[1::2]))
+    got = {r["v"]: r["component"] for r in graph.joined(components(first), more, scratch).collect()}
+    assert {x: got.get(x, x) for x in want} == want
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90)], "a long, b long")
     got = {r["v"]: r["component"] for r in components(edges).collect()}

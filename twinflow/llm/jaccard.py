@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinflow.llm.common import Scratch, ascii_lower, text_of, words_of
-from twinflow.llm.graph import components
+from twinflow.llm.graph import components, joined
 
 WORDS = 5
 MARKS = 4096  # bits that stand for a set where pairs of it are many
@@ -142,6 +142,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     edges = scratch.keep(_linked(pairs, sets, percent), "links")
     scratch.free(pairs)
     known = components(edges, scratch)
+    scratch.free(edges)
 
     def between(rows: DataFrame, known: DataFrame) -> DataFrame:
         """The rows of blocks that lie in several components, with the number of these rows as ``size``."""
@@ -150,7 +151,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
         return rows.join(open_.select("tok", "size"), "tok")
 
     rows = scratch.keep(between(blocks, known), "open-blocks")
-    scratch.free(blocks, known)
+    scratch.free(blocks)
     reps = scratch.keep(rows.select("rep").distinct(), "open-documents")
     marks = shared.join(reps, "rep", "left_semi").select("rep", "s", F.explode("toks").alias("tok"))
     marks = scratch.keep(marks.groupBy("rep", "s").agg(*_marks()), "marks")
@@ -164,9 +165,10 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     drawn = rows.where(F.pmod(F.xxhash64("tok", "rep"), F.col("size")) < DRAWN)
     met = _met(side(drawn.join(marks, "rep"), "a", (), words), side(rows.join(marks, "rep"), "b", (), words), ["tok"], percent, can)
     pairs = scratch.keep(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    edges = scratch.keep(edges.union(_linked(pairs, sets, percent)), "links")
+    edges = scratch.keep(_linked(pairs, sets, percent), "links")
     scratch.free(pairs)
-    known = components(edges, scratch)
+    before, known = known, joined(known, edges, scratch)
+    scratch.free(before, edges)
 
     # what is left between components, in full; lengths that can link are in one or in neighbouring bands
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
@@ -181,8 +183,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, n: int = WORDS, pivot
     pairs = scratch.keep(met.where(F.col("overlap") + F.col("rest") - 1 >= F.col("need")).select("a", "b"), "pairs")
     found = scratch.keep(_linked(pairs, sets, percent), "links")
     scratch.free(pairs, marked, sets)
-    final = components(edges.union(found), scratch)
-    scratch.free(known)
+    final = joined(known, found, scratch)
+    scratch.free(known, found)
 
     named = classes.join(final, F.col("rep") == F.col("v"), "left").select("k1", "k2", "n", "rep", F.coalesce("component", "rep").alias("component"))
     out = own.join(named, ["k1", "k2", "n"], "left")
