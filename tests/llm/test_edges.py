@@ -198,6 +198,29 @@ def test_scores_are_made_from_few_tokens_at_once(spark, monkeypatch):
     assert got == {i: (pytest.approx(x[0]), *x[1:]) for i, x in whole.items()}
 
 
+def test_pairs_are_looked_up_part_by_part(spark, monkeypatch):
+    """No shuffle has all words and pairs that the filter does not have; all of them count."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.5))}" for _ in range(60))) for i in range(100)]
+    docs, read = spark.createDataFrame(rows, "doc_id long, text string"), []
+    model = lm_scoring.train(docs, F.col("doc_id") % 10 != 0, 20)
+    keep = lm_scoring.Scratch.keep
+
+    def counted(self, df, label):
+        out = keep(self, df, label)
+        if label == "looked-up":
+            read.append(out.agg(F.coalesce(F.sum("n_met"), F.lit(0))).first()[0])
+        return out
+
+    monkeypatch.setattr(lm_scoring.Scratch, "keep", counted)
+    got = rows_of(lm_scoring.score(docs, model), "score", "n_known", "n_tokens")
+    assert len(read) == lm_scoring.PARTS > 1 and max(read) < 0.6 * sum(read)
+    monkeypatch.setattr(lm_scoring, "PARTS", 1)
+    whole = rows_of(lm_scoring.score(docs, model), "score", "n_known", "n_tokens")
+    assert read[-1] == sum(read[:-1])
+    assert got == {i: (pytest.approx(x[0], rel=1e-9), *x[1:]) for i, x in whole.items()}
+
+
 def test_repeats_of_all_kinds(odd, spark):
     got = rows_of(repeats.without_repeats(odd).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
     assert got == brute.without_repeats(pairs(odd))

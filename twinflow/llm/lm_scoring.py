@@ -5,8 +5,8 @@ a blocked Bloom filter q times, once per level. A lookup probes level after
 level until one is missing. The filter has a fixed number of bits and is
 broadcast. It holds pairs of the ``head`` most frequent words, seen twice or more, from the
 most frequent down as far as they fit. All other pairs (rarer words, seen once, no room left) stay
-in a table with their exact counts, and pairs of a text that the filter does not have are joined with it; so
-every pair counts.
+in a table with their exact counts, and pairs of a text that the filter does not have are joined with it, one part
+of the hashes after the other; so every pair counts.
 
 Single words are counted exactly. The head words are broadcast
 (a bounded table); the rest is joined. With (c + 0.1) / (N + 0.1 (V + 1)) as
@@ -21,6 +21,7 @@ scores are null, as no probability is defined. Ids may be null.
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,7 @@ from twinflow.session import fresh_dir, staged
 END = "\n"  # no word holds it
 MIX = 0.3
 BLOCK_BITS = 1 << 16
+PARTS = 4  # words and pairs are looked up part by part of their hashes, so that the disk holds the shuffles of one part
 PIECE = 1 << 18  # tokens worked on at once by a task, with about 20 numbers for each
 
 
@@ -165,8 +167,12 @@ def neighbours(column, known: np.ndarray):
     return before, here, rows, values, offsets
 
 
-def gains(model: dict) -> DataFrame:
-    """``h, value``: what a pair outside of the filter adds to the logarithm of (1 - mix) p."""
+def in_part(h: Column, part: int) -> Column:
+    return F.pmod(h, F.lit(PARTS)) == part
+
+
+def gains(model: dict, part: int) -> DataFrame:
+    """``h, value``: what a pair outside of the filter adds to the logarithm of (1 - mix) p; those of one part."""
     total = model["n"] + 0.1 * (model["v"] + 1)
     c_v, c_w = F.col("c_v"), (F.col("c_w") + 0.1) / F.lit(total)
     value = F.log10(1 + MIX * F.least(F.lit(1.0), F.col("c") / c_v) / ((1 - MIX) * c_w))
@@ -177,8 +183,9 @@ def gains(model: dict) -> DataFrame:
         return pairs.select(F.xxhash64("h_v", "h_w").alias("h"), value.alias("value"))
 
     rest = model["rest"]
-    inner = valued(rest.where("inner"), F.broadcast(model["top"]), "at")
-    return inner.unionByName(valued(rest.where("not inner"), model["counts"], "h"))
+    # pairs with rare words have hashes already, so that only those of the part are shuffled
+    inner = valued(rest.where("inner"), F.broadcast(model["top"]), "at").where(in_part(F.col("h"), part))
+    return inner.unionByName(valued(rest.where(~F.col("inner") & in_part(F.xxhash64("v", "w"), part)), model["counts"], "h"))
 
 
 def score(docs: DataFrame, model: dict, learned: Column | None = None) -> DataFrame:
@@ -239,15 +246,23 @@ def score(docs: DataFrame, model: dict, learned: Column | None = None) -> DataFr
     first = staged(first, "texts")
     # what the filter does not have, by row: words and pairs have hashes of their own
     pairs = F.transform(F.arrays_zip("v", "w"), lambda x: F.xxhash64(x["v"], x["w"]))
-    tail = first.select("row", F.explode(F.concat("rare", pairs)).alias("h"))
+    asked = first.select("row", F.explode(F.concat("rare", pairs)).alias("h"))
     p = F.log10((F.col("c") + 0.1) / F.lit(total))
-    values = model["counts"].select("h", p.alias("value"), F.lit(True).alias("word"))
-    tail = tail.join(values.unionByName(gains(model).withColumn("word", F.lit(False))), "h")
-    tail = tail.groupBy("row").agg(
-        F.count_if("word").alias("n_met"),
-        F.sum(F.when(F.col("word"), F.col("value"))).alias("tail"),
-        F.sum(F.when(~F.col("word"), F.col("value"))).alias("tail_gain"),
-    )
+    words = model["counts"].select("h", p.alias("value"), F.lit(True).alias("word"))
+    sums = ("n_met", "tail", "tail_gain")
+    scratch, parts = Scratch(docs.sparkSession), []
+    for part in range(PARTS):
+        here = in_part(F.col("h"), part)
+        values = words.where(here).unionByName(gains(model, part).withColumn("word", F.lit(False)))
+        found = asked.where(here).join(values, "h").groupBy("row").agg(
+            F.count_if("word").alias("n_met"),
+            F.sum(F.when(F.col("word"), F.col("value"))).alias("tail"),
+            F.sum(F.when(~F.col("word"), F.col("value"))).alias("tail_gain"),
+        )
+        parts.append(scratch.keep(found, "looked-up"))
+        del found, values
+        scratch.settle()
+    tail = reduce(DataFrame.unionByName, parts).groupBy("row").agg(*[F.sum(c).alias(c) for c in sums])
     out = first.withColumn("n_rare", F.size("rare")).drop("rare", "v", "w").join(tail, "row", "left")
     none = F.lit(0.0)
     n_met = F.coalesce("n_met", F.lit(0))
