@@ -221,6 +221,47 @@ def test_pairs_are_looked_up_part_by_part(spark, monkeypatch):
     assert got == {i: (pytest.approx(x[0], rel=1e-9), *x[1:]) for i, x in whole.items()}
 
 
+def test_keys_of_words_are_those_of_their_bytes():
+    """Two tokens have one key if and only if they are one word after lower-casing; texts are cut anywhere."""
+    rng = random.Random(12)
+    alphabet = ["a", "B", "b", "é", "É", "\0", "x" * 7, "y" * 90, "語"]
+    texts = ["", " ", "z" * 300 + " " + "Z" * 300 + "\x0b" + "z" * 301, "\u00a0 a\x1fb A\x1fB", *["".join(rng.choice([*alphabet, *" \t\n\x0c\r"]) for _ in range(rng.randint(0, 60))) for _ in range(200)], ""]
+    column, key_of, n = pa.array(["left out", *texts]), {}, 0
+    for start, size in ((1, len(texts)), (3, 1), (40, 77), (1, 0)):
+        values, offsets = lm_scoring.tokens_of(column.slice(start, size))
+        for i, t in enumerate(texts[start - 1 : start - 1 + size]):
+            words = brute.words(t.translate(brute.LOWER))
+            got = values[offsets[i] : offsets[i + 1]].tolist()
+            assert len(got) == len(words) + 1
+            for word, key in zip([*words, None], got, strict=True):
+                assert key_of.setdefault(word, key) == key
+                n += 1
+    assert n > 2000 and len(set(key_of.values())) == len(key_of)
+
+
+def test_pairs_travel_as_lists(spark, monkeypatch):
+    """Pairs are sent, kept and answered as lists of keys for a bucket, not as a row each; a text that asks nothing is scored too."""
+    rng = random.Random(13)
+    rows = [(i, " ".join(f"w{rng.randint(0, 500)}" for _ in range(200))) for i in range(100)] + [(None, None)]
+    docs, read = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), []
+    model = lm_scoring.train(docs, F.lit(True))
+    held = model["rest"].agg(F.count("*"), F.sum(F.size("key")), F.sum(F.aggregate("c", F.lit(0).cast("long"), lambda a, b: a + b))).first()
+    all_pairs = {p for _, t in rows for p in zip([None, *(t or "").split()], [*(t or "").split(), None], strict=True)}
+    assert held[0] <= 2 * lm_scoring.LEAST_BUCKETS and tuple(held)[1:] == (len(all_pairs), 100 * 201 + 1)
+    keep = lm_scoring.Scratch.keep
+
+    def counted(self, df, label):
+        read.append(keep(self, df, label))
+        return read[-1]
+
+    monkeypatch.setattr(lm_scoring.Scratch, "keep", counted)
+    got = sorted(r["score"] for r in lm_scoring.score(docs, model).collect())
+    assert 0 < sum(x.count() for x in read) <= 2 * 2 * lm_scoring.LEAST_BUCKETS < len(all_pairs)
+    read.clear()
+    assert sorted(r["score"] for r in lm_scoring.score(docs, model, F.lit(True)).collect()) == pytest.approx(got, rel=1e-9)
+    assert sum(x.count() for x in read) == 0
+
+
 def test_repeats_of_all_kinds(odd, spark):
     got = rows_of(repeats.without_repeats(odd).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
     assert got == brute.without_repeats(pairs(odd))

@@ -80,11 +80,15 @@ class Scratch:
         """Delete the tables; what was made from them has to be kept already."""
         jvm = self.spark._jvm
         for table in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self.folders.pop(id(table)))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.drop(self.folders.pop(id(table)))
         gc.collect()
         jvm.System.gc()
 
+    def drop(self, folder: str) -> None:
+        """Delete a folder of the shared one."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def settle(self) -> None:
         """After a step that shuffled much: wait until the driver has let go of it. The first round tells the
         JVM what Python gave up, the second one collects it."""
@@ -94,12 +98,15 @@ class Scratch:
             time.sleep(0.5)
 
 
-def pieces(batches, column: str, most: int):
+def pieces(batches, column: str, most: int, offsets_of=None):
     """Arrow batches cut between rows, so that the lists of ``column`` have at most ``most`` items in one; a longer list is alone."""
     import numpy as np
 
     for batch in batches:
-        offsets = np.asarray(batch.column(column).offsets, dtype=np.int64)
+        if not batch.num_rows:
+            continue
+        values = batch.column(column)
+        offsets = offsets_of(values) if offsets_of else np.asarray(values.offsets, dtype=np.int64)
         start = 0
         while start < batch.num_rows:
             end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, side="right")) - 1)
